@@ -26,6 +26,10 @@ def array_construct(inputs=(), data_type: DataType | str | None = None) -> Colum
 
 def _dtype(data_type):
     if isinstance(data_type, str):
+        from modelsmith.functions.casts import PORTABLE_TYPES
+
+        if data_type.lower() in PORTABLE_TYPES:
+            return PORTABLE_TYPES[data_type.lower()]
         from modelsmith.operators.types import parse_type
 
         return parse_type(data_type).spark_type
