@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from modelsmith.plans import flagship, function_queries, relational  # noqa: F401  (register queries)
+from modelsmith.plans import check_queries, flagship, function_queries, relational  # noqa: F401  (register queries)
 from modelsmith.plans._registry import ORACLES, QUERIES
 
 
