@@ -3,7 +3,13 @@
 
 from __future__ import annotations
 
-from modelsmith.plans import check_queries, flagship, function_queries, relational  # noqa: F401  (register queries)
+from modelsmith.plans import (  # noqa: F401  (modules register their queries)
+    build_queries,
+    check_queries,
+    flagship,
+    function_queries,
+    relational,
+)
 from modelsmith.plans._registry import ORACLES, QUERIES
 
 
