@@ -9,6 +9,7 @@ from modelsmith.plans import (  # noqa: F401  (modules register their queries)
     flagship,
     function_queries,
     relational,
+    snapshot_queries,
 )
 from modelsmith.plans._registry import ORACLES, QUERIES
 

@@ -3,7 +3,7 @@
 The file is parsed by Spark's CSV reader (real quoting, so values holding the
 delimiter or ``|`` stay whole; empty fields are NULL). Every column is first
 read as text; its type is then inferred in **one** aggregate pass over the
-data, one ``bool_and`` per column and candidate type, and a declared
+data (per column, a bitmask of the kinds of values present), and a declared
 ``column_types`` entry always wins over inference.
 
 Inference order (first type that every non-empty value fits): bigint, double,
@@ -21,14 +21,26 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from modelsmith.operators.types import parse_type
 
-# Candidate types in inference order, with the text pattern a
-# value must also match (None: the cast alone decides).
+# Per-value type codes, tried in this order (first fit wins),
+# with the text pattern a value must also match (None: the cast alone decides).
+# The pattern is tested first, so the cast is only tried on plausible values.
 _CANDIDATES = (
-    ("bigint", None),
-    ("double", None),
-    ("boolean", r"^(?i)(true|false)$"),
-    ("date", r"^\d{4}-\d{2}-\d{2}$"),
-    ("timestamp_ntz", r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"),
+    (1, "bigint", r"^[+-]?\d{1,19}$"),
+    (2, "double", None),
+    (3, "boolean", r"^(?i)(true|false)$"),
+    (4, "date", r"^\d{4}-\d{2}-\d{2}$"),
+    (5, "timestamp_ntz", r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"),
+)
+_STRING_CODE = 6
+
+# Sets of codes seen in a column (empty values excluded) and the
+# column type they give; any other mix is string.
+_COLUMN_TYPES = (
+    ({1}, "bigint"),
+    ({1, 2}, "double"),
+    ({3}, "boolean"),
+    ({4}, "date"),
+    ({4, 5}, "timestamp_ntz"),
 )
 
 
@@ -43,34 +55,40 @@ def read_seed_text(spark: SparkSession, path: str, delimiter: str = ",", header:
     return reader.schema(text_schema).csv(path)
 
 
-def _fits(c: Column, spark_type: str, pattern: str | None) -> Column:
-    empty = c.isNull() | (F.trim(c) == "")
-    ok = c.try_cast(spark_type).isNotNull()
-    if pattern is not None:
-        ok = ok & F.trim(c).rlike(pattern)
-    return F.bool_and(empty | ok)
+def _value_bit(c: Column) -> Column:
+    """``1 << code`` of one text value: code 0 empty, 1..5 the first candidate
+    it fits, 6 anything else (a short-circuiting CASE chain)."""
+    v = F.trim(c)
+    bit = F.when(c.isNull() | (v == ""), F.lit(1))
+    for n, t, pattern in _CANDIDATES:
+        fits = v.try_cast(t).isNotNull()
+        if pattern is not None:
+            fits = v.rlike(pattern) & fits
+        bit = bit.when(fits, F.lit(1 << n))
+    return bit.otherwise(F.lit(1 << _STRING_CODE))
+
+
+def _column_type(mask: int | None) -> str:
+    seen = {n for n in range(1, _STRING_CODE + 1) if mask and mask >> n & 1}
+    for allowed, name in _COLUMN_TYPES:
+        if seen and seen <= allowed and (name != "timestamp_ntz" or 5 in seen):
+            return name
+    return "string"
 
 
 def infer_types(text: DataFrame) -> dict[str, str]:
-    """Column → inferred Spark type name, from one aggregate over the data."""
-    aggs = []
-    for i, c in enumerate(text.columns):
-        col = F.col(f"`{c}`")
-        for j, (t, pat) in enumerate(_CANDIDATES):
-            aggs.append(_fits(col, t, pat).alias(f"c{i}_{j}"))
-        aggs.append(F.count(F.when(F.trim(col) != "", F.lit(1))).alias(f"c{i}_n"))
-    # One row of booleans: the only value brought to the driver.
+    """Column → inferred Spark type name.
+
+    One aggregate over the data: per column, the OR of ``1 << code`` over its
+    values (a bitmask of the value kinds present). Only that one row of
+    integers reaches the driver.
+    """
+    aggs = [
+        F.bit_or(_value_bit(F.col(f"`{c}`"))).alias(f"m{i}")
+        for i, c in enumerate(text.columns)
+    ]
     row = text.agg(*aggs).first()
-    out = {}
-    for i, c in enumerate(text.columns):
-        chosen = "string"
-        if row[f"c{i}_n"]:
-            for j, (t, _) in enumerate(_CANDIDATES):
-                if row[f"c{i}_{j}"]:
-                    chosen = t
-                    break
-        out[c] = chosen
-    return out
+    return {c: _column_type(row[f"m{i}"]) for i, c in enumerate(text.columns)}
 
 
 def type_seed(text: DataFrame, column_types: Mapping[str, str] | None = None,
