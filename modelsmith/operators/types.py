@@ -152,12 +152,15 @@ def _violation(source: Column, typed: Column, ct: ColumnType, name: str) -> Colu
     ]
     if not ct.nullable:
         reasons.append(F.when(source.isNull(), F.lit(f"{name}: NULL in non-nullable column")))
+    def bound(value: int) -> Column:
+        # decimal bounds go through text: Python ints beyond 64 bits are not literals
+        raw = F.lit(str(value)) if isinstance(ct.spark_type, DecimalType) else F.lit(value)
+        return raw.cast(ct.spark_type)
+
     if ct.min_value is not None:
-        reasons.append(F.when(typed < F.lit(ct.min_value).cast(ct.spark_type), F.lit(f"{name}: below range")))
-    if ct.max_value is not None and not isinstance(ct.spark_type, DecimalType):
-        reasons.append(F.when(typed > F.lit(ct.max_value).cast(ct.spark_type), F.lit(f"{name}: above range")))
-    elif ct.max_value is not None:
-        reasons.append(F.when(typed > F.lit(str(ct.max_value)).cast(ct.spark_type), F.lit(f"{name}: above range")))
+        reasons.append(F.when(typed < bound(ct.min_value), F.lit(f"{name}: below range")))
+    if ct.max_value is not None:
+        reasons.append(F.when(typed > bound(ct.max_value), F.lit(f"{name}: above range")))
     if ct.fixed_length is not None:
         reasons.append(
             F.when(F.length(typed) > ct.fixed_length, F.lit(f"{name}: longer than {ct.fixed_length}"))
