@@ -67,6 +67,37 @@ def plan_upsert(
     return survivors.select(*old_p.columns).unionByName(new_p)
 
 
+def plan_partition_upsert(
+    existing: DataFrame,
+    new: DataFrame,
+    unique_key: str | Sequence[str],
+    partition_by: Sequence[str],
+    on_schema_change: str = "ignore",
+) -> DataFrame:
+    """B6 restricted to the partitions the new data touches.
+
+    Returns the full contents of every touched partition (surviving old rows
+    plus new rows); untouched partitions are not read or rewritten. The
+    semi join on the partition columns lets dynamic partition pruning skip the
+    untouched partitions of the target scan. Contract: a key never moves
+    between partitions (the partition columns are a function of the key).
+    Partition values are compared NULL-safely, so the NULL partition is
+    handled like any other.
+    """
+    keys = _keys(unique_key)
+    parts = list(partition_by)
+    old_p, new_p = reconcile(existing, new, on_schema_change)
+    touched = new_p.select(*parts).distinct()
+    cond = None
+    for p in parts:
+        c = old_p[p].eqNullSafe(touched[p])
+        cond = c if cond is None else (cond & c)
+    old_in_touched = old_p.join(touched, cond, "left_semi")
+    new_keys = new_p.select(*keys).distinct()
+    survivors = old_in_touched.join(new_keys, keys, "left_anti")
+    return survivors.select(*old_p.columns).unionByName(new_p)
+
+
 def plan_update_column(existing: DataFrame, column: str, value: Column, where: Column | None = None) -> DataFrame:
     """``update dst set column = value [where ...]`` as a projection."""
     new_value = value if where is None else F.when(where, value).otherwise(F.col(column))

@@ -26,7 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelsmith.operators import checks
-from modelsmith.operators.incremental import plan_append, plan_update_column, plan_upsert
+from modelsmith.operators.incremental import (
+    plan_append,
+    plan_partition_upsert,
+    plan_update_column,
+    plan_upsert,
+)
 from modelsmith.operators.publish import Layout, Publisher
 from modelsmith.operators.schema_change import POLICIES, project_to, target_schema
 from modelsmith.operators.snapshot import plan_snapshot
@@ -90,9 +95,22 @@ class Project:
         layout: Layout | None = None,
         comment: str | None = None,
         column_comments: Mapping[str, str] | None = None,
+        partition_scoped: bool = False,
     ) -> DataFrame:
+        """Build an incremental model.
+
+        First run (or ``full_refresh``): the model's output becomes the first
+        version. Later runs: the model sees ``ctx.is_incremental`` and the live
+        target ``ctx.this``; its output is staged once, then appended (no
+        ``unique_key``, or ``inserts_only``) or upserted on ``unique_key``.
+        ``partition_scoped=True`` (with ``layout.partition_by``, and a key
+        that never changes partition) rewrites only the partitions the new
+        data touches, in place, instead of writing a new version.
+        """
         if on_schema_change not in POLICIES:
             raise ValueError(f"on_schema_change must be one of {POLICIES}")
+        if partition_scoped and (unique_key is None or layout is None or not layout.partition_by):
+            raise ValueError("partition_scoped needs unique_key and layout.partition_by")
         pub = self.publisher
         version = pub.current_version(name)
         is_model_view = pub.kind(name) == "view" and version is None
@@ -113,6 +131,22 @@ class Project:
                     pub.append_to_version(name, version, project_to(staged, cols), layout)
                     return self.ref(name)
                 nxt = plan_append(this, staged, on_schema_change)
+            elif partition_scoped:
+                cols = target_schema(this.schema, staged.schema, on_schema_change)
+                if [(f.name, f.dataType) for f in this.schema.fields] != cols:
+                    raise ValueError("a partition-scoped upsert cannot change the schema; "
+                                     "run a full upsert or a full refresh")
+                # B6 on large targets: rewrite only the touched partitions, in
+                # place. Spark refuses to overwrite a table the same job reads,
+                # so the touched partitions' new contents are staged first.
+                touched = plan_partition_upsert(this, staged, unique_key, layout.partition_by,
+                                                on_schema_change)
+                touched_name, touched_rows = pub.stage(name, touched)
+                try:
+                    pub.overwrite_partitions(name, version, touched_rows, layout)
+                finally:
+                    pub.drop(touched_name)
+                return self.ref(name)
             else:
                 nxt = plan_upsert(this, staged, unique_key, on_schema_change)  # B6
             pub.publish(name, nxt, layout, comment, column_comments)

@@ -155,6 +155,26 @@ class Publisher:
         ordered = df.select(*target.columns)
         layout.writer(layout.arrange(ordered)).mode("append").saveAsTable(self.version_table(name, version))
 
+    def overwrite_partitions(self, name: str, version: int, df: DataFrame, layout: Layout) -> None:
+        """Replace only the partitions present in ``df`` inside a version, in
+        place (dynamic partition overwrite: output is staged and each touched
+        partition directory is swapped at job commit)."""
+        if not layout.partition_by:
+            raise ValueError("a partition-scoped rewrite needs layout.partition_by")
+        table = self.version_table(name, version)
+        ordered = layout.arrange(df).select(*self.spark.table(table).columns)
+        key = "spark.sql.sources.partitionOverwriteMode"
+        previous = self.spark.conf.get(key, None)
+        # insertInto takes the mode from the session, not from writer options
+        self.spark.conf.set(key, "dynamic")
+        try:
+            ordered.write.mode("overwrite").insertInto(table)
+        finally:
+            if previous is None:
+                self.spark.conf.unset(key)
+            else:
+                self.spark.conf.set(key, previous)
+
     def stage(self, name: str, df: DataFrame) -> tuple[str, DataFrame]:
         """Write ``df`` once to a staging table in the shared warehouse and read
         it back: the new data of an upsert is used twice (keys and rows), so

@@ -19,7 +19,33 @@ TEST_TABLES = (
 
 def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     """Scan ``<data_dir>/<name>.parquet``; nothing is read until an action."""
-    return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    return spread_thin_scan(spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet"))
+
+
+# A scan split finer than this is not worth a shuffle.
+_MIN_BYTES_PER_TASK = 512 * 1024
+
+
+def spread_thin_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than it deserves.
+
+    Parquet is split by row group, so a file written as one large row group
+    is read by a single task however many slots the cluster has, and every
+    narrow operator after it (a join against a broadcast side, partial
+    aggregation) runs in that task too. When the scan has fewer partitions
+    than ``min(default parallelism, size / 512 KiB)`` it is repartitioned
+    round-robin to that many. On real data (many row groups, many files) the
+    scan already has more partitions and this is a no-op; the size bound keeps
+    tiny dimension tables in one partition.
+    """
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    current = df.rdd.getNumPartitions()
+    if current >= slots:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = min(slots, max(1, size // _MIN_BYTES_PER_TASK))
+    return df.repartition(wanted) if wanted > current else df
 
 
 def source(spark: SparkSession, schema: str, table: str) -> DataFrame:

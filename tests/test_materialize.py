@@ -201,3 +201,44 @@ def test_seed_from_csv(spark, project, scratch):
     assert got["b"].val2 is None and got["a"].val2 == 3000000000.0 and got["c"].flag is None
     typed = project.seed("s2", path, column_types={"val1": "Int32", "clock": "String", "val2": "Nullable(Float64)"})
     assert dict(typed.dtypes)["val1"] == "int"
+
+
+def test_partition_scoped_upsert_rewrites_only_touched_partitions(spark, project):
+    import datetime as dt
+
+    data = [(i, f"v{i}", dt.date(2024, 1, 1 + i % 3)) for i in range(9)]
+    df = spark.createDataFrame(data, "id long, v string, day date")
+    layout = Layout(partition_by=["day"], order_by=["id"])
+    project.incremental("pu", df, unique_key="id", layout=layout)
+    table = project.publisher.version_table("pu", 1)
+    files_before = {d: set(spark.table(table).filter(F.col("day") == d).inputFiles())
+                    for d in (dt.date(2024, 1, 1), dt.date(2024, 1, 2))}
+    new = spark.createDataFrame([(1, "new1", dt.date(2024, 1, 2)), (20, "new20", dt.date(2024, 1, 2))],
+                                "id long, v string, day date")
+    project.incremental("pu", new, unique_key="id", layout=layout, partition_scoped=True)
+    assert project.publisher.current_version("pu") == 1          # in place, no new version
+    got = rows(project.ref("pu"), "id", "v")
+    expected = sorted([(i, f"v{i}") for i in range(9) if i != 1] + [(1, "new1"), (20, "new20")], key=repr)
+    assert got == expected
+    untouched = set(spark.table(table).filter(F.col("day") == dt.date(2024, 1, 1)).inputFiles())
+    assert untouched == files_before[dt.date(2024, 1, 1)]
+    touched = set(spark.table(table).filter(F.col("day") == dt.date(2024, 1, 2)).inputFiles())
+    assert touched != files_before[dt.date(2024, 1, 2)]
+
+
+def test_bucketed_target_upsert_does_not_shuffle_the_target(spark, project):
+    from modelsmith.operators.incremental import plan_upsert
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        old = spark.range(2000).select(F.col("id"), (F.col("id") * 2).alias("v"))
+        layout = Layout(buckets=4, bucket_by=["id"], order_by=["id"])
+        project.table("bk", old, layout=layout)
+        new = spark.range(1990, 2010).select(F.col("id"), F.lit(-1).cast("long").alias("v"))
+        plan = plan_upsert(project.ref("bk"), new, "id")._jdf.queryExecution().executedPlan().toString()
+        anti = plan[plan.index("LeftAnti"):]
+        target_side = anti[: anti.index("FileScan")]
+        assert "Exchange" not in target_side.split("\n")[1], plan
+        assert plan_upsert(project.ref("bk"), new, "id").count() == 2010
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
