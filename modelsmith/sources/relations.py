@@ -7,7 +7,9 @@ filters and prune columns into the Parquet scan.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Tables of the driver's test data directories (one Parquet file each).
 TEST_TABLES = (
@@ -33,8 +35,8 @@ def spread_thin_scan(df: DataFrame) -> DataFrame:
     is read by a single task however many slots the cluster has, and every
     narrow operator after it (a join against a broadcast side, partial
     aggregation) runs in that task too. When the scan has fewer partitions
-    than ``min(default parallelism, size / 512 KiB)`` it is repartitioned
-    round-robin to that many. On real data (many row groups, many files) the
+    than ``min(default parallelism, size / 512 KiB)`` it is hash-repartitioned
+    on the Parquet row position to that many. On real data (many row groups, many files) the
     scan already has more partitions and this is a no-op; the size bound keeps
     tiny dimension tables in one partition.
     """
@@ -45,7 +47,17 @@ def spread_thin_scan(df: DataFrame) -> DataFrame:
         return df
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     wanted = min(slots, max(1, size // _MIN_BYTES_PER_TASK))
-    return df.repartition(wanted) if wanted > current else df
+    if wanted <= current:
+        return df
+    try:
+        # Hash on the Parquet row position: deterministic across task retries
+        # without the sort a round-robin repartition needs, and it references
+        # no data column, so filters and column pruning still reach the scan.
+        row_index = F.col("_metadata.row_index")
+        df.select(row_index).schema  # noqa: B018  (resolves only for Parquet scans)
+        return df.repartition(wanted, row_index)
+    except AnalysisException:
+        return df.repartition(wanted)
 
 
 def source(spark: SparkSession, schema: str, table: str) -> DataFrame:
