@@ -75,7 +75,7 @@ def parse_threshold(spec: str):
 
 def check_result(
     failing_rows: DataFrame,
-    fail_calc: Column | None = None,
+    fail_calc: Column | str | None = None,
     warn_if: str = "!= 0",
     error_if: str = "!= 0",
     limit: int | None = None,
@@ -85,7 +85,10 @@ def check_result(
     failing rows (default ``count(*)``); ``limit`` caps the rows it looks at,
     which is part of the check's definition."""
     rows = failing_rows.limit(limit) if limit is not None else failing_rows
-    calc = fail_calc if fail_calc is not None else F.count(F.lit(1))
+    if isinstance(fail_calc, str):
+        calc = F.expr(fail_calc)
+    else:
+        calc = fail_calc if fail_calc is not None else F.count(F.lit(1))
     summary = rows.agg(calc.alias("failures"))
     warn_op, warn_n = parse_threshold(warn_if)
     err_op, err_n = parse_threshold(error_if)

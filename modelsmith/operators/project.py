@@ -193,6 +193,34 @@ class Project:
             pub.drop(stage_name)
         return self.ref(name)
 
+    # ------------------------------------------------------------- C7
+    def catalog(self, stats: Sequence[str] = ("row_count", "null_count", "min_value", "max_value")) -> DataFrame:
+        """Column catalog of every published relation of the schema, with the
+        relation and column comments and statistics (one aggregate per relation)."""
+        from modelsmith.operators.stats import column_stats
+
+        pub = self.publisher
+        frames = []
+        for name in pub.models():
+            qualified = pub.qualified(name)
+            kind = "view" if pub.current_version(name) is None else "table"
+            comment = self._comment(qualified)
+            frames.append(column_stats(self.spark.table(qualified), name, pub.schema, kind, comment,
+                                       stats=stats))
+        if not frames:
+            raise ValueError(f"schema {pub.schema} has no relations")
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out
+
+    def _comment(self, qualified: str) -> str | None:
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {qualified}").collect()
+        for r in rows:
+            if r.col_name == "Comment":
+                return r.data_type
+        return None
+
     # ------------------------------------------------------------- A2
     def seed(self, name: str, path: str, column_types: Mapping[str, str] | None = None,
              layout: Layout | None = None, **csv_options) -> DataFrame:
@@ -205,16 +233,23 @@ class Project:
 
 def validate_snapshot_source(source: DataFrame, unique_key, strategy: str, updated_at: str | None) -> None:
     """Refuse inputs that have no well-defined history: duplicate or NULL keys,
-    and NULL ``updated_at`` under the timestamp strategy. One distributed
-    check each; only a boolean reaches the driver."""
+    and NULL ``updated_at`` under the timestamp strategy. One grouped pass
+    (partial aggregation, so a hot key is collapsed map-side); only whether a
+    bad group exists reaches the driver."""
     keys = [unique_key] if isinstance(unique_key, str) else list(unique_key)
-    if checks.unique(source, keys).limit(1).count():
-        raise SnapshotInputError(f"snapshot source has duplicate keys on {keys}")
     null_key = None
     for k in keys:
         cond = F.col(k).isNull()
         null_key = cond if null_key is None else (null_key | cond)
+    aggs = [F.count(F.lit(1)).alias("_n")]
     if strategy == "timestamp" and updated_at:
-        null_key = null_key | F.col(updated_at).isNull()
-    if source.filter(null_key).limit(1).count():
+        aggs.append(F.max(F.col(updated_at).isNull().cast("int")).alias("_null_ts"))
+    else:
+        aggs.append(F.lit(0).alias("_null_ts"))
+    groups = source.groupBy(*keys).agg(*aggs)
+    bad = groups.filter((F.col("_n") > 1) | null_key | (F.col("_null_ts") > 0)).limit(1).collect()
+    if bad:
+        row = bad[0]
+        if row["_n"] > 1:
+            raise SnapshotInputError(f"snapshot source has duplicate keys on {keys}")
         raise SnapshotInputError("snapshot source has NULL keys or NULL updated_at values")

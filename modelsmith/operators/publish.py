@@ -116,11 +116,16 @@ class Publisher:
 
     def kind(self, name: str) -> str | None:
         """'view' / 'table' for an existing relation, else None."""
-        t = self._tables().get(name.lower()) or self._tables().get(name)
+        tables = self._tables()
+        t = tables.get(name.lower()) or tables.get(name)
         if t is None:
             return None
         return "view" if t == "VIEW" else "table"
 
+    def models(self) -> list[str]:
+        """Published relations of the schema (versions and staging excluded)."""
+        return sorted(n for n in self._tables() if not re.search(r"__(v\d+|stage_[0-9a-f]+)$", n))
+
     def versions(self, name: str) -> list[int]:
         pat = re.compile(rf"^{re.escape(name.lower())}__v(\d+)$")
         return sorted(int(m.group(1)) for t in self._tables() if (m := pat.match(t.lower())))
@@ -216,7 +221,8 @@ class Publisher:
             f"CREATE OR REPLACE VIEW {self.qualified(name)} ({col_list}){clauses} "
             f"AS SELECT {select} FROM {self.version_table(name, version)}"
         )
-        self.retire(name, keep={version, previous})
+        newest = [v for v in self.versions(name) if v <= version][-self.keep_versions:]
+        self.retire(name, keep={version, previous, *newest})
 
     def retire(self, name: str, keep: set) -> None:
         """Drop version tables not in ``keep`` (the live one and the one before:

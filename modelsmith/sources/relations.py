@@ -40,12 +40,15 @@ def spread_thin_scan(df: DataFrame) -> DataFrame:
     scan already has more partitions and this is a no-op; the size bound keeps
     tiny dimension tables in one partition.
     """
-    spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
-    current = df.rdd.getNumPartitions()
-    if current >= slots:
+    try:
+        spark = df.sparkSession
+        slots = spark.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+        if current >= slots:
+            return df
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001  (e.g. a Spark Connect session: no RDD/JVM handles)
         return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     wanted = min(slots, max(1, size // _MIN_BYTES_PER_TASK))
     if wanted <= current:
         return df

@@ -242,3 +242,17 @@ def test_bucketed_target_upsert_does_not_shuffle_the_target(spark, project):
         assert plan_upsert(project.ref("bk"), new, "id").count() == 2010
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_upper_case_model_name_and_catalog(spark, project):
+    project.table("Seeds_Upper", _df(spark, [(i, f"n{i}") for i in range(10)]),
+                  comment="ten rows", column_comments={"id": "row id"})
+    assert project.ref("Seeds_Upper").count() == 10
+    project.table("Seeds_Upper", _df(spark, [(i, f"n{i}") for i in range(10)]))
+    assert project.publisher.versions("Seeds_Upper") == [1, 2]
+    project.view("v_upper", f"SELECT id FROM {project.publisher.schema}.seeds_upper")
+    cat = {(r.table_name, r.column_name): r for r in project.catalog().collect()}
+    assert cat[("seeds_upper", "id")].row_count == 10
+    assert cat[("seeds_upper", "id")].column_index == 1
+    assert cat[("v_upper", "id")].table_type == "view"
+    assert cat[("seeds_upper", "v")].max_value == "n9"
