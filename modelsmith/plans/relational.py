@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame  # noqa: F401
 from pyspark.sql import functions as F
 
 from modelsmith import functions as fn
+from modelsmith.operators import setops
 from modelsmith.plans._registry import register
 from modelsmith.sources.relations import read_table
 
@@ -314,12 +315,12 @@ SELECT o_custkey AS custkey FROM orders
 EXCEPT
 SELECT c_custkey AS custkey FROM customer WHERE c_mktsegment = 'BUILDING'""")
 def set_except(spark, d):
-    """H4: EXCEPT (distinct), planned as a left anti join on all columns."""
+    """H4: EXCEPT (distinct) as one tagged aggregation (see operators.setops)."""
     a = _t(spark, d, "orders").select(F.col("o_custkey").alias("custkey"))
     b = _t(spark, d, "customer").filter(F.col("c_mktsegment") == "BUILDING").select(
         F.col("c_custkey").alias("custkey")
     )
-    return a.subtract(b)
+    return setops.except_distinct(a, b)
 
 
 @register("set_intersect", """
@@ -327,12 +328,12 @@ SELECT l_partkey AS partkey FROM lineitem WHERE l_returnflag = 'R'
 INTERSECT
 SELECT p_partkey AS partkey FROM part WHERE p_size > 25""")
 def set_intersect(spark, d):
-    """H5: INTERSECT (distinct), planned as a left semi join on all columns."""
+    """H5: INTERSECT (distinct) as one tagged aggregation."""
     a = _t(spark, d, "lineitem").filter(F.col("l_returnflag") == "R").select(
         F.col("l_partkey").alias("partkey")
     )
     b = _t(spark, d, "part").filter(F.col("p_size") > 25).select(F.col("p_partkey").alias("partkey"))
-    return a.intersect(b)
+    return setops.intersect_distinct(a, b)
 
 
 @register("row_count", "SELECT count(*) AS row_count FROM lineitem")

@@ -77,3 +77,14 @@ def test_column_stats(spark):
     assert (out["k"].null_count, out["k"].min_value, out["k"].max_value, out["k"].row_count) == (1, "1", "3", 3)
     assert out["s"].approx_distinct == 2
     assert out["arr"].min_value is None and out["arr"].column_type == "array<int>"
+
+
+def test_set_operations_are_null_safe_and_distinct(spark):
+    from modelsmith.operators import setops
+
+    a = spark.createDataFrame([(1, None), (1, None), (2, "x"), (3, "y")], "k int, v string")
+    b = spark.createDataFrame([(1, None), (3, "z"), (3, "y"), (3, "y")], "k int, v string")
+    assert rows(setops.except_distinct(a, b)) == rows(a.subtract(b)) == [(2, "x")]
+    assert rows(setops.intersect_distinct(a, b)) == rows(a.intersect(b))
+    plan = setops.except_distinct(a, b)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
