@@ -21,7 +21,9 @@ _MONTHS_PER = {"month": 1, "quarter": 3, "year": 12}
 
 
 def _unit(datepart: str) -> str:
-    key = datepart.strip().lower().rstrip("s") if datepart.lower() != "seconds" else "second"
+    key = datepart.strip().lower()
+    if key not in _UNITS and key.endswith("s") and key[:-1] in _UNITS:
+        key = key[:-1]  # plural spellings: days, months, ...
     if key not in _UNITS:
         raise ValueError(f"unsupported date part: {datepart!r}")
     return key

@@ -224,6 +224,26 @@ class Publisher:
         newest = [v for v in self.versions(name) if v <= version][-self.keep_versions:]
         self.retire(name, keep={version, previous, *newest})
 
+    def drop_orphans(self) -> list[str]:
+        """Drop what interrupted builds left behind: staging tables, and
+        version tables newer than the published one (a build that wrote its
+        version but died before the swap). Returns the dropped names."""
+        dropped = []
+        tables = self._tables()
+        for t in tables:
+            if re.search(r"__stage_[0-9a-f]+$", t):
+                self.drop(self.qualified(t))
+                dropped.append(t)
+        for model in self.models():
+            current = self.current_version(model)
+            if current is None:
+                continue
+            for v in self.versions(model):
+                if v > current:
+                    self.drop(self.version_table(model, v))
+                    dropped.append(f"{model}__v{v}")
+        return dropped
+
     def retire(self, name: str, keep: set) -> None:
         """Drop version tables not in ``keep`` (the live one and the one before:
         a DataFrame already planned against the previous version still reads)."""

@@ -81,7 +81,16 @@ def first_snapshot(
 
 
 def _classified(target, source, keys, strategy, updated_at, check_cols, as_of, invalidate_hard_deletes):
+    known = {c.lower() for c in target.columns}
+    added = [f for f in source.schema.fields if f.name.lower() not in known]
+    if added:
+        # Columns new in the source join the snapshot; existing versions hold NULL.
+        data = [F.col(f"`{c}`") for c in target.columns if c not in SCD_COLUMNS]
+        target = target.select(*data, *[F.lit(None).cast(f.dataType).alias(f.name) for f in added],
+                               *SCD_COLUMNS)
     data_cols = [c for c in target.columns if c not in SCD_COLUMNS]
+    if check_cols == "all":
+        check_cols = [c for c in data_cols if c not in keys]
     target_types = [(f.name, f.dataType) for f in target.schema.fields if f.name in data_cols]
     src = project_to(source, target_types)
     live = target.filter(F.col("valid_to").isNull())

@@ -256,3 +256,24 @@ def test_upper_case_model_name_and_catalog(spark, project):
     assert cat[("seeds_upper", "id")].column_index == 1
     assert cat[("v_upper", "id")].table_type == "view"
     assert cat[("seeds_upper", "v")].max_value == "n9"
+
+
+def test_snapshot_new_source_column_and_check_all(spark, project):
+    kw = dict(unique_key="id", strategy="check", check_cols="all", validate=False)
+    project.snapshot("n", _src(spark, [(1, "a", None), (2, "b", None)]), as_of="2024-01-01 00:00:00", **kw)
+    wider = spark.createDataFrame([(1, "a", None, "x"), (2, "b", None, None)],
+                                  "id long, name string, updated_at timestamp_ntz, extra string")
+    project.snapshot("n", wider, as_of="2024-02-01 00:00:00", **kw)
+    out = rows(project.ref("n"), "id", "name", "extra", "valid_to")
+    # key 1 changed (extra: NULL -> 'x'), key 2 did not (NULL <=> NULL)
+    assert out == sorted([(1, "a", None, _ts("2024-02-01")), (1, "a", "x", None), (2, "b", None, None)], key=repr)
+
+
+def test_drop_orphans(spark, project):
+    project.table("o", _df(spark, [(1, "a")]))
+    pub = project.publisher
+    pub.write_version("o", _df(spark, [(2, "b")]))           # written, never swapped
+    pub.stage("o", _df(spark, [(3, "c")]))                    # staging left behind
+    dropped = pub.drop_orphans()
+    assert "o__v2" in dropped and any("__stage_" in d for d in dropped)
+    assert pub.versions("o") == [1] and rows(project.ref("o")) == [(1, "a")]
