@@ -122,16 +122,20 @@ class Project:
 
         this = self.ref(name)
         new = self._run_model(model, ModelContext(self.spark, True, this))
+        if inserts_only or unique_key is None:
+            # The new rows are read once, so they are not staged.
+            cols = target_schema(this.schema, new.schema, on_schema_change)
+            if [(f.name, f.dataType) for f in this.schema.fields] == cols:
+                # unchanged schema: append to the live version in place, no rewrite
+                pub.append_to_version(name, version, project_to(new, cols), layout)
+            else:
+                pub.publish(name, plan_append(this, new, on_schema_change), layout, comment,
+                            column_comments)
+            return self.ref(name)
+        # An upsert reads the new rows twice (keys, rows): stage them once.
         stage_name, staged = pub.stage(name, new)
         try:
-            if inserts_only or unique_key is None:
-                cols = target_schema(this.schema, staged.schema, on_schema_change)
-                if [(f.name, f.dataType) for f in this.schema.fields] == cols:
-                    # B5 with an unchanged schema: append in place, no rewrite
-                    pub.append_to_version(name, version, project_to(staged, cols), layout)
-                    return self.ref(name)
-                nxt = plan_append(this, staged, on_schema_change)
-            elif partition_scoped:
+            if partition_scoped:
                 cols = target_schema(this.schema, staged.schema, on_schema_change)
                 if [(f.name, f.dataType) for f in this.schema.fields] != cols:
                     raise ValueError("a partition-scoped upsert cannot change the schema; "

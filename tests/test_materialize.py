@@ -277,3 +277,13 @@ def test_drop_orphans(spark, project):
     dropped = pub.drop_orphans()
     assert "o__v2" in dropped and any("__stage_" in d for d in dropped)
     assert pub.versions("o") == [1] and rows(project.ref("o")) == [(1, "a")]
+
+
+def test_inserts_only_and_unchanged_sync(spark, project):
+    schema = "user_id_current_time string, platform string"
+    project.incremental("ins", spark.createDataFrame([("u1", "p" * 20)], schema), unique_key="user_id_current_time",
+                        inserts_only=True, on_schema_change="sync_all_columns")
+    project.incremental("ins", spark.createDataFrame([("u1", "p" * 18)], schema), unique_key="user_id_current_time",
+                        inserts_only=True, on_schema_change="sync_all_columns")
+    assert rows(project.ref("ins")) == [("u1", "p" * 18), ("u1", "p" * 20)]     # duplicates kept
+    assert project.publisher.current_version("ins") == 1                      # appended in place
