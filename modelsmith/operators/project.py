@@ -25,7 +25,6 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelsmith.operators import checks
 from modelsmith.operators.incremental import (
     plan_append,
     plan_partition_upsert,

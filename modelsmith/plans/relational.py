@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame  # noqa: F401
 from pyspark.sql import functions as F
 
 from modelsmith import functions as fn

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType, ByteType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, MapType,
     ShortType, StringType, TimestampNTZType, TimestampType,
