@@ -100,8 +100,9 @@ class Project:
 
         First run (or ``full_refresh``): the model's output becomes the first
         version. Later runs: the model sees ``ctx.is_incremental`` and the live
-        target ``ctx.this``; its output is staged once, then appended (no
-        ``unique_key``, or ``inserts_only``) or upserted on ``unique_key``.
+        target ``ctx.this``; its output is appended (no ``unique_key``, or
+        ``inserts_only``; in place when the schema is unchanged) or staged once
+        and upserted on ``unique_key`` into a new version.
         ``partition_scoped=True`` (with ``layout.partition_by``, and a key
         that never changes partition) rewrites only the partitions the new
         data touches, in place, instead of writing a new version.
