@@ -82,6 +82,7 @@ GROUP BY id
 
 @register("flagship_insight", FLAGSHIP_ORACLE)
 def flagship_insight(spark, data_dir: str) -> DataFrame:
+    """F9 + E1 + E3 + F2-F5: per-customer insight, aggregated before joining."""
     return customer_insight(
         read_table(spark, data_dir, "customer"),
         read_table(spark, data_dir, "orders"),
