@@ -18,12 +18,16 @@ The merge is one pass instead of staging plus four statements: the live rows
 (``valid_to IS NULL``) are full-outer-joined with the source on the key, and
 each joined row emits up to two rows — the live version (kept or closed) and a
 new version — through ``inline(filter(array(...)))``. Closed history is
-carried over untouched and is never shuffled. Each input is read once.
+carried over untouched and is not shuffled. Each input is read once.
 
 When hard deletes are on, a key without a live row may have closed history
 (it was deleted and came back). Its new version starts no earlier than its
 last ``valid_to`` and the version id hashes that start, so the returning
-version never collides with the closed one and the closed one is kept.
+version never collides with the closed one and the closed one is kept. Only
+this opt-in path reads closed history: its ``(key, valid_to)`` columns are
+semi-joined to the keys that have no live row (usually a small set, which
+Spark's runtime Bloom filter or AQE's broadcast conversion can exploit) and
+reduced to one row per key.
 """
 
 from __future__ import annotations
