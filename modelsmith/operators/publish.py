@@ -204,9 +204,9 @@ class Publisher:
         the relation and column comments, then retire old versions."""
         kind = self.kind(name)
         if kind == "table":
-            raise ValueError(
-                f"{self.schema}.{name} is a table not managed by this toolkit; drop it first"
-            )
+            # A plain table of that name (built by other means) is replaced, as
+            # a table materialization replaces whatever relation held the name.
+            self.drop(self.qualified(name))
         previous = self.current_version(name)
         cols = self.spark.table(self.version_table(name, version)).columns
         column_comments = dict(column_comments or {})

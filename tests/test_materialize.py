@@ -287,3 +287,13 @@ def test_inserts_only_and_unchanged_sync(spark, project):
                         inserts_only=True, on_schema_change="sync_all_columns")
     assert rows(project.ref("ins")) == [("u1", "p" * 18), ("u1", "p" * 20)]     # duplicates kept
     assert project.publisher.current_version("ins") == 1                      # appended in place
+
+
+def test_table_model_replaces_plain_table_and_view_model(spark, project):
+    schema = project.publisher.schema
+    spark.createDataFrame([(9, "old")], "id long, v string").write.saveAsTable(f"{schema}.plain")
+    project.table("plain", _df(spark, [(1, "new")]))
+    assert rows(project.ref("plain")) == [(1, "new")]
+    project.view("vm", f"SELECT 1 AS one")
+    project.incremental("vm", _df(spark, [(2, "x")]), unique_key="id")   # a view is rebuilt as a table
+    assert rows(project.ref("vm")) == [(2, "x")] and project.publisher.current_version("vm") == 1
