@@ -297,3 +297,22 @@ def test_table_model_replaces_plain_table_and_view_model(spark, project):
     project.view("vm", f"SELECT 1 AS one")
     project.incremental("vm", _df(spark, [(2, "x")]), unique_key="id")   # a view is rebuilt as a table
     assert rows(project.ref("vm")) == [(2, "x")] and project.publisher.current_version("vm") == 1
+
+
+def test_bucketed_snapshot_does_not_shuffle_live_rows(spark, project):
+    from modelsmith.operators.snapshot import plan_snapshot
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        src = spark.range(3000).select(F.col("id"), F.lit("a").alias("name"),
+                                       F.lit("2024-01-01").cast("timestamp_ntz").alias("updated_at"))
+        layout = Layout(buckets=4, bucket_by=["id"])
+        project.snapshot("bs", src, "id", updated_at="updated_at", layout=layout, validate=False)
+        plan = plan_snapshot(project.ref("bs"), src, "id", updated_at="updated_at", as_of="2024-02-01")
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        join = text[text.index("FullOuter"):]
+        live_side = join[: join.index("FileScan")]
+        assert "Exchange" not in live_side and "Bucketed: true" in join, text   # live rows stay put
+        assert "Exchange hashpartitioning" in join[join.index("FileScan"):]      # the source moves
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
