@@ -6,6 +6,7 @@ from modelsmith.functions.aggregates import (
     bool_or,
     count_distinct,
     exact_avg,
+    exact_sum,
     group_array,
     listagg,
     listagg_limited,
@@ -27,7 +28,7 @@ from modelsmith.functions.text import (
 )
 
 __all__ = [
-    "any_value", "bool_or", "count_distinct", "exact_avg", "group_array", "listagg",
+    "any_value", "bool_or", "count_distinct", "exact_avg", "exact_sum", "group_array", "listagg",
     "listagg_limited", "array_append", "array_concat", "array_construct", "element_at",
     "PORTABLE_TYPES", "cast_to", "safe_cast", "type_of", "date_trunc", "dateadd",
     "datediff", "last_day", "now", "half_md5", "half_md5_of_text", "scd_id",
