@@ -316,3 +316,15 @@ def test_bucketed_snapshot_does_not_shuffle_live_rows(spark, project):
         assert "Exchange hashpartitioning" in join[join.index("FileScan"):]      # the source moves
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_swap_materializations_view_table_view_and_empty(spark, project):
+    schema = project.publisher.schema
+    project.table("base2", _df(spark, [(1, "a"), (2, "b")]))
+    project.view("swap", f"SELECT id FROM {schema}.base2", comment="as a view")
+    project.table("swap", project.ref("base2").select("id", "v"))          # view -> table
+    assert project.ref("swap").columns == ["id", "v"] and project.publisher.current_version("swap") == 1
+    project.view("swap", f"SELECT v FROM {schema}.base2")                   # table -> view
+    assert project.ref("swap").columns == ["v"] and project.publisher.versions("swap") == []
+    empty = project.table("empty", _df(spark, []))                          # an empty model builds
+    assert empty.count() == 0 and empty.columns == ["id", "v"]
