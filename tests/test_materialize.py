@@ -328,3 +328,12 @@ def test_swap_materializations_view_table_view_and_empty(spark, project):
     assert project.ref("swap").columns == ["v"] and project.publisher.versions("swap") == []
     empty = project.table("empty", _df(spark, []))                          # an empty model builds
     assert empty.count() == 0 and empty.columns == ["id", "v"]
+
+
+def test_sink_format_is_configurable(spark, project):
+    layout = Layout(format="orc", order_by=["id"])
+    project.table("orc_model", _df(spark, [(2, "b"), (1, "a")]), layout=layout)
+    table = project.publisher.version_table("orc_model", 1)
+    provider = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    assert provider.get("Provider", "").lower() == "orc"
+    assert rows(project.ref("orc_model")) == [(1, "a"), (2, "b")]
