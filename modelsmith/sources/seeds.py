@@ -6,9 +6,10 @@ read as text; its type is then inferred in **one** aggregate pass over the
 data (per column, a bitmask of the kinds of values present), and a declared
 ``column_types`` entry always wins over inference.
 
-Inference order (first type that every non-empty value fits): bigint, double,
-boolean, date (``YYYY-MM-DD`` only), timestamp (date, ``T`` or space, time),
-else string. Time-of-day values stay strings.
+Inference order (first type that every non-empty value fits): bigint,
+decimal(38,0) (whole numbers beyond 64 bits), double, boolean, date
+(``YYYY-MM-DD`` only), timestamp (date, ``T`` or space, time; date-only values
+may mix in), else string. Time-of-day values stay strings.
 """
 
 from __future__ import annotations
@@ -26,21 +27,24 @@ from modelsmith.operators.types import parse_type
 # The pattern is tested first, so the cast is only tried on plausible values.
 _CANDIDATES = (
     (1, "bigint", r"^[+-]?\d{1,19}$"),
-    (2, "double", None),
-    (3, "boolean", r"^(?i)(true|false)$"),
-    (4, "date", r"^\d{4}-\d{2}-\d{2}$"),
-    (5, "timestamp_ntz", r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"),
+    (2, "decimal(38,0)", r"^[+-]?\d{1,38}$"),
+    (3, "double", None),
+    (4, "boolean", r"^(?i)(true|false)$"),
+    (5, "date", r"^\d{4}-\d{2}-\d{2}$"),
+    (6, "timestamp_ntz", r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"),
 )
-_STRING_CODE = 6
+_STRING_CODE = 7
 
 # Sets of codes seen in a column (empty values excluded) and the
-# column type they give; any other mix is string.
+# column type they give (the first set that holds them all); any other mix is
+# string. Whole numbers beyond 64 bits stay exact as decimal(38,0).
 _COLUMN_TYPES = (
     ({1}, "bigint"),
-    ({1, 2}, "double"),
-    ({3}, "boolean"),
-    ({4}, "date"),
-    ({4, 5}, "timestamp_ntz"),
+    ({1, 2}, "decimal(38,0)"),
+    ({1, 2, 3}, "double"),
+    ({4}, "boolean"),
+    ({5}, "date"),
+    ({5, 6}, "timestamp_ntz"),
 )
 
 
@@ -71,7 +75,7 @@ def _value_bit(c: Column) -> Column:
 def _column_type(mask: int | None) -> str:
     seen = {n for n in range(1, _STRING_CODE + 1) if mask and mask >> n & 1}
     for allowed, name in _COLUMN_TYPES:
-        if seen and seen <= allowed and (name != "timestamp_ntz" or 5 in seen):
+        if seen and seen <= allowed and (name != "timestamp_ntz" or 6 in seen):
             return name
     return "string"
 

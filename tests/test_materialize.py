@@ -337,3 +337,21 @@ def test_sink_format_is_configurable(spark, project):
     provider = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
     assert provider.get("Provider", "").lower() == "orc"
     assert rows(project.ref("orc_model")) == [(1, "a"), (2, "b")]
+
+
+def test_seed_inference_mixtures(spark, project, scratch):
+    from modelsmith.sources.seeds import infer_types
+
+    cols = {
+        "ints": ["1", "", "-3"], "huge": ["1", "123456789012345678901234", "2"],
+        "mixed_num": ["1", "2.5", "1e3"], "dates_ts": ["2020-01-01", "2020-01-02 03:04:05", ""],
+        "dates_ints": ["2020-01-01", "7", "8"], "bools": ["true", "FALSE", ""],
+        "bools_ints": ["true", "1", "0"], "empty": ["", "", ""], "clock": ["10:20", "11:00", ""],
+    }
+    data = list(zip(*cols.values()))
+    text = spark.createDataFrame(data, ", ".join(f"{c} string" for c in cols))
+    assert infer_types(text) == {
+        "ints": "bigint", "huge": "decimal(38,0)", "mixed_num": "double", "dates_ts": "timestamp_ntz",
+        "dates_ints": "string", "bools": "boolean", "bools_ints": "string", "empty": "string",
+        "clock": "string",
+    }
