@@ -28,7 +28,7 @@ from modelsmith.operators.types import parse_type
 _CANDIDATES = (
     (1, "bigint", r"^[+-]?\d{1,19}$"),
     (2, "decimal(38,0)", r"^[+-]?\d{1,38}$"),
-    (3, "double", None),
+    (3, "double", r"^[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))$"),
     (4, "boolean", r"^(?i)(true|false)$"),
     (5, "date", r"^\d{4}-\d{2}-\d{2}$"),
     (6, "timestamp_ntz", r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"),
@@ -83,16 +83,19 @@ def _column_type(mask: int | None) -> str:
 def infer_types(text: DataFrame) -> dict[str, str]:
     """Column → inferred Spark type name.
 
-    One aggregate over the data: per column, the OR of ``1 << code`` over its
-    values (a bitmask of the value kinds present). Only that one row of
-    integers reaches the driver.
+    One aggregate over the data: the text is unpivoted into (column, value)
+    cells, each value gets the bit of its kind, and the bits are OR-ed per
+    column. A single small expression serves every column, so code generation
+    stays compact however wide the seed is; partial aggregation leaves at most
+    one row per column and task for the shuffle, and one row per column (a
+    bitmask) reaches the driver.
     """
-    aggs = [
-        F.bit_or(_value_bit(F.col(f"`{c}`"))).alias(f"m{i}")
-        for i, c in enumerate(text.columns)
-    ]
-    row = text.agg(*aggs).first()
-    return {c: _column_type(row[f"m{i}"]) for i, c in enumerate(text.columns)}
+    cells = text.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").alias("v")) for i, c in enumerate(text.columns)
+    ])))
+    masks = {r["i"]: r["m"] for r in
+             cells.groupBy("i").agg(F.bit_or(_value_bit(F.col("v"))).alias("m")).collect()}
+    return {c: _column_type(masks.get(i)) for i, c in enumerate(text.columns)}
 
 
 def type_seed(text: DataFrame, column_types: Mapping[str, str] | None = None,
