@@ -5,7 +5,7 @@ Declared column types use the reference's type vocabulary, e.g.
 ``Decimal(12, 2)``, ``DateTime('UTC')``, ``Array(Nullable(String))``,
 ``Map(String, UInt64)``. :func:`parse_type` maps one onto a Spark type plus
 the constraints Spark types cannot express (unsigned range, fixed length, not
-NULL); :func:`conform` applies them to a DataFrame in one projection.
+NULL); :func:`conform` applies them to a DataFrame with two projections.
 """
 
 from __future__ import annotations
@@ -145,8 +145,8 @@ def parse_type(type_string: str) -> ColumnType:
     raise ValueError(f"unsupported type {type_string!r}")
 
 
-def _violation(source: Column, typed: Column, ct: ColumnType, name: str) -> Column:
-    """Reason text when a value does not conform, else NULL."""
+def _violations(source: Column, typed: Column, ct: ColumnType, name: str) -> list[Column]:
+    """One expression per rule: its reason text when the value breaks it, else NULL."""
     reasons = [
         F.when(source.isNotNull() & typed.isNull(), F.lit(f"{name}: not castable")),
     ]
@@ -165,12 +165,11 @@ def _violation(source: Column, typed: Column, ct: ColumnType, name: str) -> Colu
         reasons.append(
             F.when(F.length(typed) > ct.fixed_length, F.lit(f"{name}: longer than {ct.fixed_length}"))
         )
-    joined = F.concat_ws("; ", *reasons)
-    return F.when(joined != "", joined)
+    return reasons
 
 
 def conform(df: DataFrame, declared: dict[str, str], reason_column: str = "_reject_reason") -> DataFrame:
-    """Cast declared columns in one projection and attach a reject reason.
+    """Cast declared columns and attach a reject reason (no shuffle, no join).
 
     Returns the frame with declared columns typed and ``reason_column`` holding
     NULL for conforming rows; :func:`split_conformed` separates the two sets.
@@ -179,21 +178,26 @@ def conform(df: DataFrame, declared: dict[str, str], reason_column: str = "_reje
     missing = [c for c in parsed if c not in df.columns]
     if missing:
         raise ValueError(f"declared columns not in the frame: {missing}")
-    typed_cols, reasons = [], []
-    for c in df.columns:
+    # Step 1 casts each declared column once, next to its source text; step 2
+    # checks the rules against those columns. Two small projections instead of
+    # one expression tree that repeats every cast per rule keep the generated
+    # code small enough for the JIT, however many columns are declared.
+    typed_name = {c: f"__typed_{i}" for i, c in enumerate(parsed)}
+    casts = []
+    for c, ct in parsed.items():
         src = F.col(f"`{c}`")
-        if c in parsed:
-            ct = parsed[c]
-            if ct.timezone:
-                typed = F.to_utc_timestamp(src.try_cast("timestamp_ntz"), ct.timezone).cast(TimestampType())
-            else:
-                typed = src.try_cast(ct.spark_type)
-            typed_cols.append(typed.alias(c))
-            reasons.append(_violation(src, typed, ct, c))
+        if ct.timezone:
+            typed = F.to_utc_timestamp(src.try_cast("timestamp_ntz"), ct.timezone).cast(TimestampType())
         else:
-            typed_cols.append(src)
+            typed = src.try_cast(ct.spark_type)
+        casts.append(typed.alias(typed_name[c]))
+    step1 = df.select("*", *casts)
+    reasons = []
+    for c, ct in parsed.items():
+        reasons += _violations(F.col(f"`{c}`"), F.col(typed_name[c]), ct, c)
     reason = F.concat_ws("; ", *reasons) if reasons else F.lit("")
-    return df.select(*typed_cols, F.when(reason != "", reason).alias(reason_column))
+    out = [F.col(typed_name[c]).alias(c) if c in parsed else F.col(f"`{c}`") for c in df.columns]
+    return step1.select(*out, F.when(reason != "", reason).alias(reason_column))
 
 
 def split_conformed(conformed: DataFrame, reason_column: str = "_reject_reason"):
