@@ -17,7 +17,8 @@ Hard deletes (opt-in): a live key missing from the source is closed at
 The merge is one pass instead of staging plus four statements: the live rows
 (``valid_to IS NULL``) are full-outer-joined with the source on the key, and
 each joined row emits up to two rows — the live version (kept or closed) and a
-new version — through ``inline(filter(array(...)))``. Closed history is
+new version — by exploding a two-element literal and picking each column per
+side. Closed history is
 carried over untouched and is not shuffled. Each input is read once.
 
 When hard deletes are on, a key without a live row may have closed history
@@ -170,22 +171,23 @@ def plan_snapshot(
         .when(F.col("_deleted"), when_ts)
         .otherwise(l["valid_to"])
     )
-    live_out = F.when(
-        F.col("_in_live"),
-        F.struct(*[l[c].alias(c) for c in data_cols],
-                 l["scd_id"].alias("scd_id"), l["scd_updated_at"].alias("scd_updated_at"),
-                 l["valid_from"].alias("valid_from"), new_to.cast("timestamp_ntz").alias("valid_to")),
+    # Each joined row yields up to two rows: side 0 is the live version (kept
+    # or closed), side 1 the new version. Exploding a two-element literal and
+    # choosing each column per side keeps the generated code to one small
+    # CASE per column.
+    emit_new = F.col("_in_src") & (~F.col("_in_live") | F.col("_changed"))
+    pairs = j.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_side")).filter(
+        ((F.col("_side") == 0) & F.col("_in_live")) | ((F.col("_side") == 1) & emit_new)
     )
+    live_side = F.col("_side") == 0
     key_vals = [s[k] for k in keys]
-    new_out = F.when(
-        F.col("_in_src") & (~F.col("_in_live") | F.col("_changed")),
-        F.struct(*[s[c].alias(c) for c in data_cols],
-                 _scd_hash(*key_vals, F.col("_start")).alias("scd_id"),
-                 F.col("_start").alias("scd_updated_at"),
-                 F.col("_start").alias("valid_from"),
-                 F.lit(None).cast("timestamp_ntz").alias("valid_to")),
+    emitted = pairs.select(
+        *[F.when(live_side, l[c]).otherwise(s[c]).alias(c) for c in data_cols],
+        F.when(live_side, l["scd_id"]).otherwise(_scd_hash(*key_vals, F.col("_start"))).alias("scd_id"),
+        F.when(live_side, l["scd_updated_at"]).otherwise(F.col("_start")).alias("scd_updated_at"),
+        F.when(live_side, l["valid_from"]).otherwise(F.col("_start")).alias("valid_from"),
+        F.when(live_side, new_to).cast("timestamp_ntz").alias("valid_to"),
     )
-    emitted = j.select(F.inline(F.filter(F.array(live_out, new_out), lambda r: r.isNotNull())))
     return closed.select(*emitted.columns).unionByName(emitted)
 
 
