@@ -106,3 +106,26 @@ def check_result(
 def singular(failing_rows: DataFrame, **kwargs) -> DataFrame:
     """A singular check: any DataFrame of failing rows; passes when empty."""
     return check_result(failing_rows, **kwargs)
+
+
+class CheckFailed(AssertionError):
+    """Raised by :func:`enforce` when a check reaches error severity."""
+
+
+def evaluate(failing_rows: DataFrame, **kwargs) -> tuple[str, object]:
+    """Run a check and return ``(status, failures)`` with status ``'pass'``,
+    ``'warn'`` or ``'error'``. Only the one-row verdict reaches the driver."""
+    row = check_result(failing_rows, **kwargs).first()
+    if row["should_error"] == "true":
+        return "error", row["failures"]
+    if row["should_warn"] == "true":
+        return "warn", row["failures"]
+    return "pass", row["failures"]
+
+
+def enforce(failing_rows: DataFrame, name: str = "check", **kwargs) -> tuple[str, object]:
+    """:func:`evaluate`, raising :class:`CheckFailed` on error severity."""
+    status, failures = evaluate(failing_rows, **kwargs)
+    if status == "error":
+        raise CheckFailed(f"{name}: {failures} failing")
+    return status, failures

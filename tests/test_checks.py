@@ -102,3 +102,11 @@ def test_column_stats_sketch_against_exact_counts(spark):
     for c, n in exact.items():
         assert abs(got[c].approx_distinct - n) <= max(2, 0.15 * n), (c, got[c].approx_distinct, n)
         assert got[c].row_count == lineitem.count()
+
+
+def test_evaluate_and_enforce(spark):
+    failing = spark.range(5)
+    assert checks.evaluate(failing, warn_if="> 2", error_if="> 10") == ("warn", 5)
+    assert checks.evaluate(spark.range(0)) == ("pass", 0)
+    with pytest.raises(checks.CheckFailed):
+        checks.enforce(failing, name="five rows", error_if=">= 5")
