@@ -183,7 +183,9 @@ class Project:
     ) -> DataFrame:
         pub = self.publisher
         src = self._run_model(source, ModelContext(self.spark, False, None))
-        stage_name, staged = pub.stage(name, src)
+        # Validation and the merge both read the source: stage it once so the
+        # model runs once. Without validation the merge reads it once, unstaged.
+        stage_name, staged = pub.stage(name, src) if validate else (None, src)
         try:
             if validate:
                 validate_snapshot_source(staged, unique_key, strategy, updated_at)
@@ -194,7 +196,8 @@ class Project:
                                 as_of, invalidate_hard_deletes)
             pub.publish(name, nxt, layout)
         finally:
-            pub.drop(stage_name)
+            if stage_name is not None:
+                pub.drop(stage_name)
         return self.ref(name)
 
     # ------------------------------------------------------------- C7
