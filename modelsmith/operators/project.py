@@ -31,9 +31,9 @@ from modelsmith.operators.incremental import (
     plan_update_column,
     plan_upsert,
 )
-from modelsmith.operators.publish import Layout, Publisher
+from modelsmith.operators.publish import OPEN_FLAG, Layout, Publisher
 from modelsmith.operators.schema_change import POLICIES, project_to, target_schema
-from modelsmith.operators.snapshot import plan_snapshot
+from modelsmith.operators.snapshot import first_snapshot, plan_snapshot, plan_snapshot_increment
 
 
 @dataclass
@@ -180,7 +180,20 @@ class Project:
         invalidate_hard_deletes: bool = False,
         validate: bool = True,
         layout: Layout | None = None,
+        segmented: bool = False,
+        max_segments: int = 16,
     ) -> DataFrame:
+        """Build a snapshot (see :mod:`modelsmith.operators.snapshot`).
+
+        ``segmented=False`` writes each run as a full new version (closed
+        history copied). ``segmented=True`` stores history as segments: each
+        run writes one table holding only the rows it closes and the new live
+        set, and the view unions every run's closed rows with the latest live
+        set, so a run costs O(live rows + source), not O(history). When more
+        than ``max_segments`` closed segments accumulate they are compacted
+        into one. An existing versioned snapshot is converted on the first
+        segmented run.
+        """
         pub = self.publisher
         src = self._run_model(source, ModelContext(self.spark, False, None))
         # Validation and the merge both read the source: stage it once so the
@@ -191,15 +204,63 @@ class Project:
                 validate_snapshot_source(staged, unique_key, strategy, updated_at)
             if as_of is None:
                 as_of = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
-            this = self.ref(name) if pub.current_version(name) is not None else None
-            nxt = plan_snapshot(this, staged, unique_key, strategy, updated_at, check_cols,
-                                as_of, invalidate_hard_deletes)
-            pub.publish(name, nxt, layout)
+            if segmented:
+                self._snapshot_segment(name, staged, unique_key, strategy, updated_at, check_cols,
+                                       as_of, invalidate_hard_deletes, layout, max_segments)
+            else:
+                if pub.segments(name) is not None:
+                    raise ValueError(f"{name} is stored as history segments; pass segmented=True")
+                this = self.ref(name) if pub.current_version(name) is not None else None
+                nxt = plan_snapshot(this, staged, unique_key, strategy, updated_at, check_cols,
+                                    as_of, invalidate_hard_deletes)
+                pub.publish(name, nxt, layout)
         finally:
             if stage_name is not None:
                 pub.drop(stage_name)
         return self.ref(name)
 
+    def _snapshot_segment(self, name, source, unique_key, strategy, updated_at, check_cols, as_of,
+                          invalidate_hard_deletes, layout, max_segments) -> None:
+        pub = self.publisher
+        open_flag = F.col("valid_to").isNull().alias(OPEN_FLAG)
+        segs = pub.segments(name)
+        converted = None
+        if segs is None:
+            converted = pub.current_version(name)
+            if converted is not None:
+                # convert a versioned snapshot: its rows become the first run
+                base = self.ref(name)
+                run = pub.write_run(name, base.select("*", open_flag), layout)
+                segs = ([run], run)
+            else:
+                first = first_snapshot(source, unique_key, strategy, updated_at, check_cols, as_of)
+                run = pub.write_run(name, first.select("*", open_flag), layout)
+                pub.swap_segments(name, [], run)
+                return
+        closed_runs, live_run = segs
+        live = pub.run_part(name, live_run, open_rows=True)
+        history = None
+        if invalidate_hard_deletes and closed_runs:
+            parts = [pub.run_part(name, r, open_rows=False) for r in closed_runs]
+            history = parts[0]
+            for p in parts[1:]:
+                history = history.unionByName(p, allowMissingColumns=True)
+        increment = plan_snapshot_increment(live, history, source, unique_key, strategy, updated_at,
+                                            check_cols, as_of, invalidate_hard_deletes)
+        run = pub.write_run(name, increment.select("*", open_flag), layout)
+        closed = [*closed_runs, run]
+        if len(closed) > max_segments:
+            # compaction: one segment with every closed row so far
+            parts = [pub.run_part(name, r, open_rows=False) for r in closed]
+            merged = parts[0]
+            for p in parts[1:]:
+                merged = merged.unionByName(p, allowMissingColumns=True)
+            compacted = pub.write_run(name, merged.select("*", F.lit(False).alias(OPEN_FLAG)), layout)
+            closed = [compacted]
+        pub.swap_segments(name, closed, run)
+        if converted is not None:
+            pub.retire(name, keep={converted})  # the old version stays one round for readers
+
     # ------------------------------------------------------------- C7
     def catalog(self, stats: Sequence[str] = ("row_count", "null_count", "min_value", "max_value")) -> DataFrame:
         """Column catalog of every published relation of the schema, with the

@@ -20,8 +20,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _VERSION_PROP = "modelsmith.version"
+_SEGMENTS_PROP = "modelsmith.segments"  # "<closed runs, comma separated>|<live run>"
+OPEN_FLAG = "_open"  # partition column of a run table: the live rows of that run
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
@@ -124,7 +127,7 @@ class Publisher:
 
     def models(self) -> list[str]:
         """Published relations of the schema (versions and staging excluded)."""
-        return sorted(n for n in self._tables() if not re.search(r"__(v\d+|stage_[0-9a-f]+)$", n))
+        return sorted(n for n in self._tables() if not re.search(r"__(v\d+|run\d+|stage_[0-9a-f]+)$", n))
 
     def versions(self, name: str) -> list[int]:
         pat = re.compile(rf"^{re.escape(name.lower())}__v(\d+)$")
@@ -224,6 +227,90 @@ class Publisher:
         newest = [v for v in self.versions(name) if v <= version][-self.keep_versions:]
         self.retire(name, keep={version, previous, *newest})
 
+    # ----------------------------------------------------------- history segments
+    # A segmented model (used by snapshots) is a view over run tables
+    # ``m__run<N>``, each partitioned by ``_open``: the closed partitions of all
+    # runs plus the open partition of the latest run. A run writes only what
+    # it changes; closed history is never rewritten.
+
+    def run_table(self, name: str, run: int) -> str:
+        return self.qualified(f"{name}__run{run}")
+
+    def runs(self, name: str) -> list[int]:
+        pat = re.compile(rf"^{re.escape(name.lower())}__run(\d+)$")
+        return sorted(int(m.group(1)) for t in self._tables() if (m := pat.match(t.lower())))
+
+    def segments(self, name: str) -> tuple[list[int], int] | None:
+        """(closed runs, live run) of a segmented model, or None."""
+        if self.kind(name) != "view":
+            return None
+        props = {r["key"]: r["value"] for r in self.spark.sql(
+            f"SHOW TBLPROPERTIES {self.qualified(name)}").collect()}
+        value = props.get(_SEGMENTS_PROP)
+        if value is None:
+            return None
+        closed, live = value.split("|")
+        return [int(x) for x in closed.split(",") if x], int(live)
+
+    def write_run(self, name: str, df: DataFrame, layout: Layout | None = None) -> int:
+        """Write a run table; ``df`` carries the ``_open`` flag column."""
+        layout = layout or Layout()
+        run_layout = Layout(partition_by=(OPEN_FLAG, *layout.partition_by), order_by=layout.order_by,
+                            format=layout.format, options=layout.options)
+        existing = self.runs(name)
+        run = (existing[-1] + 1) if existing else 1
+        run_layout.writer(run_layout.arrange(df)).mode("errorifexists").saveAsTable(self.run_table(name, run))
+        return run
+
+    def run_part(self, name: str, run: int, open_rows: bool) -> DataFrame:
+        """The open or the closed partition of a run (partition-pruned)."""
+        t = self.spark.table(self.run_table(name, run))
+        flag = F.col(OPEN_FLAG) if open_rows else ~F.col(OPEN_FLAG)
+        return t.filter(flag).drop(OPEN_FLAG)
+
+    def swap_segments(self, name: str, closed_runs: Sequence[int], live_run: int,
+                      comment: str | None = None,
+                      column_comments: Mapping[str, str] | None = None) -> None:
+        """Point the view at the closed partitions of ``closed_runs`` and the
+        open partition of ``live_run`` (one catalog call). Older runs may lack
+        columns added later; they read as typed NULLs."""
+        previous = self.segments(name)
+        fields = [f for f in self.spark.table(self.run_table(name, live_run)).schema.fields
+                  if f.name != OPEN_FLAG]
+
+        def branch(run: int, open_rows: bool) -> str:
+            have = set(self.spark.table(self.run_table(name, run)).columns)
+            cols = ", ".join(
+                quote_ident(f.name) if f.name in have
+                else f"CAST(NULL AS {f.dataType.simpleString()}) AS {quote_ident(f.name)}"
+                for f in fields
+            )
+            cond = quote_ident(OPEN_FLAG) if open_rows else f"NOT {quote_ident(OPEN_FLAG)}"
+            return f"SELECT {cols} FROM {self.run_table(name, run)} WHERE {cond}"
+
+        body = " UNION ALL ".join([branch(r, False) for r in closed_runs] + [branch(live_run, True)])
+        column_comments = dict(column_comments or {})
+        col_list = ", ".join(
+            quote_ident(f.name) + (f" COMMENT {sql_string(column_comments[f.name])}"
+                                   if f.name in column_comments else "")
+            for f in fields
+        )
+        marker = ",".join(str(r) for r in closed_runs) + f"|{live_run}"
+        clauses = f" COMMENT {sql_string(comment)}" if comment else ""
+        clauses += f" TBLPROPERTIES ({sql_string(_SEGMENTS_PROP)} = {sql_string(marker)})"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.qualified(name)} ({col_list}){clauses} AS {body}")
+        keep = set(closed_runs) | {live_run}
+        live_runs = {live_run} | ({previous[1]} if previous is not None else set())
+        if previous is not None:
+            keep |= set(previous[0]) | {previous[1]}
+        for r in self.runs(name):
+            if r not in keep:
+                self.drop(self.run_table(name, r))
+            elif r not in live_runs:
+                # a superseded run keeps only its closed rows
+                self.spark.sql(f"ALTER TABLE {self.run_table(name, r)} DROP IF EXISTS "
+                               f"PARTITION ({quote_ident(OPEN_FLAG)} = true)")
+
     def drop_orphans(self) -> list[str]:
         """Drop what interrupted builds left behind: staging tables, and
         version tables newer than the published one (a build that wrote its

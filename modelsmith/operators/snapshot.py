@@ -147,50 +147,80 @@ def _classified(target, source, keys, strategy, updated_at, check_cols, as_of, i
     return j, closed, data_cols, key_alias, when_ts
 
 
-def plan_snapshot(
-    target: DataFrame | None,
-    source: DataFrame,
-    unique_key,
-    strategy: str = "timestamp",
-    updated_at: str | None = None,
-    check_cols: Sequence[str] | None = None,
-    as_of=None,
-    invalidate_hard_deletes: bool = False,
-) -> DataFrame:
-    """The next version of the snapshot table."""
-    _validate_args(strategy, updated_at, check_cols)
-    if target is None:
-        return first_snapshot(source, unique_key, strategy, updated_at, check_cols, as_of)
-    keys = _keys(unique_key)
-    j, closed, data_cols, _, when_ts = _classified(
-        target, source, keys, strategy, updated_at, check_cols, as_of, invalidate_hard_deletes
-    )
+def _emitted(j: DataFrame, data_cols, keys, when_ts) -> DataFrame:
+    """The rows the merge produces from the joined live/source rows: for each
+    key the live version (kept, or closed) and, when it changed or is new, the
+    new version. Side 0 is the live version, side 1 the new one; exploding a
+    two-element literal and choosing each column per side keeps the generated
+    code to one small CASE per column."""
     l, s = F.col("l"), F.col("s")
     new_to = (
         F.when(F.col("_changed"), F.col("_start"))
         .when(F.col("_deleted"), when_ts)
         .otherwise(l["valid_to"])
     )
-    # Each joined row yields up to two rows: side 0 is the live version (kept
-    # or closed), side 1 the new version. Exploding a two-element literal and
-    # choosing each column per side keeps the generated code to one small
-    # CASE per column.
     emit_new = F.col("_in_src") & (~F.col("_in_live") | F.col("_changed"))
     pairs = j.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_side")).filter(
         ((F.col("_side") == 0) & F.col("_in_live")) | ((F.col("_side") == 1) & emit_new)
     )
     live_side = F.col("_side") == 0
     key_vals = [s[k] for k in keys]
-    emitted = pairs.select(
+    return pairs.select(
         *[F.when(live_side, l[c]).otherwise(s[c]).alias(c) for c in data_cols],
         F.when(live_side, l["scd_id"]).otherwise(_scd_hash(*key_vals, F.col("_start"))).alias("scd_id"),
         F.when(live_side, l["scd_updated_at"]).otherwise(F.col("_start")).alias("scd_updated_at"),
         F.when(live_side, l["valid_from"]).otherwise(F.col("_start")).alias("valid_from"),
         F.when(live_side, new_to).cast("timestamp_ntz").alias("valid_to"),
     )
+
+
+def plan_snapshot(
+    target: DataFrame | None,
+    source: DataFrame,
+    unique_key,
+    strategy: str = "timestamp",
+    updated_at: str | None = None,
+    check_cols: Sequence[str] | None = None,
+    as_of=None,
+    invalidate_hard_deletes: bool = False,
+) -> DataFrame:
+    """The next version of the snapshot table."""
+    _validate_args(strategy, updated_at, check_cols)
+    if target is None:
+        return first_snapshot(source, unique_key, strategy, updated_at, check_cols, as_of)
+    keys = _keys(unique_key)
+    j, closed, data_cols, _, when_ts = _classified(
+        target, source, keys, strategy, updated_at, check_cols, as_of, invalidate_hard_deletes
+    )
+    emitted = _emitted(j, data_cols, keys, when_ts)
     return closed.select(*emitted.columns).unionByName(emitted)
 
 
+def plan_snapshot_increment(
+    live: DataFrame,
+    history: DataFrame | None,
+    source: DataFrame,
+    unique_key,
+    strategy: str = "timestamp",
+    updated_at: str | None = None,
+    check_cols: Sequence[str] | None = None,
+    as_of=None,
+    invalidate_hard_deletes: bool = False,
+) -> DataFrame:
+    """Only what a run changes, for snapshots stored as history segments:
+    the next live set (``valid_to`` NULL) plus the versions this run closes.
+    Closed history is not read at all, except the ``(key, valid_to)`` of keys
+    that come back after a hard delete (``history`` is needed only then)."""
+    _validate_args(strategy, updated_at, check_cols)
+    keys = _keys(unique_key)
+    target = live if (history is None or not invalidate_hard_deletes) else live.unionByName(
+        history, allowMissingColumns=True)
+    j, _, data_cols, _, when_ts = _classified(
+        target, source, keys, strategy, updated_at, check_cols, as_of, invalidate_hard_deletes
+    )
+    return _emitted(j, data_cols, keys, when_ts)
+
+
 def snapshot_changes(
     target: DataFrame,
     source: DataFrame,

@@ -355,3 +355,57 @@ def test_seed_inference_mixtures(spark, project, scratch):
         "dates_ints": "string", "bools": "boolean", "bools_ints": "string", "empty": "string",
         "clock": "string",
     }
+
+
+def _snap_runs(spark):
+    t = _ts
+    return [
+        [(1, "a", t("2024-01-01")), (2, "b", t("2024-01-01")), (3, "c", t("2024-01-01"))],
+        [(1, "a2", t("2024-01-05")), (2, "b", t("2024-01-01"))],                      # 1 changes, 3 deleted
+        [(1, "a2", t("2024-01-05")), (2, "b3", t("2024-01-09")), (3, "c", t("2024-01-01"))],  # 3 returns
+        [(1, "a4", t("2024-01-12")), (2, "b3", t("2024-01-09")), (4, "d", t("2024-01-12"))],
+    ]
+
+
+def test_segmented_snapshot_equals_rewritten_snapshot(spark, project):
+    kw = dict(unique_key="id", updated_at="updated_at", invalidate_hard_deletes=True)
+    for i, data in enumerate(_snap_runs(spark)):
+        as_of = f"2024-02-0{i + 1} 00:00:00"
+        project.snapshot("full", _src(spark, data), as_of=as_of, **kw)
+        project.snapshot("seg", _src(spark, data), as_of=as_of, segmented=True, max_segments=2, **kw)
+    cols = ("id", "name", "updated_at", "scd_id", "valid_from", "valid_to")
+    assert rows(project.ref("seg"), *cols) == rows(project.ref("full"), *cols)
+    closed_runs, live_run = project.publisher.segments("seg")
+    assert len(closed_runs) <= 2
+    # superseded runs keep only their closed rows
+    for r in project.publisher.runs("seg"):
+        if r != live_run and r in closed_runs:
+            t = spark.table(project.publisher.run_table("seg", r))
+            assert t.filter("_open").count() == 0
+
+
+def test_segmented_snapshot_does_not_rewrite_history(spark, project):
+    kw = dict(unique_key="id", updated_at="updated_at", segmented=True)
+    runs = _snap_runs(spark)
+    project.snapshot("h2", _src(spark, runs[0]), as_of="2024-02-01 00:00:00", **kw)
+    project.snapshot("h2", _src(spark, runs[1]), as_of="2024-02-02 00:00:00", **kw)
+    closed_runs, _ = project.publisher.segments("h2")
+    first_closed = closed_runs[-1]
+    files = set(spark.table(project.publisher.run_table("h2", first_closed)).filter("NOT _open").inputFiles())
+    project.snapshot("h2", _src(spark, runs[2]), as_of="2024-02-03 00:00:00", **kw)
+    assert first_closed in project.publisher.segments("h2")[0]
+    after = set(spark.table(project.publisher.run_table("h2", first_closed)).filter("NOT _open").inputFiles())
+    assert files == after
+
+
+def test_versioned_snapshot_converts_to_segments(spark, project):
+    kw = dict(unique_key="id", updated_at="updated_at")
+    runs = _snap_runs(spark)
+    project.snapshot("cv", _src(spark, runs[0]), as_of="2024-02-01 00:00:00", **kw)
+    project.snapshot("cv", _src(spark, runs[1]), as_of="2024-02-02 00:00:00", segmented=True, **kw)
+    project.snapshot("ref_cv", _src(spark, runs[0]), as_of="2024-02-01 00:00:00", **kw)
+    project.snapshot("ref_cv", _src(spark, runs[1]), as_of="2024-02-02 00:00:00", **kw)
+    cols = ("id", "name", "valid_from", "valid_to")
+    assert rows(project.ref("cv"), *cols) == rows(project.ref("ref_cv"), *cols)
+    with pytest.raises(ValueError):
+        project.snapshot("cv", _src(spark, runs[2]), **kw)
