@@ -180,3 +180,13 @@ def snapshot_hash(spark, d):
         fn.half_md5("o_orderkey", "o_orderstatus").alias("legacy_id"),
         fn.scd_id("o_orderkey", "o_orderstatus").alias("scd_id"),
     )
+
+
+@register("snapshot_increment", _merge_sql("timestamp", False))
+def snapshot_increment(spark, d):
+    """B15 stored as history segments: what run 2 writes (the versions it
+    closes plus the new live set). Run 1 left no closed history, so this
+    equals the full merge."""
+    src0, src1 = _sources(spark, d)
+    return snap.plan_snapshot_increment(_first(src0, "timestamp"), None, src1, "o_orderkey",
+                                        **_kwargs("timestamp"))
