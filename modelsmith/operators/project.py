@@ -271,7 +271,8 @@ class Project:
         frames = []
         for name in pub.models():
             qualified = pub.qualified(name)
-            kind = "view" if pub.current_version(name) is None else "table"
+            built = pub.current_version(name) is not None or pub.segments(name) is not None
+            kind = "table" if built else "view"
             comment = self._comment(qualified)
             frames.append(column_stats(self.spark.table(qualified), name, pub.schema, kind, comment,
                                        stats=stats))

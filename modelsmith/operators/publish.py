@@ -323,12 +323,18 @@ class Publisher:
                 dropped.append(t)
         for model in self.models():
             current = self.current_version(model)
-            if current is None:
-                continue
-            for v in self.versions(model):
-                if v > current:
-                    self.drop(self.version_table(model, v))
-                    dropped.append(f"{model}__v{v}")
+            if current is not None:
+                for v in self.versions(model):
+                    if v > current:
+                        self.drop(self.version_table(model, v))
+                        dropped.append(f"{model}__v{v}")
+            segs = self.segments(model)
+            if segs is not None:
+                referenced = set(segs[0]) | {segs[1]}
+                for r in self.runs(model):
+                    if r > segs[1] and r not in referenced:
+                        self.drop(self.run_table(model, r))
+                        dropped.append(f"{model}__run{r}")
         return dropped
 
     def retire(self, name: str, keep: set) -> None:
