@@ -23,8 +23,8 @@ def spark(scratch):
     from modelsmith.session import local_session
 
     session = local_session(
-        cpus=4,
-        shuffle_partitions=4,
+        cpus="*",
+        shuffle_partitions=8,
         warehouse=os.path.join(scratch, "warehouse"),
         checkpoint_dir=os.path.join(scratch, "checkpoints"),
         app_name="modelsmith-tests",
