@@ -20,7 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def rows_different(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def rows_different(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = None,
+                   null_safe: bool = True) -> DataFrame:
+    """``row_count_difference`` and ``num_mismatched`` of ``a`` against ``b``.
+
+    ``null_safe=False`` reproduces plain ``=`` matching, under which a row
+    holding a NULL in any compared column matches nothing and always counts
+    as mismatched.
+    """
     cols = sorted(columns) if columns is not None else sorted(a.columns)
     missing = [c for c in cols if c not in b.columns]
     if missing:
@@ -32,22 +39,30 @@ def rows_different(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = N
         F.sum("_in_a").cast("bigint").alias("n_a"), F.sum("_in_b").cast("bigint").alias("n_b")
     )
     only = F.when(F.col("n_b") == 0, F.col("n_a")).when(F.col("n_a") == 0, F.col("n_b")).otherwise(0)
+    if not null_safe:
+        has_null = None
+        for c in cols:
+            cond = F.col(f"`{c}`").isNull()
+            has_null = cond if has_null is None else (has_null | cond)
+        only = F.when(has_null, F.col("n_a") + F.col("n_b")).otherwise(only)
     return per_row.agg(
         F.coalesce(F.sum(F.col("n_a") - F.col("n_b")), F.lit(0)).cast("bigint").alias("row_count_difference"),
         F.coalesce(F.sum(only), F.lit(0)).cast("bigint").alias("num_mismatched"),
     )
 
 
-def rows_different_by_join(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """The same result written as NULL-safe anti joins each way; kept as the
-    plain-SQL-shaped reference implementation for tests."""
+def rows_different_by_join(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = None,
+                           null_safe: bool = True) -> DataFrame:
+    """The same result written as anti joins each way; kept as the
+    plain-SQL-shaped definition for tests."""
     cols = sorted(columns) if columns is not None else sorted(a.columns)
     a2, b2 = a.select(*cols), b.select(*cols)
 
     def cond(x: str, y: str):
         c = None
         for name in cols:
-            e = F.col(f"{x}.{name}").eqNullSafe(F.col(f"{y}.{name}"))
+            left, right = F.col(f"{x}.{name}"), F.col(f"{y}.{name}")
+            e = left.eqNullSafe(right) if null_safe else (left == right)
             c = e if c is None else (c & e)
         return c
 

@@ -110,3 +110,10 @@ def test_evaluate_and_enforce(spark):
     assert checks.evaluate(spark.range(0)) == ("pass", 0)
     with pytest.raises(checks.CheckFailed):
         checks.enforce(failing, name="five rows", error_if=">= 5")
+
+
+def test_relation_diff_plain_equality_example(spark):
+    a = spark.createDataFrame([(1, None), (2, "b"), (3, "c"), (3, "c")], "id int, v string")
+    b = spark.createDataFrame([(1, None), (2, "b"), (3, "c"), (4, "x")], "id int, v string")
+    r = compare.rows_different(a, b, null_safe=False).first()
+    assert (r.row_count_difference, r.num_mismatched) == (0, 3)   # both NULL rows count

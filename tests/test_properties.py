@@ -87,3 +87,12 @@ def test_snapshot_against_brute_force(spark, src0, src1, strategy, hard):
     assert got == _brute(src0, src1, strategy, hard)
     ids = [r.scd_id for r in t1.collect()]
     assert len(ids) == len(set(ids))
+
+
+@SETTINGS
+@given(a=REL, b=REL)
+def test_plain_equality_diff_equals_anti_join_definition(spark, a, b):
+    da, db = spark.createDataFrame(a, SCHEMA), spark.createDataFrame(b, SCHEMA)
+    got = compare.rows_different(da, db, null_safe=False).first()
+    want = compare.rows_different_by_join(da, db, null_safe=False).first()
+    assert tuple(got) == tuple(want)
