@@ -158,6 +158,10 @@ class Project:
             pub.drop(stage_name)
         return self.ref(name)
 
+    def drop(self, name: str) -> None:
+        """Remove a model and everything stored for it."""
+        self.publisher.drop_model(name)
+
     # ------------------------------------------------------------- A11
     def update_column(self, name: str, column: str, value, where=None,
                       layout: Layout | None = None) -> DataFrame:

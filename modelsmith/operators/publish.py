@@ -311,6 +311,23 @@ class Publisher:
                 self.spark.sql(f"ALTER TABLE {self.run_table(name, r)} DROP IF EXISTS "
                                f"PARTITION ({quote_ident(OPEN_FLAG)} = true)")
 
+    def drop_model(self, name: str) -> None:
+        """Remove a model: its view (or plain table) and every version, run and
+        staging table behind it."""
+        kind = self.kind(name)
+        if kind == "view":
+            self.spark.sql(f"DROP VIEW IF EXISTS {self.qualified(name)}")
+        elif kind == "table":
+            self.drop(self.qualified(name))
+        for v in self.versions(name):
+            self.drop(self.version_table(name, v))
+        for r in self.runs(name):
+            self.drop(self.run_table(name, r))
+        pat = re.compile(rf"^{re.escape(name.lower())}__stage_[0-9a-f]+$")
+        for t in self._tables():
+            if pat.match(t.lower()):
+                self.drop(self.qualified(t))
+
     def drop_orphans(self) -> list[str]:
         """Drop what interrupted builds left behind: staging tables, and
         version tables newer than the published one (a build that wrote its

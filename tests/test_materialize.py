@@ -409,3 +409,14 @@ def test_versioned_snapshot_converts_to_segments(spark, project):
     assert rows(project.ref("cv"), *cols) == rows(project.ref("ref_cv"), *cols)
     with pytest.raises(ValueError):
         project.snapshot("cv", _src(spark, runs[2]), **kw)
+
+
+def test_drop_model(spark, project):
+    project.table("gone", _df(spark, [(1, "a")]))
+    project.table("gone", _df(spark, [(2, "b")]))
+    project.snapshot("gone_s", _src(spark, [(1, "a", _ts("2024-01-01"))]), "id", updated_at="updated_at",
+                     segmented=True)
+    project.drop("gone")
+    project.drop("gone_s")
+    left = [t.name for t in spark.catalog.listTables(project.publisher.schema) if t.name.startswith("gone")]
+    assert left == []
