@@ -21,6 +21,9 @@ from pyspark.sql.types import ArrayType, BinaryType, MapType, StructType
 
 EXACT_STATS = ("row_count", "null_count", "min_value", "max_value")
 ALL_STATS = EXACT_STATS + ("approx_distinct",)
+# Opt-in: exact distinct counts expand every row once per column (Spark's
+# Expand for several distinct aggregates), so they are for small relations.
+KNOWN_STATS = ALL_STATS + ("distinct_count",)
 
 
 def _orderable(dtype) -> bool:
@@ -41,7 +44,7 @@ def column_stats(
     stats: Sequence[str] = EXACT_STATS,
     rsd: float = 0.05,
 ) -> DataFrame:
-    unknown = set(stats) - set(ALL_STATS)
+    unknown = set(stats) - set(KNOWN_STATS)
     if unknown:
         raise ValueError(f"unknown statistics {sorted(unknown)}")
     comments = dict(column_comments or {})
@@ -73,6 +76,12 @@ def column_stats(
         if "approx_distinct" in stats:
             aggs.append(F.approx_count_distinct(c, rsd).alias(f"_d{i}"))
             parts.append(F.col(f"_d{i}").alias("approx_distinct"))
+        if "distinct_count" in stats:
+            if ordered:
+                aggs.append(F.count_distinct(c).alias(f"_x{i}"))
+                parts.append(F.col(f"_x{i}").alias("distinct_count"))
+            else:
+                parts.append(F.lit(None).cast("bigint").alias("distinct_count"))
         if "row_count" in stats:
             parts.append(F.col("_rows").alias("row_count"))
         entries.append(F.struct(*parts))

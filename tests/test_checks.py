@@ -117,3 +117,15 @@ def test_relation_diff_plain_equality_example(spark):
     b = spark.createDataFrame([(1, None), (2, "b"), (3, "c"), (4, "x")], "id int, v string")
     r = compare.rows_different(a, b, null_safe=False).first()
     assert (r.row_count_difference, r.num_mismatched) == (0, 3)   # both NULL rows count
+
+
+def test_column_stats_exact_distinct_matches_duckdb(spark):
+    import duckdb
+
+    sf = "/root/testdata/sf0.001"
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    got = {r.column_name: r.distinct_count for r in
+           stats.column_stats(orders, "orders", stats=("row_count", "distinct_count")).collect()}
+    cols = ", ".join(f"count(DISTINCT {c}) AS {c}" for c in orders.columns)
+    want = duckdb.sql(f"SELECT {cols} FROM '{sf}/orders.parquet'").fetchone()
+    assert got == dict(zip(orders.columns, want))
