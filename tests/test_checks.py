@@ -127,5 +127,5 @@ def test_column_stats_exact_distinct_matches_duckdb(spark):
     got = {r.column_name: r.distinct_count for r in
            stats.column_stats(orders, "orders", stats=("row_count", "distinct_count")).collect()}
     cols = ", ".join(f"count(DISTINCT {c}) AS {c}" for c in orders.columns)
-    want = duckdb.sql(f"SELECT {cols} FROM '{sf}/orders.parquet'").fetchone()
+    want = duckdb.sql(f"SELECT {cols} FROM '{sf}/orders.parquet'").fetchall()[0]
     assert got == dict(zip(orders.columns, want))
