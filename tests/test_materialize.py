@@ -420,3 +420,19 @@ def test_drop_model(spark, project):
     project.drop("gone_s")
     left = [t.name for t in spark.catalog.listTables(project.publisher.schema) if t.name.startswith("gone")]
     assert left == []
+
+
+def test_layout_rules_and_no_conf_leak(spark, project):
+    with pytest.raises(ValueError):
+        Layout(order_by=["a", "b"], primary_key=["b"])
+    assert Layout(primary_key=["k"]).order_by == ("k",)
+    with pytest.raises(ValueError):
+        Layout(buckets=4)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key, None)
+    df = _df(spark, [(1, "a"), (2, "b")])
+    layout = Layout(partition_by=["v"])
+    project.incremental("pl", df, unique_key="id", layout=layout)
+    project.incremental("pl", _df(spark, [(1, "a")]), unique_key="id", layout=layout, partition_scoped=True)
+    assert spark.conf.get(key, None) == before
+    assert rows(project.ref("pl")) == [(1, "a"), (2, "b")]
