@@ -116,8 +116,13 @@ def type_seed(text: DataFrame, column_types: Mapping[str, str] | None = None,
     for c in text.columns:
         src = F.when(F.trim(F.col(f"`{c}`")) != "", F.trim(F.col(f"`{c}`")))
         if c in declared:
-            target = parse_type(declared[c]).spark_type
-            value = F.col(f"`{c}`") if target == StringType() else src.cast(target)
+            ct = parse_type(declared[c])
+            target = ct.spark_type
+            if ct.timezone:
+                # wall-clock text in the declared zone, stored as an instant
+                value = F.to_utc_timestamp(src.cast("timestamp_ntz"), ct.timezone).cast(target)
+            else:
+                value = F.col(f"`{c}`") if target == StringType() else src.cast(target)
         else:
             t = inferred[c]
             value = F.col(f"`{c}`") if t == "string" else src.cast(t)

@@ -436,3 +436,13 @@ def test_layout_rules_and_no_conf_leak(spark, project):
     project.incremental("pl", _df(spark, [(1, "a")]), unique_key="id", layout=layout, partition_scoped=True)
     assert spark.conf.get(key, None) == before
     assert rows(project.ref("pl")) == [(1, "a"), (2, "b")]
+
+
+def test_seed_declared_zone(spark, project, scratch):
+    path = os.path.join(scratch, f"tz_{uuid.uuid4().hex[:6]}.csv")
+    with open(path, "w") as fh:
+        fh.write("k,at\n1,2024-01-01 12:00:00\n")
+    seed = project.seed("tz", path, column_types={"at": "DateTime('Asia/Istanbul')"})
+    r = seed.select(F.col("at").cast("string").alias("s")).first()
+    assert r.s == "2024-01-01 09:00:00"      # 12:00 in Istanbul (UTC+3) is 09:00 UTC; session is UTC
+    assert dict(seed.dtypes)["at"] == "timestamp"
