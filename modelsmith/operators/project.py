@@ -264,6 +264,8 @@ class Project:
         pub.swap_segments(name, closed, run)
         if converted is not None:
             pub.retire(name, keep={converted})  # the old version stays one round for readers
+        elif pub.versions(name):
+            pub.retire(name, keep=set())  # that round is over
 
     # ------------------------------------------------------------- C7
     def catalog(self, stats: Sequence[str] = ("row_count", "null_count", "min_value", "max_value")) -> DataFrame:

@@ -409,6 +409,9 @@ def test_versioned_snapshot_converts_to_segments(spark, project):
     assert rows(project.ref("cv"), *cols) == rows(project.ref("ref_cv"), *cols)
     with pytest.raises(ValueError):
         project.snapshot("cv", _src(spark, runs[2]), **kw)
+    assert project.publisher.versions("cv") != []          # kept one round for readers
+    project.snapshot("cv", _src(spark, runs[2]), as_of="2024-02-03 00:00:00", segmented=True, **kw)
+    assert project.publisher.versions("cv") == []
 
 
 def test_drop_model(spark, project):
