@@ -7,7 +7,7 @@ checks results; and supplies portable functions with pinned semantics.
 """
 
 from modelsmith import functions
-from modelsmith.operators import checks, compare, stats
+from modelsmith.operators import checks, compare, setops, stats
 from modelsmith.operators.project import ModelContext, Project
 from modelsmith.operators.publish import Layout
 from modelsmith.operators.schema_change import SchemaChangeError
@@ -16,6 +16,6 @@ from modelsmith.sources.seeds import load_seed
 __version__ = "0.1.0"
 
 __all__ = [
-    "functions", "checks", "compare", "stats", "ModelContext", "Project", "Layout",
+    "functions", "checks", "compare", "setops", "stats", "ModelContext", "Project", "Layout",
     "SchemaChangeError", "load_seed",
 ]
