@@ -132,6 +132,8 @@ class Project:
                 pub.publish(name, plan_append(this, new, on_schema_change), layout, comment,
                             column_comments)
             return self.ref(name)
+        # Refuse a schema change under "fail" before anything is computed or written.
+        target_schema(this.schema, new.schema, on_schema_change)
         # An upsert reads the new rows twice (keys, rows): stage them once.
         stage_name, staged = pub.stage(name, new)
         try:
