@@ -1,0 +1 @@
+"""Inputs: source/ref scans (``relations``) and CSV seeds (``seeds``)."""
