@@ -449,3 +449,11 @@ def test_seed_declared_zone(spark, project, scratch):
     r = seed.select(F.col("at").cast("string").alias("s")).first()
     assert r.s == "2024-01-01 09:00:00"      # 12:00 in Istanbul (UTC+3) is 09:00 UTC; session is UTC
     assert dict(seed.dtypes)["at"] == "timestamp"
+
+
+def test_catalog_sees_segmented_snapshot_as_table(spark, project):
+    project.snapshot("cs", _src(spark, [(1, "a", _ts("2024-01-01"))]), "id", updated_at="updated_at",
+                     segmented=True)
+    cat = {(r.table_name, r.column_name): r for r in project.catalog().collect()}
+    assert cat[("cs", "id")].table_type == "table" and cat[("cs", "id")].row_count == 1
+    assert ("cs", "_open") not in cat
