@@ -49,7 +49,8 @@ def _n_words(line: Column) -> Column:
 
 def _renamed(rows: DataFrame, by: list[str]) -> DataFrame:
     """Adds ``name`` (the first position of the rows that agree in ``by``) and keeps those that occur twice or more."""
-    names = rows.groupBy(*by).agg(F.min("pos").alias("name"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    # Staged, so that both sides of the join are shuffled for it alone and a hot name's rows can be split.
+    names = stage(rows.groupBy(*by).agg(F.min("pos").alias("name"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "names")
     return rows.join(names, by)
 
 
@@ -87,7 +88,8 @@ def repeated_runs(levels: list[DataFrame]) -> DataFrame:
             moved = moved.unionByName(groups.join(on, F.col("pos") + F.col("length") == F.col("_at"), "left").drop("_at"))
         moved = stage(moved, "groups")
         # Rows of one group whose next lines have one name go on together, if they are two at least.
-        taken = moved.where("name is not null").groupBy("length", "group", "name").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+        taken = stage(moved.where("name is not null").groupBy("length", "group", "name").agg(
+            F.min("pos").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "taken")
         on = moved.where("name is not null").join(taken, ["length", "group", "name"], "left")
         # A new group is named by its first row and its length's place: no two groups of one length share a first row.
         gone = on.where("first is not null").select(
@@ -95,7 +97,7 @@ def repeated_runs(levels: list[DataFrame]) -> DataFrame:
         stays = on.where("first is null or first = pos").select("pos", "length", "group", "words")
         rest = moved.where("name is null").select("pos", "length", "group", "words")
         groups = stage(gone.unionByName(stays.where("length > 0")).unionByName(rest), "groups")
-    first = groups.groupBy("length", "group").agg(F.min("pos").alias("first"))
+    first = stage(groups.groupBy("length", "group").agg(F.min("pos").alias("first")), "first")
     return groups.join(first, ["length", "group"]).where("pos > first").select("pos", "length", "words")
 
 
