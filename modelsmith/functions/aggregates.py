@@ -46,10 +46,10 @@ def exact_sum(value, scale: int = 2, precision: int = 18) -> Column:
 
 def exact_avg(value, scale: int = 2, precision: int = 18) -> Column:
     """Average computed on decimals, so it does not depend on the order in
-    which a distributed sum adds doubles: ``sum(decimal(x)) / count(x)``
-    (see :func:`exact_sum` for the precision)."""
+    which a distributed sum adds doubles: the sum of ``decimal(x)`` over the
+    count of the values that were summed (see :func:`exact_sum` for the precision)."""
     c = as_col(value)
-    return exact_sum(c, scale, precision).cast("double") / F.count(c)
+    return exact_sum(c, scale, precision).cast("double") / F.nullif(F.count(c.cast(f"decimal({precision},{scale})")), F.lit(0))
 
 
 def group_array(value) -> Column:
@@ -59,12 +59,12 @@ def group_array(value) -> Column:
 
 def listagg(measure, delimiter: str = ",", order_by=None) -> Column:
     """Values of the group joined by ``delimiter`` in ``order_by`` order
-    (measure order when none). NULL measures are skipped; ties are broken by
-    the measure itself so the result is repeatable."""
+    (measure order when none). NULL measures are skipped, a group that has no
+    other is NULL; ties are broken by the measure itself so the result is repeatable."""
     m = as_col(measure)
     key = as_col(order_by) if order_by is not None else m
-    pairs = F.array_sort(F.collect_list(F.struct(key.alias("k"), m.alias("v"))))
-    return F.array_join(F.transform(pairs, lambda p: p["v"]), delimiter)
+    pairs = F.array_sort(F.collect_list(F.when(m.isNotNull(), F.struct(key.alias("k"), m.alias("v")))))
+    return F.when(F.count(m) > 0, F.array_join(F.transform(pairs, lambda p: p["v"]), delimiter))
 
 
 def listagg_limited(
@@ -83,17 +83,18 @@ def listagg_limited(
     (a window over ``(group, bucket)``, which spills instead of holding rows),
     so a hot group is spread over ``salt_buckets`` tasks; only at most
     ``limit * salt_buckets`` candidates per group reach the final collect.
+    NULL measures are skipped; a group that has no other stays, with NULL.
     """
     if limit <= 0:
         raise ValueError("limit must be positive")
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-    kept = df.filter(F.col(measure).isNotNull()).withColumn("_salt", salt)
-    w = Window.partitionBy(*group_by, "_salt").orderBy(F.col(order_by), F.col(measure))
-    trimmed = kept.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= limit)
+    known = F.col(measure).isNotNull()
+    w = Window.partitionBy(*group_by, "_salt").orderBy(known.desc(), F.col(order_by), F.col(measure))
+    trimmed = df.withColumn("_salt", salt).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= limit)
     pairs = F.array_sort(
-        F.collect_list(F.struct(F.col(order_by).alias("k"), F.col(measure).alias("v")))
+        F.collect_list(F.when(known, F.struct(F.col(order_by).alias("k"), F.col(measure).alias("v"))))
     )
     top = F.slice(pairs, 1, limit)
     return trimmed.groupBy(*group_by).agg(
-        F.array_join(F.transform(top, lambda p: p["v"]), delimiter).alias(alias)
+        F.when(F.count(measure) > 0, F.array_join(F.transform(top, lambda p: p["v"]), delimiter)).alias(alias)
     )

@@ -112,6 +112,8 @@ class Project:
         if partition_scoped and (unique_key is None or layout is None or not layout.partition_by):
             raise ValueError("partition_scoped needs unique_key and layout.partition_by")
         pub = self.publisher
+        if pub.kind(name) == "table" and not full_refresh:
+            pub.adopt(name, layout)  # an existing plain table is the target of this run
         version = pub.current_version(name)
         is_model_view = pub.kind(name) == "view" and version is None
         if version is None or full_refresh or is_model_view:
@@ -187,7 +189,6 @@ class Project:
         validate: bool = True,
         layout: Layout | None = None,
         segmented: bool = False,
-        max_segments: int = 16,
     ) -> DataFrame:
         """Build a snapshot (see :mod:`modelsmith.operators.snapshot`).
 
@@ -195,12 +196,14 @@ class Project:
         history copied). ``segmented=True`` stores history as segments: each
         run writes one table holding only the rows it closes and the new live
         set, and the view unions every run's closed rows with the latest live
-        set, so a run costs O(live rows + source), not O(history). When more
-        than ``max_segments`` closed segments accumulate they are compacted
-        into one. An existing versioned snapshot is converted on the first
-        segmented run.
+        set, so a run costs O(live rows + source), not O(history). Segments
+        are only ever merged by :meth:`compact_snapshot`. An existing versioned
+        snapshot is converted on the first segmented run; an existing plain
+        table is the history to start from.
         """
         pub = self.publisher
+        if pub.kind(name) == "table":
+            pub.adopt(name)
         src = self._run_model(source, ModelContext(self.spark, False, None))
         # Validation and the merge both read the source: stage it once so the
         # model runs once. Without validation the merge reads it once, unstaged.
@@ -212,7 +215,7 @@ class Project:
                 as_of = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
             if segmented:
                 self._snapshot_segment(name, staged, unique_key, strategy, updated_at, check_cols,
-                                       as_of, invalidate_hard_deletes, layout, max_segments)
+                                       as_of, invalidate_hard_deletes, layout)
             else:
                 if pub.segments(name) is not None:
                     raise ValueError(f"{name} is stored as history segments; pass segmented=True")
@@ -225,8 +228,26 @@ class Project:
                 pub.drop(stage_name)
         return self.ref(name)
 
+    def compact_snapshot(self, name: str, newest: int = 8, layout: Layout | None = None) -> DataFrame:
+        """Merge the ``newest`` latest closed segments of a segmented snapshot into one;
+        older segments are left as they are."""
+        pub = self.publisher
+        segs = pub.segments(name)
+        if segs is None:
+            raise ValueError(f"{name} is not stored as history segments")
+        closed, live = segs
+        kept, merged = closed[:-newest], closed[-newest:]
+        if len(merged) > 1:
+            parts = [pub.run_part(name, r, open_rows=False) for r in merged]
+            frame = parts[0]
+            for p in parts[1:]:
+                frame = frame.unionByName(p, allowMissingColumns=True)
+            run = pub.write_run(name, frame.select("*", F.lit(False).alias(OPEN_FLAG)), layout)
+            pub.swap_segments(name, [*kept, run], live)
+        return self.ref(name)
+
     def _snapshot_segment(self, name, source, unique_key, strategy, updated_at, check_cols, as_of,
-                          invalidate_hard_deletes, layout, max_segments) -> None:
+                          invalidate_hard_deletes, layout) -> None:
         pub = self.publisher
         open_flag = F.col("valid_to").isNull().alias(OPEN_FLAG)
         segs = pub.segments(name)
@@ -254,16 +275,7 @@ class Project:
         increment = plan_snapshot_increment(live, history, source, unique_key, strategy, updated_at,
                                             check_cols, as_of, invalidate_hard_deletes)
         run = pub.write_run(name, increment.select("*", open_flag), layout)
-        closed = [*closed_runs, run]
-        if len(closed) > max_segments:
-            # compaction: one segment with every closed row so far
-            parts = [pub.run_part(name, r, open_rows=False) for r in closed]
-            merged = parts[0]
-            for p in parts[1:]:
-                merged = merged.unionByName(p, allowMissingColumns=True)
-            compacted = pub.write_run(name, merged.select("*", F.lit(False).alias(OPEN_FLAG)), layout)
-            closed = [compacted]
-        pub.swap_segments(name, closed, run)
+        pub.swap_segments(name, [*closed_runs, run], run)
         if converted is not None:
             pub.retire(name, keep={converted})  # the old version stays one round for readers
         elif pub.versions(name):

@@ -205,11 +205,12 @@ class Publisher:
     ) -> None:
         """Point the model's view at ``version`` (one catalog call), carrying
         the relation and column comments, then retire old versions."""
-        kind = self.kind(name)
-        if kind == "table":
-            # A plain table of that name (built by other means) is replaced, as
-            # a table materialization replaces whatever relation held the name.
-            self.drop(self.qualified(name))
+        backup = None
+        if self.kind(name) == "table":
+            # A plain table of that name (built by other means) makes way for the
+            # view; it is dropped only once the view exists.
+            backup = self.qualified(f"{name}__stage_{uuid.uuid4().hex}")
+            self.spark.sql(f"ALTER TABLE {self.qualified(name)} RENAME TO {backup}")
         previous = self.current_version(name)
         cols = self.spark.table(self.version_table(name, version)).columns
         column_comments = dict(column_comments or {})
@@ -220,13 +221,26 @@ class Publisher:
         select = ", ".join(quote_ident(c) for c in cols)
         clauses = f" COMMENT {sql_string(comment)}" if comment else ""
         clauses += f" TBLPROPERTIES ({sql_string(_VERSION_PROP)} = {sql_string(str(version))})"
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.qualified(name)} ({col_list}){clauses} "
-            f"AS SELECT {select} FROM {self.version_table(name, version)}"
-        )
+        try:
+            self.spark.sql(
+                f"CREATE OR REPLACE VIEW {self.qualified(name)} ({col_list}){clauses} "
+                f"AS SELECT {select} FROM {self.version_table(name, version)}"
+            )
+        except Exception:
+            if backup is not None:
+                self.spark.sql(f"ALTER TABLE {backup} RENAME TO {self.qualified(name)}")
+            raise
+        if backup is not None:
+            self.drop(backup)
         newest = [v for v in self.versions(name) if v <= version][-self.keep_versions:]
         self.retire(name, keep={version, previous, *newest})
 
+    def adopt(self, name: str, layout: Layout | None = None) -> int:
+        """Take over a plain table (built by other means) as a version, with all its rows."""
+        version = self.write_version(name, self.spark.table(self.qualified(name)), layout)
+        self.swap(name, version)
+        return version
+
     # ----------------------------------------------------------- history segments
     # A segmented model (used by snapshots) is a view over run tables
     # ``m__run<N>``, each partitioned by ``_open``: the closed partitions of all

@@ -32,11 +32,6 @@ from modelsmith.plans._registry import register
 from modelsmith.sources.relations import read_table
 
 
-# Line prices are quantity (at most 50) times a part's retail price, well below
-# 10^6, so decimal(8,2) holds them exactly and the sum runs on 64-bit integers.
-PRICE_PRECISION = 8
-
-
 def customer_insight(customer: DataFrame, orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     last_order = orders.groupBy(F.col("o_custkey").alias("id")).agg(
         F.max("o_orderdate").alias("updated_at")
@@ -48,8 +43,7 @@ def customer_insight(customer: DataFrame, orders: DataFrame, lineitem: DataFrame
         .groupBy(F.col("o_custkey").alias("id"))
         .agg(
             fn.count_distinct("l_partkey").alias("num_parts"),
-            fn.exact_sum("l_extendedprice", 2, PRICE_PRECISION).alias("_price_sum"),
-            F.count("l_extendedprice").alias("_price_n"),
+            fn.exact_avg("l_extendedprice", 2).alias("avg_price"),
         )
     )
     names = customer.groupBy(F.col("c_custkey").alias("id")).agg(
@@ -60,7 +54,7 @@ def customer_insight(customer: DataFrame, orders: DataFrame, lineitem: DataFrame
         "id",
         "name",
         F.coalesce(F.col("num_parts"), F.lit(0).cast("bigint")).alias("num_parts"),
-        (F.col("_price_sum").cast("double") / F.col("_price_n")).alias("avg_price"),
+        "avg_price",
         "updated_at",
     )
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from modelsmith import functions as fn
 from modelsmith.operators import setops
 from modelsmith.plans._registry import register
-from modelsmith.plans.flagship import PRICE_PRECISION
 from modelsmith.sources.relations import read_table
 
 
@@ -191,8 +190,8 @@ FROM lineitem GROUP BY l_returnflag, l_linestatus""")
 def agg_avg(spark, d):
     """average, computed exactly on decimals (order-independent)."""
     return _t(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
-        fn.exact_avg("l_extendedprice", 2, PRICE_PRECISION).alias("avg_price"),
-        fn.exact_avg("l_quantity", 2, PRICE_PRECISION).alias("avg_qty"),
+        fn.exact_avg("l_extendedprice", 2).alias("avg_price"),
+        fn.exact_avg("l_quantity", 2).alias("avg_qty"),
     )
 
 

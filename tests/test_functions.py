@@ -145,6 +145,11 @@ def test_aggregates(spark):
     ).collect()}
     assert out["g"].l == "a,c" and out["g"].arr == [1, 2, 3] and out["g"].bo is True
     assert out["g"].avg == 2.0 and out["g"].nd == 2 and out["h"].bo is None
+    bare = spark.createDataFrame([("x", None, 1), ("y", "a", 2), ("y", None, 1)], "g string, v string, o int")
+    assert {r.g: r.l for r in bare.groupBy("g").agg(fn.listagg("v", ",", order_by="o").alias("l")).collect()} == {"x": None, "y": "a"}
+    assert {r.g: r.l for r in fn.listagg_limited(bare, ["g"], "v", ",", "o", 1, alias="l").collect()} == {"x": None, "y": "a"}
+    large = spark.createDataFrame([(1, 5e6), (1, 1.5), (2, None)], "g int, p double")
+    assert {r.g: r.a for r in large.groupBy("g").agg(fn.exact_avg("p").alias("a")).collect()} == {1: 2500000.75, 2: None}
     limited = fn.listagg_limited(df, ["g"], "v", "-", "o", 1, alias="first")
     assert {r.g: r.first for r in limited.collect()} == {"g": "a", "h": "z"}
 

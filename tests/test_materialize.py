@@ -289,6 +289,31 @@ def test_inserts_only_and_unchanged_sync(spark, project):
     assert project.publisher.current_version("ins") == 1                      # appended in place
 
 
+def test_plain_table_is_kept_as_the_target(spark, project):
+    schema = project.publisher.schema
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id long, v string")
+    for name in ("pt_up", "pt_add", "pt_full"):
+        old.write.saveAsTable(f"{schema}.{name}")
+    project.incremental("pt_up", _df(spark, [(3, "new")]), unique_key="id")
+    assert rows(project.ref("pt_up"), "id", "v") == [(1, "a"), (2, "b"), (3, "new")]
+    project.incremental("pt_add", _df(spark, [(3, "new")]))
+    assert project.ref("pt_add").count() == 4
+    project.incremental("pt_full", _df(spark, [(3, "new")]), unique_key="id", full_refresh=True)
+    assert rows(project.ref("pt_full"), "id", "v") == [(3, "new")]
+    assert not [t for t in project.publisher._tables() if "__stage_" in t]
+
+
+def test_snapshot_goes_on_from_a_plain_table(spark, project):
+    kw = dict(unique_key="id", updated_at="updated_at")
+    runs = _snap_runs(spark)
+    project.snapshot("snap_src", _src(spark, runs[0]), as_of="2024-02-01 00:00:00", **kw)
+    project.ref("snap_src").write.saveAsTable(f"{project.publisher.schema}.snap_plain")
+    project.snapshot("snap_plain", _src(spark, runs[1]), as_of="2024-02-02 00:00:00", **kw)
+    project.snapshot("snap_src", _src(spark, runs[1]), as_of="2024-02-02 00:00:00", **kw)
+    cols = ("id", "name", "updated_at", "scd_id", "valid_from", "valid_to")
+    assert rows(project.ref("snap_plain"), *cols) == rows(project.ref("snap_src"), *cols)
+
+
 def test_table_model_replaces_plain_table_and_view_model(spark, project):
     schema = project.publisher.schema
     spark.createDataFrame([(9, "old")], "id long, v string").write.saveAsTable(f"{schema}.plain")
@@ -372,11 +397,13 @@ def test_segmented_snapshot_equals_rewritten_snapshot(spark, project):
     for i, data in enumerate(_snap_runs(spark)):
         as_of = f"2024-02-0{i + 1} 00:00:00"
         project.snapshot("full", _src(spark, data), as_of=as_of, **kw)
-        project.snapshot("seg", _src(spark, data), as_of=as_of, segmented=True, max_segments=2, **kw)
+        project.snapshot("seg", _src(spark, data), as_of=as_of, segmented=True, **kw)
+        if i == 2:
+            project.compact_snapshot("seg", newest=2)
     cols = ("id", "name", "updated_at", "scd_id", "valid_from", "valid_to")
     assert rows(project.ref("seg"), *cols) == rows(project.ref("full"), *cols)
     closed_runs, live_run = project.publisher.segments("seg")
-    assert len(closed_runs) <= 2
+    assert len(closed_runs) == 2  # the merged segment and the run after it
     # superseded runs keep only their closed rows
     for r in project.publisher.runs("seg"):
         if r != live_run and r in closed_runs:
