@@ -7,7 +7,7 @@ version* of the target; writing and publishing it is the builder's job
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +39,28 @@ def high_water_filter(new: DataFrame, this: DataFrame | None, columns: Sequence[
     return new.filter(F.coalesce(passes, F.lit(False)))
 
 
+def next_version(
+    this: DataFrame | None,
+    model: Callable[[DataFrame | None], DataFrame],
+    unique_key: str | Sequence[str] | None = None,
+    inserts_only: bool = False,
+    on_schema_change: str = "ignore",
+    full_refresh: bool = False,
+) -> DataFrame:
+    """The branch of a run (B3-B6) and the target's next version.
+
+    Without a target ``this``, or on a full refresh, the model's whole output is
+    the next version (the model then sees None); otherwise its output is
+    appended, or upserted on ``unique_key``.
+    """
+    if this is None or full_refresh:
+        return model(None)
+    new = model(this)
+    if inserts_only or unique_key is None:
+        return plan_append(this, new, on_schema_change)
+    return plan_upsert(this, new, unique_key, on_schema_change)
+
+
 def plan_append(existing: DataFrame, new: DataFrame, on_schema_change: str = "ignore") -> DataFrame:
     """Every new row is added, duplicates allowed (the schema policy is
     applied to this branch too)."""
@@ -79,8 +101,8 @@ def plan_partition_upsert(
     Returns the full contents of every touched partition (surviving old rows
     plus new rows); untouched partitions are not read or rewritten. The
     semi join on the partition columns lets dynamic partition pruning skip the
-    untouched partitions of the target scan. Contract: a key never moves
-    between partitions (the partition columns are a function of the key).
+    untouched partitions of the target scan. Contract: no key of the new data
+    lies in an untouched partition (see :func:`moved_keys`).
     Partition values are compared NULL-safely, so the NULL partition is
     handled like any other.
     """
@@ -98,6 +120,19 @@ def plan_partition_upsert(
     return survivors.select(*old_p.columns).unionByName(new_p)
 
 
+def moved_keys(existing: DataFrame, new: DataFrame, unique_key: str | Sequence[str], partition_by: Sequence[str]) -> DataFrame:
+    """Keys of the new data that the target holds in a partition which the new data does not touch.
+    Reads only the key and partition columns of the target."""
+    keys, parts = _keys(unique_key), list(partition_by)
+    touched = new.select(*parts).distinct()
+    old = existing.select(*dict.fromkeys([*keys, *parts]))
+    cond = None
+    for p in parts:
+        c = old[p].eqNullSafe(touched[p])
+        cond = c if cond is None else (cond & c)
+    return old.join(touched, cond, "left_anti").select(*keys).join(new.select(*keys).distinct(), keys, "left_semi")
+
+
 def plan_update_column(existing: DataFrame, column: str, value: Column, where: Column | None = None) -> DataFrame:
     """``update dst set column = value [where ...]`` as a projection."""
     new_value = value if where is None else F.when(where, value).otherwise(F.col(column))

@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelsmith.operators.incremental import (
-    plan_append,
+    moved_keys,
+    next_version,
     plan_partition_upsert,
     plan_update_column,
-    plan_upsert,
 )
 from modelsmith.operators.publish import OPEN_FLAG, Layout, Publisher
 from modelsmith.operators.schema_change import POLICIES, project_to, target_schema
@@ -103,9 +103,9 @@ class Project:
         target ``ctx.this``; its output is appended (no ``unique_key``, or
         ``inserts_only``; in place when the schema is unchanged) or staged once
         and upserted on ``unique_key`` into a new version.
-        ``partition_scoped=True`` (with ``layout.partition_by``, and a key
-        that never changes partition) rewrites only the partitions the new
-        data touches, in place, instead of writing a new version.
+        ``partition_scoped=True`` (with ``layout.partition_by``) rewrites only
+        the partitions the new data touches, in place, instead of writing a new
+        version; it refuses new data with a key from any other partition.
         """
         if on_schema_change not in POLICIES:
             raise ValueError(f"on_schema_change must be one of {POLICIES}")
@@ -118,7 +118,7 @@ class Project:
         is_model_view = pub.kind(name) == "view" and version is None
         if version is None or full_refresh or is_model_view:
             # B3 first run, B4 full refresh (or the name was a view model)
-            df = self._run_model(model, ModelContext(self.spark, False, None))
+            df = next_version(None, lambda _: self._run_model(model, ModelContext(self.spark, False, None)))
             pub.publish(name, df, layout, comment, column_comments)
             return self.ref(name)
 
@@ -131,8 +131,8 @@ class Project:
                 # unchanged schema: append to the live version in place, no rewrite
                 pub.append_to_version(name, version, project_to(new, cols), layout)
             else:
-                pub.publish(name, plan_append(this, new, on_schema_change), layout, comment,
-                            column_comments)
+                nxt = next_version(this, lambda _: new, None, inserts_only, on_schema_change)
+                pub.publish(name, nxt, layout, comment, column_comments)
             return self.ref(name)
         # Refuse a schema change under "fail" before anything is computed or written.
         target_schema(this.schema, new.schema, on_schema_change)
@@ -144,6 +144,9 @@ class Project:
                 if [(f.name, f.dataType) for f in this.schema.fields] != cols:
                     raise ValueError("a partition-scoped upsert cannot change the schema; "
                                      "run a full upsert or a full refresh")
+                if not moved_keys(this, staged, unique_key, layout.partition_by).isEmpty():
+                    raise ValueError("a key of the new data lies in a partition that the new data does not touch; "
+                                     "run a full upsert")
                 # B6 on large targets: rewrite only the touched partitions, in
                 # place. Spark refuses to overwrite a table the same job reads,
                 # so the touched partitions' new contents are staged first.
@@ -156,7 +159,7 @@ class Project:
                     pub.drop(touched_name)
                 return self.ref(name)
             else:
-                nxt = plan_upsert(this, staged, unique_key, on_schema_change)  # B6
+                nxt = next_version(this, lambda _: staged, unique_key, False, on_schema_change)  # B6
             pub.publish(name, nxt, layout, comment, column_comments)
         finally:
             pub.drop(stage_name)
@@ -267,7 +270,7 @@ class Project:
         closed_runs, live_run = segs
         live = pub.run_part(name, live_run, open_rows=True)
         history = None
-        if invalidate_hard_deletes and closed_runs:
+        if closed_runs:
             parts = [pub.run_part(name, r, open_rows=False) for r in closed_runs]
             history = parts[0]
             for p in parts[1:]:

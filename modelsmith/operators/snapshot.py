@@ -19,7 +19,8 @@ The merge is one pass instead of staging plus four statements: the live rows
 each joined row emits up to two rows — the live version (kept or closed) and a
 new version — by exploding a two-element literal and picking each column per
 side. Closed history is
-carried over untouched and is not shuffled. Each input is read once.
+carried over untouched and is not shuffled. The live rows and the source are read
+once; of closed history the keys and close times are read besides, for returning keys.
 
 When hard deletes are on, a key without a live row may have closed history
 (it was deleted and came back). Its new version starts no earlier than its
@@ -106,7 +107,11 @@ def _classified(target, source, keys, strategy, updated_at, check_cols, as_of, i
                      F.struct(*[F.col(f"`{c}`") for c in target.columns]).alias("l"))
     sv = src.select(*[F.col(k).alias(a) for k, a in zip(keys, key_alias)],
                     F.struct(*[F.col(f"`{c}`") for c in data_cols]).alias("s"))
-    j = lv.join(sv, key_alias, "full_outer")
+    # The last close of each key, so that a returning key starts after it and no two
+    # versions share an id. It joins on the shuffle that the full join needs anyway.
+    last_closed = closed.groupBy(*[F.col(k).alias(a) for k, a in zip(keys, key_alias)]).agg(
+        F.max("valid_to").alias("_last_closed"))
+    j = lv.join(sv.join(last_closed, key_alias, "left"), key_alias, "full_outer")
 
     in_live, in_src = F.col("l").isNotNull(), F.col("s").isNotNull()
     when_ts = _as_of(as_of)
@@ -121,21 +126,8 @@ def _classified(target, source, keys, strategy, updated_at, check_cols, as_of, i
             diff = d if diff is None else (diff | d)
         changed = in_live & in_src & diff
 
-    if invalidate_hard_deletes:
-        # Last closed valid_to of keys that have no live row but are in the
-        # source; the closed history is reduced to those keys first.
-        returning = j.filter(~in_live & in_src).select(*key_alias)
-        hist = closed.select(*[F.col(k).alias(a) for k, a in zip(keys, key_alias)], "valid_to")
-        last_closed = (
-            hist.join(returning, key_alias, "left_semi")
-            .groupBy(*key_alias)
-            .agg(F.max("valid_to").alias("_last_closed"))
-        )
-        j = j.join(last_closed, key_alias, "left")
-        start = F.when(~in_live & F.col("_last_closed").isNotNull(), F.greatest(start, F.col("_last_closed"))).otherwise(start)
-        deleted = in_live & ~in_src
-    else:
-        deleted = F.lit(False)
+    start = F.when(~in_live & F.col("_last_closed").isNotNull(), F.greatest(start, F.col("_last_closed"))).otherwise(start)
+    deleted = in_live & ~in_src if invalidate_hard_deletes else F.lit(False)
 
     j = j.select(
         *key_alias, "l", "s",
@@ -209,12 +201,11 @@ def plan_snapshot_increment(
 ) -> DataFrame:
     """Only what a run changes, for snapshots stored as history segments:
     the next live set (``valid_to`` NULL) plus the versions this run closes.
-    Closed history is not read at all, except the ``(key, valid_to)`` of keys
-    that come back after a hard delete (``history`` is needed only then)."""
+    Of closed ``history`` only the keys and ``valid_to`` are read, for the
+    start of keys that come back after a hard delete."""
     _validate_args(strategy, updated_at, check_cols)
     keys = _keys(unique_key)
-    target = live if (history is None or not invalidate_hard_deletes) else live.unionByName(
-        history, allowMissingColumns=True)
+    target = live if history is None else live.unionByName(history, allowMissingColumns=True)
     j, _, data_cols, _, when_ts = _classified(
         target, source, keys, strategy, updated_at, check_cols, as_of, invalidate_hard_deletes
     )

@@ -188,6 +188,26 @@ def conform_types(spark, d):
     return good
 
 
+@register("conform_nested", """
+WITH t AS (
+  SELECT o_orderkey, [CAST(o_custkey AS VARCHAR), o_orderstatus] AS a, o_custkey % 300 AS n
+  FROM orders
+)
+SELECT o_orderkey, a AS names, [CAST(n AS SMALLINT)] AS levels, a[2] AS status, CAST(n AS SMALLINT) AS level
+FROM t WHERE n <= 255 AND length(a[1]) <= 3""")
+def conform_nested(spark, d):
+    """K1: rules of element and value types hold inside arrays and maps."""
+    key = F.col("o_custkey")
+    o = read_table(spark, d, "orders").select(
+        "o_orderkey", F.array(key.cast("string"), "o_orderstatus").alias("names"),
+        F.array((key % 300).cast("string")).alias("levels"),
+        F.create_map("o_orderstatus", (key % 300).cast("string")).alias("by_status"))
+    good, _bad = split_conformed(conform(o, {
+        "names": "Array(FixedString(3))", "levels": "Array(Nullable(UInt8))", "by_status": "Map(String, UInt8)"}))
+    return good.select(
+        "o_orderkey", "names", "levels", F.map_keys("by_status")[0].alias("status"), F.map_values("by_status")[0].alias("level"))
+
+
 # ------------------------------------------------------------------ incremental
 
 _CUT = "2024-01-16"      # run 1 sees events before this instant
@@ -200,10 +220,16 @@ def _events(spark, d):
     return read_table(spark, d, "events").select(*_EVENT_COLS)
 
 
+def _event_model(spark, d):
+    """The events before the cut without a target, the overlapping batch with one."""
+    events = _events(spark, d)
+    return lambda this: events.filter(F.col("ts") < _ts(_CUT) if this is None else F.col("ts") >= _ts(_OVERLAP))
+
+
 @register("incremental_first", f"SELECT {_EVENT_SQL_COLS} FROM events WHERE ts < TIMESTAMP '{_CUT}'")
 def incremental_first(spark, d):
     """No target yet, the model output is the first version."""
-    return _events(spark, d).filter(F.col("ts") < _ts(_CUT))
+    return inc.next_version(None, _event_model(spark, d))
 
 
 @register("incremental_append", f"""
@@ -212,15 +238,15 @@ UNION ALL
 SELECT {_EVENT_SQL_COLS} FROM events WHERE ts >= TIMESTAMP '{_OVERLAP}'""")
 def incremental_append(spark, d):
     """No unique key, all new rows appended (duplicates kept)."""
-    target = _events(spark, d).filter(F.col("ts") < _ts(_CUT))
-    batch = _events(spark, d).filter(F.col("ts") >= _ts(_OVERLAP))
-    return inc.plan_append(target, batch)
+    model = _event_model(spark, d)
+    return inc.next_version(inc.next_version(None, model), model)
 
 
 @register("incremental_full_refresh", f"SELECT {_EVENT_SQL_COLS} FROM events")
 def incremental_full_refresh(spark, d):
     """A full refresh rebuilds from the whole source, ignoring the target."""
-    return _events(spark, d)
+    first = inc.next_version(None, _event_model(spark, d))
+    return inc.next_version(first, lambda this: _events(spark, d), full_refresh=True)
 
 
 def _user_insight(events):
@@ -354,6 +380,19 @@ def schema_sync(spark, d):
     return inc.plan_append(target, new, "sync_all_columns")
 
 
+@register("widen_refused", f"""
+SELECT event_id, ts, user_id FROM events WHERE ts < TIMESTAMP '{_CUT}'""")
+def widen_refused(spark, d):
+    """Bigint ids do not become doubles; the batch is refused before any write."""
+    e = read_table(spark, d, "events")
+    target = e.filter(F.col("ts") < _ts(_CUT)).select("event_id", "ts", "user_id")
+    new = e.filter(F.col("ts") >= _ts(_CUT)).select(F.col("event_id").cast("double").alias("event_id"), "ts", "user_id")
+    try:
+        return inc.plan_append(target, new, "append_new_columns")
+    except SchemaChangeError:
+        return target
+
+
 @register("widen_types", f"""
 SELECT CAST(event_id AS BIGINT) AS event_id, CAST(CAST(value AS DECIMAL(8,2)) AS DECIMAL(10,3)) AS value,
        CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day

@@ -166,6 +166,33 @@ def snapshot_hard_delete(spark, d):
     )
 
 
+AS_OF_2 = "2026-01-01 00:00:00"
+
+_RETURN_SQL = f"""
+WITH m AS ({_merge_sql("timestamp", True)}),
+src AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate AS updated_at
+        FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'),
+back AS (
+  SELECT src.*, greatest(src.updated_at, c.last_closed) AS start
+  FROM src JOIN (SELECT o_orderkey, max(valid_to) AS last_closed FROM m GROUP BY o_orderkey HAVING count(*) = count(valid_to)) c
+    ON c.o_orderkey = src.o_orderkey)
+SELECT * REPLACE (CASE WHEN valid_to IS NULL AND o_orderkey NOT IN (SELECT o_orderkey FROM src) THEN TIMESTAMP '{AS_OF_2}' ELSE valid_to END AS valid_to)
+FROM m
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, updated_at, {_scd_sql('o_orderkey', 'start')} AS scd_id,
+       start AS scd_updated_at, start AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to
+FROM back"""
+
+
+@register("snapshot_hard_delete_return", _RETURN_SQL)
+def snapshot_hard_delete_return(spark, d):
+    """B15 / B16 over three runs: the third meets closed history and keys that come back."""
+    src0, src1 = _sources(spark, d)
+    kw = {"invalidate_hard_deletes": True, **_kwargs("timestamp")}
+    second = snap.plan_snapshot(_first(src0, "timestamp"), src1, "o_orderkey", **kw)
+    return snap.plan_snapshot(second, src0, "o_orderkey", **(kw | {"as_of": AS_OF_2}))
+
+
 @register("snapshot_hash", """
 SELECT o_orderkey,
        CAST(CAST('0x' || substr(md5(coalesce(CAST(o_orderkey AS VARCHAR), '') || '|' || coalesce(o_orderstatus, '')), 1, 16) AS UBIGINT) AS DECIMAL(20,0)) AS legacy_id,

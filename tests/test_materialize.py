@@ -484,3 +484,68 @@ def test_catalog_sees_segmented_snapshot_as_table(spark, project):
     cat = {(r.table_name, r.column_name): r for r in project.catalog().collect()}
     assert cat[("cs", "id")].table_type == "table" and cat[("cs", "id")].row_count == 1
     assert ("cs", "_open") not in cat
+
+
+def test_snapshot_returning_key_gets_a_new_id_with_the_flag_off(spark, project):
+    t = _ts("2024-01-01")
+    for name, more in (("ro", {}), ("rs", {"segmented": True})):
+        kw = dict(unique_key="id", updated_at="updated_at", **more)
+        both = _src(spark, [(1, "a", t), (2, "b", t)])
+        project.snapshot(name, both, as_of="2024-01-05 00:00:00", **kw)
+        project.snapshot(name, _src(spark, [(1, "a", t)]), as_of="2024-01-10 00:00:00", invalidate_hard_deletes=True, **kw)
+        project.snapshot(name, both, as_of="2024-01-20 00:00:00", **kw)
+        got = project.ref(name).where("id = 2").collect()
+        assert len(got) == 2 and len({r.scd_id for r in got}) == 2
+        assert sorted([(r.valid_from, r.valid_to) for r in got], key=str) == sorted(
+            [(t, _ts("2024-01-10")), (_ts("2024-01-10"), None)], key=str)
+
+
+def test_snapshot_shuffles_each_input_once(spark):
+    from modelsmith.operators.snapshot import first_snapshot, plan_snapshot
+
+    t = _ts("2024-01-01")
+    src = _src(spark, [(1, "a", t)])
+    target = first_snapshot(src, "id", updated_at="updated_at").withColumn("valid_to", F.when(F.rand() < 2, F.col("valid_to")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_snapshot(target, src, "id", updated_at="updated_at", invalidate_hard_deletes=True)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # live rows, source, and the aggregated closes
+    assert plan.count("Exchange hashpartitioning") <= 3, plan
+
+
+def test_partition_scoped_upsert_refuses_a_key_from_another_partition(spark, project):
+    layout = Layout(partition_by=["g"])
+    old = spark.createDataFrame([(1, "a"), (2, "a"), (3, None)], "id int, g string")
+    project.incremental("pm", old, unique_key="id", layout=layout)
+    kw = dict(unique_key="id", layout=layout, partition_scoped=True)
+    for moved in ([(1, "b")], [(3, "b")]):
+        with pytest.raises(ValueError, match="partition"):
+            project.incremental("pm", spark.createDataFrame(moved, "id int, g string"), **kw)
+    assert rows(project.ref("pm")) == rows(old)
+    project.incremental("pm", spark.createDataFrame([(3, None), (4, "b")], "id int, g string"), **kw)
+    assert rows(project.ref("pm")) == sorted([(1, "a"), (2, "a"), (3, None), (4, "b")], key=repr)
+
+
+def test_unchanged_array_column_passes_under_fail(spark, project):
+    model = spark.sql("SELECT id, array(id, id + 1) AS a FROM range(3)")
+    project.incremental("af", model, on_schema_change="fail")
+    project.incremental("af", model, on_schema_change="fail")
+    assert project.ref("af").count() == 6
+
+
+def test_values_that_do_not_fit_are_refused(spark, project):
+    from modelsmith.operators.schema_change import SchemaChangeError
+
+    project.incremental("vf", spark.createDataFrame([(1, 5)], "id int, v int"))
+    with pytest.raises(Exception, match="cannot hold"):
+        project.incremental("vf", spark.createDataFrame([(2, 1.7)], "id int, v double"))
+    project.incremental("vf", spark.createDataFrame([(2, 2.0)], "id int, v double"))
+    assert rows(project.ref("vf")) == [(1, 5), (2, 2)]
+    project.incremental("vl", spark.createDataFrame([(9007199254740993,)], "id bigint"))
+    for policy in ("append_new_columns", "sync_all_columns"):
+        with pytest.raises(SchemaChangeError, match="no type holds"):
+            project.incremental("vl", spark.createDataFrame([(1.5,)], "id double"), on_schema_change=policy)
+    assert rows(project.ref("vl")) == [(9007199254740993,)]

@@ -68,9 +68,48 @@ def test_int128_beyond_decimal_is_refused_not_rounded(spark):
 
 def test_widen():
     assert widen(IntegerType(), LongType()) == LongType()
-    assert widen(LongType(), DoubleType()) == DoubleType()
+    assert widen(LongType(), DoubleType()) is None
+    assert widen(LongType(), DoubleType(), allow_rounding=True) == DoubleType()
+    assert widen(IntegerType(), DoubleType()) == DoubleType()
     assert widen(DecimalType(8, 2), DecimalType(10, 3)) == DecimalType(10, 3)
     assert widen(DecimalType(10, 0), DecimalType(6, 6)) == DecimalType(16, 6)
     assert widen(DateType(), TimestampNTZType()) == TimestampNTZType()
     assert widen(IntegerType(), StringType()) is None
     assert widen(IntegerType(), StringType(), allow_string=True) == StringType()
+
+
+def test_conform_rejects_what_does_not_fit_exactly(spark):
+    df = spark.createDataFrame([(1, 1.0, "1.23"), (2, 1.7, "1.23"), (3, 1.0, "1.239"), (4, None, None)], "id int, n double, p string")
+    out = conform(df, {"n": "Nullable(Int32)", "p": "Nullable(Decimal(5, 2))"})
+    assert {r.id: r._reject_reason for r in out.collect()} == {1: None, 2: "n: not exact", 3: "p: not exact", 4: None}
+
+
+def test_conform_arrays_and_maps(spark):
+    df = spark.sql("""
+        SELECT * FROM VALUES
+          (1, array('ab', null), array('5', null), map('k', '7')),
+          (2, array('abcdef'), array('5'), map('k', '7')),
+          (3, array('ab'), array('-5'), map('k', '7')),
+          (4, array('ab'), array('5'), map('k', 'x')),
+          (5, cast(null as array<string>), array(), map()) AS t(id, f, u, m)""")
+    declared = {"f": "Array(Nullable(FixedString(2)))", "u": "Array(Nullable(UInt8))", "m": "Map(String, UInt64)"}
+    out = conform(df, declared)
+    reasons = {r.id: r._reject_reason for r in out.collect()}
+    assert reasons == {
+        1: None, 2: "f: element longer than 2", 3: "u: element below range", 4: "m: value not castable",
+        5: "f: NULL in non-nullable column"}
+    good, _ = split_conformed(out)
+    row = good.first()
+    assert row.f == ["ab", None] and row.u == [5, None] and {k: int(v) for k, v in row.m.items()} == {"k": 7}
+    try:
+        conform(df, {"id": "Array(String)"})
+    except ValueError as e:
+        assert "id" in str(e)
+    else:
+        raise AssertionError("a scalar column passed as an array")
+
+
+def test_conform_map_keys_that_meet_or_fail_are_rejected(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, map('1', 'a')), (2, map('1', 'a', '01', 'b')), (3, map('x', 'a')) AS t(id, m)")
+    out = conform(df, {"m": "Map(Int32, String)"})
+    assert {r.id for r in out.where("_reject_reason is null").collect()} == {1}
