@@ -106,12 +106,15 @@ class Project:
         ``partition_scoped=True`` (with ``layout.partition_by``) rewrites only
         the partitions the new data touches, in place, instead of writing a new
         version; it refuses new data with a key from any other partition.
+        A run without layout or comments keeps those of the run before.
         """
         if on_schema_change not in POLICIES:
             raise ValueError(f"on_schema_change must be one of {POLICIES}")
-        if partition_scoped and (unique_key is None or layout is None or not layout.partition_by):
-            raise ValueError("partition_scoped needs unique_key and layout.partition_by")
         pub = self.publisher
+        if partition_scoped:
+            layout = layout or (pub.stored_layout(name, self.ref(name).columns) if pub.kind(name) else None)
+            if unique_key is None or layout is None or not layout.partition_by:
+                raise ValueError("partition_scoped needs unique_key and layout.partition_by")
         if pub.kind(name) == "table" and not full_refresh:
             pub.adopt(name, layout)  # an existing plain table is the target of this run
         version = pub.current_version(name)
@@ -130,6 +133,8 @@ class Project:
             if [(f.name, f.dataType) for f in this.schema.fields] == cols:
                 # unchanged schema: append to the live version in place, no rewrite
                 pub.append_to_version(name, version, project_to(new, cols), layout)
+                if comment is not None or column_comments is not None:
+                    pub.swap(name, version, comment, column_comments)
             else:
                 nxt = next_version(this, lambda _: new, None, inserts_only, on_schema_change)
                 pub.publish(name, nxt, layout, comment, column_comments)

@@ -14,14 +14,16 @@ dropped after each publish.
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_LAYOUT_PROP = "modelsmith.layout"
 _VERSION_PROP = "modelsmith.version"
 _SEGMENTS_PROP = "modelsmith.segments"  # "<closed runs, comma separated>|<live run>"
 OPEN_FLAG = "_open"  # partition column of a run table: the live rows of that run
@@ -134,12 +136,30 @@ class Publisher:
         return sorted(int(m.group(1)) for t in self._tables() if (m := pat.match(t.lower())))
 
     def current_version(self, name: str) -> int | None:
+        value = self._properties(name).get(_VERSION_PROP)
+        return int(value) if value is not None else None
+
+    def _properties(self, name: str) -> dict[str, str]:
         if self.kind(name) != "view":
+            return {}
+        return {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.qualified(name)}").collect()}
+
+    def stored_layout(self, name: str, columns: Sequence[str]) -> Layout | None:
+        """The layout that the model was last published with, if it fits ``columns``."""
+        text = self._properties(name).get(_LAYOUT_PROP)
+        layout = Layout(**json.loads(text)) if text else None
+        if layout and not {*layout.partition_by, *layout.order_by, *layout.bucket_by} <= {*columns}:
             return None
-        props = {r["key"]: r["value"] for r in self.spark.sql(
-            f"SHOW TBLPROPERTIES {self.qualified(name)}").collect()}
-        value = props.get(_VERSION_PROP)
-        return int(value) if value is not None else None
+        return layout
+
+    def stored_comments(self, name: str) -> tuple[str | None, dict[str, str]]:
+        """The comments of the relation and of its columns, as the catalog has them."""
+        if self.kind(name) is None:
+            return None, {}
+        qualified = self.qualified(name)
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {qualified}").where("col_name = 'Comment'").collect()
+        columns = {f.name: f.metadata["comment"] for f in self.spark.table(qualified).schema.fields if "comment" in f.metadata}
+        return (described[0].data_type if described else None), columns
 
     def version_table(self, name: str, version: int) -> str:
         return self.qualified(f"{name}__v{version}")
@@ -150,7 +170,7 @@ class Publisher:
     # ----------------------------------------------------------- writing
     def write_version(self, name: str, df: DataFrame, layout: Layout | None = None) -> int:
         """Write ``df`` to a new version table; nothing is published yet."""
-        layout = layout or Layout()
+        layout = layout or self.stored_layout(name, df.columns) or Layout()
         existing = self.versions(name)
         version = (existing[-1] + 1) if existing else 1
         layout.writer(layout.arrange(df)).mode("errorifexists").saveAsTable(self.version_table(name, version))
@@ -158,7 +178,7 @@ class Publisher:
 
     def append_to_version(self, name: str, version: int, df: DataFrame, layout: Layout | None = None) -> None:
         """Append rows to a version in place, matched by column name."""
-        layout = layout or Layout()
+        layout = layout or self.stored_layout(name, df.columns) or Layout()
         target = self.spark.table(self.version_table(name, version))
         ordered = df.select(*target.columns)
         layout.writer(layout.arrange(ordered)).mode("append").saveAsTable(self.version_table(name, version))
@@ -202,9 +222,15 @@ class Publisher:
         version: int,
         comment: str | None = None,
         column_comments: Mapping[str, str] | None = None,
+        layout: Layout | None = None,
     ) -> None:
         """Point the model's view at ``version`` (one catalog call), carrying
-        the relation and column comments, then retire old versions."""
+        the layout, the relation and column comments (those of the relation
+        so far where none are given), then retire old versions."""
+        old_comment, old_columns = self.stored_comments(name)
+        comment = old_comment if comment is None else comment
+        column_comments = old_columns if column_comments is None else {**old_columns, **column_comments}
+        layout = layout or self.stored_layout(name, self.spark.table(self.version_table(name, version)).columns)
         backup = None
         if self.kind(name) == "table":
             # A plain table of that name (built by other means) makes way for the
@@ -213,14 +239,16 @@ class Publisher:
             self.spark.sql(f"ALTER TABLE {self.qualified(name)} RENAME TO {backup}")
         previous = self.current_version(name)
         cols = self.spark.table(self.version_table(name, version)).columns
-        column_comments = dict(column_comments or {})
         col_list = ", ".join(
             quote_ident(c) + (f" COMMENT {sql_string(column_comments[c])}" if c in column_comments else "")
             for c in cols
         )
         select = ", ".join(quote_ident(c) for c in cols)
         clauses = f" COMMENT {sql_string(comment)}" if comment else ""
-        clauses += f" TBLPROPERTIES ({sql_string(_VERSION_PROP)} = {sql_string(str(version))})"
+        props = {_VERSION_PROP: str(version)}
+        if layout:
+            props[_LAYOUT_PROP] = json.dumps(asdict(layout))
+        clauses += f" TBLPROPERTIES ({', '.join(f'{sql_string(k)} = {sql_string(v)}' for k, v in props.items())})"
         try:
             self.spark.sql(
                 f"CREATE OR REPLACE VIEW {self.qualified(name)} ({col_list}){clauses} "
@@ -238,7 +266,7 @@ class Publisher:
     def adopt(self, name: str, layout: Layout | None = None) -> int:
         """Take over a plain table (built by other means) as a version, with all its rows."""
         version = self.write_version(name, self.spark.table(self.qualified(name)), layout)
-        self.swap(name, version)
+        self.swap(name, version, layout=layout)
         return version
 
     # ----------------------------------------------------------- history segments
@@ -384,7 +412,7 @@ class Publisher:
         column_comments: Mapping[str, str] | None = None,
     ) -> int:
         version = self.write_version(name, df, layout)
-        self.swap(name, version, comment, column_comments)
+        self.swap(name, version, comment, column_comments, layout)
         return version
 
     def publish_view(

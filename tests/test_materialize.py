@@ -549,3 +549,29 @@ def test_values_that_do_not_fit_are_refused(spark, project):
         with pytest.raises(SchemaChangeError, match="no type holds"):
             project.incremental("vl", spark.createDataFrame([(1.5,)], "id double"), on_schema_change=policy)
     assert rows(project.ref("vl")) == [(9007199254740993,)]
+
+
+def test_layout_and_comments_outlive_the_call(spark, project):
+    layout = Layout(partition_by=["g"], order_by=["id"])
+    frame = spark.createDataFrame([(1, "a"), (2, "b")], "id int, g string")
+    project.incremental("keep", frame, layout=layout, comment="it's kept", column_comments={"id": "the id"})
+
+    def facts():
+        pub = project.publisher
+        stored = pub.version_table("keep", pub.current_version("keep"))
+        described = spark.sql(f"DESCRIBE TABLE {stored}").collect()
+        parts = [r.col_name for r in described[[r.col_name for r in described].index("# Partition Information"):]][2:]
+        comment, columns = pub.stored_comments("keep")
+        return parts, comment, columns
+
+    first = facts()
+    assert first == (["g"], "it's kept", {"id": "the id"})
+    project.incremental("keep", frame)  # append without a layout
+    assert facts() == first and project.ref("keep").count() == 4
+    project.update_column("keep", "id", "id + 10", "g = 'a'")
+    assert facts() == first and rows(project.ref("keep"), "id") == [(11,), (11,), (2,), (2,)]
+    project.incremental("keep", frame, comment="new words", column_comments={"g": "the group"})
+    assert facts() == (["g"], "new words", {"id": "the id", "g": "the group"})
+    assert project.ref("keep").count() == 6
+    project.table("keep", frame.select("id"))  # the layout's column is gone
+    assert project.publisher.stored_layout("keep", ["id"]) is None and project.ref("keep").count() == 2
