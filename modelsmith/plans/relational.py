@@ -258,6 +258,16 @@ def agg_listagg_limit(spark, d):
     )
 
 
+@register("agg_listagg_nulls", """
+SELECT l_orderkey,
+       string_agg(CASE WHEN l_returnflag = 'R' THEN CAST(l_partkey AS VARCHAR) END, ',' ORDER BY l_linenumber, CAST(l_partkey AS VARCHAR)) AS returned
+FROM lineitem GROUP BY l_orderkey""")
+def agg_listagg_nulls(spark, d):
+    """NULL measures are skipped; an order that has no other stays, with NULL."""
+    part = F.when(F.col("l_returnflag") == "R", F.col("l_partkey").cast("string"))
+    return _t(spark, d, "lineitem").groupBy("l_orderkey").agg(fn.listagg(part, ",", order_by="l_linenumber").alias("returned"))
+
+
 @register("agg_group_array", """
 SELECT l_orderkey, list(l_partkey ORDER BY l_partkey) AS parts
 FROM lineitem GROUP BY l_orderkey""")
