@@ -2,52 +2,49 @@
 
 A text's terms are its words in ASCII lower case and the words' beginnings of four
 to six characters, which inflected words share. A bounded sample of the labelled
-rows (``sample``, drawn by a hash of the id) gives the vocabulary and the examples.
-The vocabulary has the terms that the marked rows have more often and whose
-presence depends most on the label: by chi-squared, ``vocabulary`` terms at most,
-none below ``LEAST_SHARE`` of the best and none in fewer than ``LEAST_SUPPORT`` of the
-marked rows (else the rare words of a few copied texts come in). Document frequencies are counted over all documents. Texts and examples
-are unit TF-IDF vectors; the k nearest examples by cosine are found exactly on an
-inverted index cut into blocks of examples: the largest weight of each term in
-each block bounds the block's cosines, blocks are visited by falling bound, and
-the rest is passed over once the bound is below the k-th best. The neighbours vote
+rows (``sample``, drawn by a hash of the id) gives the examples; all their terms
+count, none is left out for being rare or weak. Texts and examples are unit TF-IDF
+vectors, with document frequencies over all documents. Each term's weight is
+multiplied by its relevance, the squared z value of its log odds ratio between
+marked and other examples (half a row added to each count): the words of a kind of
+toxic text that few of the marked rows have weigh as their own evidence says. The
+k nearest examples by cosine are found exactly on an inverted index cut into
+blocks of examples: the largest weight of each term in each block bounds the
+block's cosines, blocks are visited by falling bound, and the rest is passed over
+once the bound is below the k-th best. The neighbours vote
 with weights that fall with distance, together with ``PRIOR`` votes of the base
 rate; they are returned as evidence.
 
-Definitions: null and empty texts and texts without a term of the vocabulary
+Definitions: null and empty texts and texts without a term of any example
 score the share of label 1 among the examples without one, smoothed by the same
 prior. Labels that are null, other than 0 and 1, held out or without a document
 teach nothing; without any example every score is 0. Equal cosines go to the
-example of smaller id; repeated examples count once. Repeated rows are scored each.
+example of smaller id; repeated examples count once (of clashing texts the
+smallest, of clashing labels 1). Repeated rows are scored each.
 
-At scale: texts are read once into sparse term counts, which are staged (few
-numbers a document); frequencies are summed map-side over the vocabulary; the
-index has a fixed bound (``sample`` rows of ``vocabulary`` terms) and is sent to
-all tasks; scoring has no shuffle.
+At scale: texts are read twice, for frequencies (summed in each task, one row a
+term leaves it) and for scores; the index is bounded by the terms of ``sample``
+rows and is sent to all tasks; scoring has no shuffle.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modelsmith.llm.scratch import stage
 from modelsmith.llm.ship import map_arrow
 from modelsmith.llm.tables import blocks, held_out
 
 SAMPLE = 8000
-VOCABULARY = 512
-LEAST_CHI = 25.0
-LEAST_SHARE = 0.1
-LEAST_SUPPORT = 0.05
 NEIGHBOURS = 15
 PRIOR = 1.0
-BLOCK = 64
+BLOCK = 512
 PREFIXES = (4, 5, 6)
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -107,20 +104,33 @@ class BlockMaxIndex:
         self.ids = np.array([ids[i] for i in order], np.int64)
         self.labels = np.array([labels[i] for i in order], np.float64)
         n_blocks = -(-len(order) // block) if order else 0
-        self.largest = np.zeros((n_terms, n_blocks))
-        postings: dict[tuple[int, int], tuple[list[int], list[float]]] = {}
-        for place, i in enumerate(order):
-            b, nth = divmod(place, block)
-            for t, w in zip(*vectors[i], strict=True):
-                self.largest[t, b] = max(self.largest[t, b], w)
-                at, weights = postings.setdefault((b, int(t)), ([], []))
-                at.append(nth)
-                weights.append(w)
-        self.postings = {k: (np.array(a, np.int64), np.array(w)) for k, (a, w) in postings.items()}
+        self.n_terms = n_terms
+        places = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
+        terms = np.concatenate([vectors[i][0] for i in order]) if order else np.zeros(0, np.int64)
+        weights = np.concatenate([vectors[i][1] for i in order]) if order else np.zeros(0)
+        key = places // block * n_terms + terms
+        sort = np.argsort(key, kind="stable")
+        # The postings of term t in block b lie from start[b * n_terms + t] to the next start.
+        self.start = np.concatenate(([0], np.cumsum(np.bincount(key, minlength=n_blocks * n_terms)))).astype(np.int32)
+        self.nth = (places % block).astype(np.uint16)[sort]
+        self.weights = weights[sort]
+        largest = np.zeros(n_blocks * n_terms)
+        if len(key):
+            filled = np.flatnonzero(np.diff(self.start))
+            largest[filled] = np.maximum.reduceat(self.weights, self.start[filled])
+        # Rounded up, so that a bound is never too small.
+        self.largest = np.nextafter(largest.astype(np.float32), np.float32(np.inf), where=largest > 0, out=np.zeros(len(largest), np.float32)).reshape(n_blocks, n_terms).T.copy()
         rate = float(np.mean(labels)) if labels else 0.0
         self.rate = rate
         self.without = (sum(labels[i] for i in empty) + PRIOR * rate) / (len(empty) + PRIOR) if labels else 0.0
-        self.known: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
+
+    def block_scores(self, b: int, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Cosines of one block's examples."""
+        first = self.start[b * self.n_terms + at].astype(np.int64)
+        n = self.start[b * self.n_terms + at + 1] - first
+        ends = np.cumsum(n)
+        where = np.repeat(first - ends + n, n) + np.arange(ends[-1])
+        return np.bincount(self.nth[where], np.repeat(weights, n) * self.weights[where], minlength=self.block)
 
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples that share a term, best first; exact."""
@@ -131,11 +141,7 @@ class BlockMaxIndex:
         for b in np.argsort(-bounds, kind="stable"):
             if bounds[b] <= 0 or (len(found) >= k and bounds[b] < floor - 1e-12):
                 break
-            scores = np.zeros(self.block)
-            for t, w in zip(at.tolist(), weights, strict=True):
-                posting = self.postings.get((int(b), t))
-                if posting is not None:
-                    scores[posting[0]] += w * posting[1]
+            scores = self.block_scores(int(b), at, weights)
             hit = np.flatnonzero(scores > 0)
             found = np.concatenate((found, hit + b * self.block))
             cosine = np.concatenate((cosine, np.round(scores[hit], 12)))
@@ -164,83 +170,107 @@ def sampled_labels(labels: DataFrame, sample: int, label: str, id_col: str) -> D
         .where("y in (0, 1) and doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(sample))
 
 
-def choose_terms(examples: DataFrame, vocabulary: int = VOCABULARY) -> list[str]:
-    """Terms that tell the marked rows of ``examples`` (doc_id, y, terms: distinct) from the others."""
-    total = examples.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("p")).first()
-    if not total.n or total.p in (0, total.n):
-        return []
-    n, p = float(total.n), float(total.p)
-    a, held = F.col("a").cast("double"), F.col("held").cast("double")
-    cross = a * n - held * p
-    chi = n * cross * cross / (p * (n - p) * held * F.greatest(n - held, F.lit(1.0)))
-    counted = examples.select("y", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("y").alias("a"), F.count(F.lit(1)).alias("held"))
-    told = counted.where(cross > 0).where(a >= max(3.0, LEAST_SUPPORT * p)).select("term", chi.alias("chi")).where(F.col("chi") >= LEAST_CHI)
-    best = told.orderBy(F.desc("chi"), "term").limit(vocabulary).collect()  # at most ``vocabulary`` rows
-    return [r.term for r in best if r.chi >= LEAST_SHARE * best[0].chi]
+def relevance(marked: np.ndarray, held: np.ndarray, n_marked: int, n: int) -> np.ndarray:
+    """Squared z value of each term's log odds ratio; ``marked`` of the ``held`` examples with it have label 1."""
+    if n_marked in (0, n):
+        return np.ones(len(held))
+    a, b = marked + 0.5, held - marked + 0.5
+    c, d = n_marked - marked + 0.5, n - n_marked - held + marked + 0.5
+    return np.log(a * d / (b * c)) ** 2 / (1 / a + 1 / b + 1 / c + 1 / d)
 
 
-def term_counts(docs: DataFrame, vocabulary: list[str], id_col: str, text_col: str) -> DataFrame:
-    """doc_id, term (places in the vocabulary), tf: the counts of each text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("term", pa.list_(pa.int32())), ("tf", pa.list_(pa.int32()))])
+def frequencies(rows: DataFrame, vocabulary: list[str]) -> tuple[int, np.ndarray]:
+    """Rows of ``rows`` (text), and how many of them hold each term."""
+    sent = rows.sparkSession.sparkContext.broadcast(vocabulary)
+    schema = pa.schema([("term", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = Vocabulary(vocabulary).count
-        for batch, texts in blocks(batches):
-            found = [sorted(count(t).items()) for t in texts]
-            columns = [pa.array([[pair[i] for pair in f] for f in found], pa.list_(pa.int32())) for i in (0, 1)]
-            yield pa.record_batch([batch.column(0), *columns], schema=schema)
-
-    return map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, "doc_id long, term array<int>, tf array<int>")
+        count = Vocabulary(sent.value).count
+        held, n = np.zeros(len(sent.value), np.int64), 0
+        for _, texts in blocks(batches):
+            n += len(texts)
+            for text in texts:
+                held[list(count(text))] += 1
+        found = np.flatnonzero(held)
+        terms, counts = np.concatenate((found, [-1])), np.concatenate((held[found], [n]))
+        for at in range(0, len(terms), 1 << 16):
+            yield pa.record_batch([pa.array(terms[at : at + (1 << 16)], pa.int32()), pa.array(counts[at : at + (1 << 16)], pa.int64())], schema=schema)
+
+    got = map_arrow(rows.select("text"), run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row a term
+    sent.unpersist()
+    out = np.zeros(len(vocabulary) + 1, np.int64)
+    out[got["term"].to_numpy()] = got["n"].to_numpy()  # the number of rows has place -1
+    return int(out[-1]), out[:-1]
 
 
 def nearest_labelled(
-    docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, vocabulary: int = VOCABULARY, k: int = NEIGHBOURS,
-    id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, k: int = NEIGHBOURS,
+    id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (),
 ) -> DataFrame:
-    """doc_id, score, neighbours (array of doc_id, cosine) for every row of ``docs``; ``labels`` (doc_id, label) teach."""
+    """doc_id, score, neighbours (array of doc_id, cosine) for every row of ``docs``; ``labels`` (doc_id, label) teach.
+
+    With ``carry`` each row also brings the columns so named, as the struct ``row``."""
     spark = docs.sparkSession
     chosen = F.broadcast(sampled_labels(labels, sample, label, id_col))  # at most ``sample`` rows of two numbers
-    wordy = pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("terms", pa.list_(pa.string()))])
+    wordy = pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("terms", pa.list_(pa.string())), ("tf", pa.list_(pa.int32()))])
 
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches):
-            found = pa.array([sorted({t for w in set(words_of(text)) for t in terms_of(w)}) for text in texts], pa.list_(pa.string()))
-            yield pa.record_batch([batch.column(0), batch.column(2), found], schema=wordy)
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    examples = stage(map_arrow(rows.join(chosen, "doc_id"), split, "doc_id long, y int, terms array<string>").dropDuplicates(["doc_id"]), "examples")
-    chosen_terms = choose_terms(examples, vocabulary)
-    counts = stage(term_counts(docs, chosen_terms, id_col, text_col), "terms")
-    n = counts.count()
-    df = {r.t: r["count"] for r in counts.select(F.explode("term").alias("t")).groupBy("t").count().collect()}  # one row a term
-    idf = np.array([np.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in range(len(chosen_terms))])
-    taught = counts.join(F.broadcast(examples.select("doc_id", "y")), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()  # at most ``sample`` rows
-    index = BlockMaxIndex([r.doc_id for r in taught], [r.y for r in taught], [unit_vector(dict(zip(r.term, r.tf, strict=True)), idf) for r in taught], len(chosen_terms))
-    sent = spark.sparkContext.broadcast((index, idf))
+            found = []
+            for text in texts:
+                counts: Counter[str] = Counter()
+                for word, n in Counter(words_of(text)).items():
+                    for t in terms_of(word):
+                        counts[t] += n
+                found.append(counts)
+            columns = [pa.array([list(c) for c in found], wordy.field(2).type), pa.array([list(c.values()) for c in found], wordy.field(3).type)]
+            yield pa.record_batch([batch.column(0), batch.column(1), *columns], schema=wordy)
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *([F.struct(*carry).alias("row")] if carry else []))
+    examples = rows.join(chosen, "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
+    taught = map_arrow(examples, split, "doc_id long, y int, terms array<string>, tf array<int>").toArrow().sort_by("doc_id").combine_chunks()  # at most ``sample`` rows
+    ids, y = taught["doc_id"].to_pylist(), taught["y"].to_numpy().astype(np.int64)
+    lists = taught["terms"].combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    cuts = lists.offsets.to_numpy() - lists.offsets[0].as_py() if len(lists) else np.zeros(1, np.int64)
+    coded = lists.flatten().dictionary_encode()
+    vocabulary, terms = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    tf = np.concatenate([c.flatten().to_numpy() for c in taught["tf"].chunks] or [np.zeros(0, np.int32)])
+    del taught, lists, coded
+    n, df = frequencies(rows, vocabulary)
+    held = np.bincount(terms, minlength=len(vocabulary))
+    marked = np.bincount(terms[np.repeat(y == 1, np.diff(cuts))], minlength=len(vocabulary))
+    idf = (np.log((1 + n) / (1 + df)) + 1) * relevance(marked, held, int(y.sum()), len(y))
+    vectors = [unit_vector(dict(zip(terms[a:b].tolist(), tf[a:b].tolist(), strict=True)), idf) for a, b in zip(cuts, cuts[1:], strict=False)]
+    del terms, tf
+    sent = spark.sparkContext.broadcast((BlockMaxIndex(ids, y.tolist(), vectors, len(vocabulary)), idf, vocabulary))
+    del vectors
     neighbour = pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())])
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("neighbours", pa.list_(neighbour))])
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, idf = sent.value
-        known: dict[tuple, tuple] = {}  # of this task, for texts of equal counts
-        for batch in batches:
+        index, idf, vocabulary = sent.value
+        count = Vocabulary(vocabulary).count
+        known: dict[bytes, tuple] = {}  # of this task, for equal texts
+        for batch, texts in blocks(batches):
             out = []
-            for t, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                key = (*t, -1, *c)
+            for text in texts:
+                key = hashlib.sha256((text or "").encode()).digest()
                 found = known.get(key)
                 if found is None:
-                    if len(known) >= 10_000:
+                    if len(known) >= 4000:
                         known.clear()
-                    s, ids, cosine = index.score(*unit_vector(dict(zip(t, c, strict=True)), idf), k)
+                    s, ids, cosine = index.score(*unit_vector(count(text), idf), k)
                     found = known[key] = s, [{"doc_id": i, "cosine": x} for i, x in zip(ids.tolist(), cosine.tolist(), strict=True)]
                 out.append(found)
-            yield pa.record_batch([batch.column(0), pa.array([o[0] for o in out], pa.float64()), pa.array([o[1] for o in out], pa.list_(neighbour))], schema=schema)
+            columns = {"doc_id": batch.column(0), "score": pa.array([o[0] for o in out], pa.float64()), "neighbours": pa.array([o[1] for o in out], pa.list_(neighbour))}
+            yield pa.RecordBatch.from_pydict(columns | ({"row": batch.column(2)} if carry else {}))
 
-    return map_arrow(counts, score, "doc_id long, score double, neighbours array<struct<doc_id:long,cosine:double>>")
+    ddl = "doc_id long, score double, neighbours array<struct<doc_id:long,cosine:double>>"
+    return map_arrow(rows, score, ddl + (f", row {rows.schema['row'].dataType.simpleString()}" if carry else ""))
 
 
 def judge_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, mod: int = 4, rest: int = 2, **options) -> DataFrame:
     """doc_id, held_out, score, predicted, neighbours: learns from labels that are not held out, scores every row."""
     held = held_out(F.col("doc_id"), mod, rest)
     return nearest_labelled(docs, labels.where(~held), **options).select(
-        "doc_id", held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "neighbours")
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "neighbours", *(["row"] if options.get("carry") else []))

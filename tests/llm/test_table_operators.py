@@ -17,6 +17,8 @@ from modelsmith.llm.prefix import prefix_sums
 from modelsmith.llm.tables import held_out, table
 from tests.conftest import SF_CHECK, SF_SMALL
 
+SF_LARGER = "/root/testdata/sf0.1"
+
 
 # --- 1: url filters
 
@@ -138,6 +140,32 @@ def test_nearest_is_exact():
             assert [int(index.ids[f]) for f in found] == [i for _, i in want] and np.allclose(got, [-c for c, _ in want])
 
 
+def test_toxicity_finds_rare_kinds(spark, make):
+    """A kind of toxic text with about a thirtieth of the marked rows is found among rows that were not taught."""
+    random.seed(12)
+    plain = [f"word{i:02d}" for i in range(60)]
+    docs, labels, kinds = [], [], {}
+    for i in range(2000):
+        kind = random.choices(["rare", "usual", "clean"], [1, 30, 69])[0]
+        own = {"rare": ["bomeka", "zuvilo"], "usual": ["hatrix", "molvan", "krelub"], "clean": []}[kind]
+        docs.append((i, " ".join([*random.sample(plain, 15), *own])))
+        labels.append((i, int(kind != "clean")))
+        kinds[i] = kind
+    rows = toxicity.judge_toxicity(make(docs, "doc_id long, text string"), make(labels, "doc_id long, toxic int"), mod=2, rest=0).where("held_out").collect()
+    for kind, want in (("rare", 1), ("usual", 1), ("clean", 0)):
+        got = [r.predicted for r in rows if kinds[r.doc_id] == kind]
+        assert got and np.mean([g == want for g in got]) > 0.95, kind
+
+
+def test_toxicity_recall_of_each_language(spark):
+    docs, labels = table(spark, SF_LARGER, "documents"), table(spark, SF_LARGER, "labels")
+    judged = toxicity.judge_toxicity(docs, labels).join(labels.select("doc_id", "toxic"), "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    rows = [r for r in judged.select("lang", "toxic", "held_out", "predicted").collect() if r.held_out]
+    marked = {lang: [r.predicted for r in rows if r.toxic and r.lang == lang] for lang in {r.lang for r in rows}}
+    assert all(np.mean(p) >= 0.8 for p in marked.values() if len(p) >= 10), {k: np.mean(p) for k, p in marked.items() if p}
+    assert np.mean([r.predicted for r in rows if not r.toxic]) < 0.05
+
+
 def test_learned_scores_odd_rows(spark, make, odd, none):
     labels = make([(i, i % 2, i % 2) for i in range(1, 9)] + [(3, None, None), (None, 1, 1), (50, 0, 0)], "doc_id long, toxic int, quality int")
     for judge in (toxicity.judge_toxicity, ql.judge_quality):
