@@ -30,11 +30,15 @@ rows and is sent to all tasks; scoring has no shuffle.
 from __future__ import annotations
 
 import hashlib
+import pickle
+import uuid
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,29 +71,32 @@ class Vocabulary:
         self.places = {t: i for i, t in enumerate(chosen)}
         self.kept, self.known = kept, {}
 
-    def places_of(self, word: bytes) -> tuple[int, ...]:
+    def places_of(self, word: bytes) -> np.ndarray:
         if len(self.known) >= self.kept:
             self.known.clear()
-        found = self.known[word] = tuple(self.places[t] for t in terms_of(word) if t in self.places)
+        found = self.known[word] = np.array([self.places[t] for t in terms_of(word) if t in self.places], np.int32)
         return found
 
-    def count(self, text: str | None) -> dict[int, int]:
-        out: dict[int, int] = {}
+    def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Places of a text's terms, ascending, and how often each occurs."""
+        words = Counter(words_of(text))
         known = self.known.get
-        for word, n in Counter(words_of(text)).items():
-            found = known(word)
-            if found is None:
-                found = self.places_of(word)
-            for t in found:
-                out[t] = out.get(t, 0) + n
-        return out
-
-
-def unit_vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = [places if (places := known(w)) is not None else self.places_of(w) for w in words]
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.concatenate(found)
+        times = np.repeat(np.fromiter(words.values(), np.int64, len(found)), np.fromiter(map(len, found), np.int64, len(found)))
+        sort = np.argsort(at)
+        at = at[sort].astype(np.int64)
+        first = np.flatnonzero(np.diff(at, prepend=-1))
+        return at[first], np.add.reduceat(times[sort], first) if len(at) else times
+
+
+def unit_vector(at: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Term places and weights ((1 + log tf) idf, of length one) of term counts."""
-    at = np.array(sorted(counts), np.int64)
-    w = (1 + np.log(np.array([counts[t] for t in at.tolist()], np.float64))) * idf[at] if len(at) else np.zeros(0)
-    return at, w / np.sqrt((w * w).sum()) if len(at) else w
+    w = (1 + np.log(tf)) * idf[at]
+    norm = np.sqrt((w * w).sum())
+    return (at, w / norm) if norm > 0 else (at[:0], w[:0])
 
 
 class BlockMaxIndex:
@@ -190,7 +197,7 @@ def frequencies(rows: DataFrame, vocabulary: list[str]) -> tuple[int, np.ndarray
         for _, texts in blocks(batches):
             n += len(texts)
             for text in texts:
-                held[list(count(text))] += 1
+                held[count(text)[0]] += 1
         found = np.flatnonzero(held)
         terms, counts = np.concatenate((found, [-1])), np.concatenate((held[found], [n]))
         for at in range(0, len(terms), 1 << 16):
@@ -203,6 +210,21 @@ def frequencies(rows: DataFrame, vocabulary: list[str]) -> tuple[int, np.ndarray
     return int(out[-1]), out[:-1]
 
 
+_BUILT: dict[str, tuple[BlockMaxIndex, np.ndarray, list[str]]] = {}  # the index last used by this worker process
+
+
+def _built(name: str, sent: Broadcast) -> tuple[BlockMaxIndex, np.ndarray, list[str]]:
+    if name not in _BUILT:
+        ids, y, cuts, terms, tf, idf, vocabulary = pickle.loads(zlib.decompress(sent.value))
+        vectors = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            sort = np.argsort(terms[a:b])
+            vectors.append(unit_vector(terms[a:b][sort].astype(np.int64), tf[a:b][sort], idf))
+        _BUILT.clear()
+        _BUILT[name] = BlockMaxIndex(ids, y.tolist(), vectors, len(vocabulary)), idf, vocabulary
+    return _BUILT[name]
+
+
 def nearest_labelled(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, k: int = NEIGHBOURS,
     id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (),
@@ -241,14 +263,14 @@ def nearest_labelled(
     held = np.bincount(terms, minlength=len(vocabulary))
     marked = np.bincount(terms[np.repeat(y == 1, np.diff(cuts))], minlength=len(vocabulary))
     idf = (np.log((1 + n) / (1 + df)) + 1) * relevance(marked, held, int(y.sum()), len(y))
-    vectors = [unit_vector(dict(zip(terms[a:b].tolist(), tf[a:b].tolist(), strict=True)), idf) for a, b in zip(cuts, cuts[1:], strict=False)]
+    # Sent as counts, which are small; each worker process makes the index of them once.
+    packed = zlib.compress(pickle.dumps((ids, y, cuts, terms, tf, idf, vocabulary)), 1)
     del terms, tf
-    sent = spark.sparkContext.broadcast((BlockMaxIndex(ids, y.tolist(), vectors, len(vocabulary)), idf, vocabulary))
-    del vectors
+    sent, name = spark.sparkContext.broadcast(packed), uuid.uuid4().hex
     neighbour = pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())])
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, idf, vocabulary = sent.value
+        index, idf, vocabulary = _built(name, sent)
         count = Vocabulary(vocabulary).count
         known: dict[bytes, tuple] = {}  # of this task, for equal texts
         for batch, texts in blocks(batches):
@@ -259,7 +281,7 @@ def nearest_labelled(
                 if found is None:
                     if len(known) >= 4000:
                         known.clear()
-                    s, ids, cosine = index.score(*unit_vector(count(text), idf), k)
+                    s, ids, cosine = index.score(*unit_vector(*count(text), idf), k)
                     found = known[key] = s, [{"doc_id": i, "cosine": x} for i, x in zip(ids.tolist(), cosine.tolist(), strict=True)]
                 out.append(found)
             columns = {"doc_id": batch.column(0), "score": pa.array([o[0] for o in out], pa.float64()), "neighbours": pa.array([o[1] for o in out], pa.list_(neighbour))}
