@@ -1,7 +1,7 @@
 """Corpus pipeline: toxicity, line dedup, SimHash near-dedup, decontamination, encoding.
 
 Each stage calls one operator of ``modelsmith.llm`` on all that the stage before
-kept; :func:`run` writes each stage's result as Parquet to the cluster's shared
+kept (decisions are taken on the judged row itself, never by id); :func:`run` writes each stage's result as Parquet to the cluster's shared
 folder and reads it back. Every stage but the last returns the columns of the
 table ``documents``.
 """
@@ -19,15 +19,10 @@ from modelsmith.llm.tables import table
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the rows of the ids in ``gone`` (a null id stays)."""
-    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the nearest labelled examples call toxic go."""
-    judged = toxicity.judge_toxicity(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, judged.where("predicted = 1"))
+    judged = toxicity.judge_toxicity(docs, table(spark, sf_dir, "labels"), carry=COLUMNS)
+    return judged.where("predicted = 0").select("row.*")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,16 +32,17 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of the smallest id stays; of repeated rows of one id, one."""
-    grouped = simhash.near_duplicates(docs)
-    kept = grouped.where("doc_id is null or doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    """Of each group of near duplicates one row stays: that of the smallest id (null last), of these the smallest by its content's hash."""
+    rows = docs.withColumn("row", F.sha2(F.to_json(F.struct(*COLUMNS)), 256))
+    printed = stage(simhash.fingerprints(rows, carry=["row"]), "prints")
+    # Rows that are equal in all columns share the hash; one of them stays.
+    return rows.join(simhash.first_rows(printed, "row"), "row", "left_semi").dropDuplicates(["row"]).select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    found = decontamination.judge_contamination(decontamination.find_passages(docs, table(spark, sf_dir, "benchmark")))
-    return _without(docs, found.where("contaminated"))
+    found = decontamination.find_passages(docs, table(spark, sf_dir, "benchmark"), carry=COLUMNS)
+    return found.where(F.size("word_spans") == 0).select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

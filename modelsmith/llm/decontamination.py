@@ -21,7 +21,7 @@ from __future__ import annotations
 import pickle
 import re
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import ahocorasick
 import numpy as np
@@ -163,25 +163,29 @@ def _scanner(sent: Broadcast, name: str, last: bool) -> Callable:
             pairs = [pa.array([[{"first": a, "end": b} for a, b in row] for row in rows], pa.list_(_SPAN)) for rows in (spans, places)]
             columns = {"doc_id": batch.column(0), "text": batch.column(1), "n_words": pa.array(n, pa.int64()), "word_spans": pairs[0],
                        "char_spans": pairs[1], "item_ids": pa.array(items, pa.list_(pa.string()))}
-            yield pa.record_batch([columns[c] for c in schema.names], schema=schema)
+            kept = {c: columns[c].cast(schema.field(c).type) for c in schema.names}
+            yield pa.RecordBatch.from_pydict(kept | ({"row": batch["row"]} if "row" in batch.schema.names else {}))
 
     return run
 
 
 def find_passages(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_key_bytes: int = MAX_KEY_BYTES,
-    id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", carry: Sequence[str] = (),
 ) -> DataFrame:
-    """doc_id, n_words, word_spans (runs of hit words), char_spans (where they lie in the text), item_ids (sorted as strings)."""
+    """doc_id, n_words, word_spans (runs of hit words), char_spans (where they lie in the text), item_ids (sorted as strings).
+
+    With ``carry`` each row also brings the columns so named, as the struct ``row``."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).where("item is not null and text is not null")
     frame = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *[
-        F.lit(None).cast(kind).alias(c) for c, (_, kind) in _FIELDS.items() if c not in ("doc_id", "text")])
+        F.lit(None).cast(kind).alias(c) for c, (_, kind) in _FIELDS.items() if c not in ("doc_id", "text")], *([F.struct(*carry).alias("row")] if carry else []))
+    row = f", row {frame.schema['row'].dataType.simpleString()}" if carry else ""
     sent = [docs.sparkSession.sparkContext.broadcast(pickle.dumps(b)) for b in key_blocks(items, window, max_key_bytes)]
     sent = sent or [docs.sparkSession.sparkContext.broadcast(pickle.dumps({}))]
     for k, block in enumerate(sent):
         last = k == len(sent) - 1
         ddl = ", ".join(f"{c} {kind}" for c, (_, kind) in _FIELDS.items() if c != "text" or not last)
-        frame = map_arrow(frame, _scanner(block, uuid.uuid4().hex, last), ddl)
+        frame = map_arrow(frame, _scanner(block, uuid.uuid4().hex, last), ddl + row)
     return frame
 
 

@@ -22,7 +22,7 @@ that is not null. An empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -68,18 +68,15 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
 
 
-_OUT = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
-
-
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long), and the columns named in ``carry``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches):
             fp = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
-            yield pa.record_batch([batch.column(0), pa.array(fp)], schema=_OUT)
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "fp": pa.array(fp)} | {c: batch[c] for c in carry})
 
-    return map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, "doc_id long, fp long")
+    return map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *carry), run, "doc_id long, fp long" + "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry))
 
 
 def _signed(x: int) -> int:
@@ -141,12 +138,24 @@ def near_pairs(vertices: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return stars.select(fp.alias("a"), F.col("centre").alias("b")).unionByName(found)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id that links reach)."""
-    printed = stage(fingerprints(docs, shingle, id_col, text_col), "prints")
+def fingerprint_groups(printed: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """fp, part (names its component), component_id (smallest doc_id of the component) for rows (doc_id, fp)."""
     vertices = stage(printed.groupBy("fp").agg(F.min("doc_id").alias("first")), "vertices")
     parts = connected_components(near_pairs(vertices, max_bits))
     named = vertices.join(parts, vertices.fp == parts.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("part"))
     smallest = named.groupBy("part").agg(F.min("first").alias("component_id"))
-    groups = named.join(smallest, "part").select("fp", "component_id")
+    return named.join(smallest, "part").select("fp", "part", "component_id")
+
+
+def first_rows(printed: DataFrame, row_col: str, max_bits: int = MAX_BITS) -> DataFrame:
+    """``row_col`` of one row of each component: of the smallest doc_id (null last), of these the smallest ``row_col``."""
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col(row_col))
+    of_print = printed.groupBy("fp").agg(F.min(order).alias("first"))
+    return of_print.join(fingerprint_groups(printed, max_bits), "fp").groupBy("part").agg(F.min("first").alias("first")).select(f"first.{row_col}")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id that links reach)."""
+    printed = stage(fingerprints(docs, shingle, id_col, text_col), "prints")
+    groups = fingerprint_groups(printed, max_bits)
     return printed.join(groups, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
