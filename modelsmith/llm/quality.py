@@ -5,13 +5,15 @@ bytes of a text is hashed to a bucket (a pair of equal words to one of its own,
 whatever the word); the buckets' learned vectors are averaged over the document and a
 softmax layer tells good from poor. Vectors and layer are trained together by
 stochastic gradient descent in numpy, on a bounded sample of the labelled rows
-(``sample``, half of each class, drawn by a hash of the id; the classes' true
-shares, counted over all labelled rows, enter the bias). As the layer is linear,
+(``sample``, at most half of each class, drawn by a hash of the id; in the bias
+the classes' true shares, counted over all labelled ids, replace those of the rows
+trained on). As the layer is linear,
 scoring needs only each bucket's product with the layer: one number a bucket.
 
 Definitions: null and empty texts have no features and score by the bias alone;
 labels that are null, other than 0 and 1, held out or without a document teach
-nothing; if one class has no rows, every score is the other class. Repeated rows
+nothing; if one class has no rows to learn from, every score is the other class.
+An id teaches once: of repeated texts the smallest, of clashing labels 0. Repeated rows
 are scored each. Case counts: upper and lower case hash apart. A text beyond
 ``SEGMENT`` bytes is read in segments cut at white space.
 
@@ -170,7 +172,7 @@ def score_texts(texts: list[str | None], weights: np.ndarray, bias: float, bits:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, float]:
     """Bucket weights and bias from a bounded sample of ``labels`` (doc_id, label)."""
-    taught = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("y in (0, 1) and doc_id is not null")
+    taught = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("y in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("y").alias("y"))
     share = {r.y: r["count"] for r in taught.groupBy("y").count().collect()}  # two rows at most
     if len(share) < 2:
         return np.zeros(1 << BUCKET_BITS, np.float32), 50.0 if 1 in share else -50.0
@@ -181,15 +183,20 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str =
     def bags(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches):
             found = [bag(t) for t in texts]
-            yield pa.record_batch([batch.column(0), batch.column(2), pa.array([f[0] for f in found], out.field(2).type), pa.array([f[1] for f in found], out.field(3).type)], schema=out)
+            yield pa.record_batch([batch["doc_id"], batch["y"], pa.array([f[0] for f in found], out.field(2).type), pa.array([f[1] for f in found], out.field(3).type)], schema=out)
 
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(chosen, "doc_id")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(chosen, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
     rows = map_arrow(texts, bags, "doc_id long, y int, bucket array<int>, n array<int>").toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")])
+    n1 = int(rows["y"].to_numpy().sum())
+    n0 = rows.num_rows - n1
+    if not n0 or not n1:  # at most one class has documents
+        return np.zeros(1 << BUCKET_BITS, np.float32), 50.0 if n1 else -50.0 if n0 else float(np.log(share[1] / share[0]))
     model = Embeddings()
     model.learn(
         [(b.values.to_numpy(), c.values.to_numpy()) for b, c in zip(rows["bucket"], rows["n"], strict=True)], rows["y"].to_numpy())
     weights, bias = model.products()
-    return weights, bias + float(np.log(share[1] / share[0]))
+    # The bias holds the odds of the classes in the rows trained on; the true odds take their place.
+    return weights, bias + float(np.log(share[1] / share[0]) - np.log(n1 / n0))
 
 
 _SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
