@@ -7,8 +7,8 @@ weights scatter the weighted postings into a dense score array, partition
 selection picks the best k of the cell, and a window merges the cells' lists.
 Every candidate is scored: the result is exact.
 
-Definitions: vectors that are null or hold null or non-finite components take no
-part; missing trailing dimensions count as zero; a query never answers with rows
+Definitions: vectors that are null or hold null or non-finite components, and rows
+whose id is null (they could not be named in an answer), take no part; missing trailing dimensions count as zero; a query never answers with rows
 of its own id; equal scores go to the smaller id. Repeated query rows (same id
 and vector) answer once; repeated candidate rows each count. Components are
 taken to lie below 2^24 in size after quantising, so sums fit 64 bits.
@@ -34,10 +34,10 @@ LEAST_BLOCKS = 48
 
 
 def quantise(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256) -> DataFrame:
-    """vec_id, q: floor(scale * x) of each component; without unusable vectors."""
+    """vec_id, q: floor(scale * x) of each component; without unusable vectors and without null ids."""
     v = F.col(vector_col)
     usable = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return vectors.where(v.isNotNull()).where(F.coalesce(usable, F.lit(False))).select(
+    return vectors.where(v.isNotNull() & F.col(id_col).cast("long").isNotNull()).where(F.coalesce(usable, F.lit(False))).select(
         F.col(id_col).cast("long").alias("vec_id"), F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("q"))
 
 
