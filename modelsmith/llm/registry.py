@@ -30,7 +30,7 @@ def tokenizer_path(name: str) -> str:
 
 
 def op1_url_filters(spark: SparkSession, data_dir: str) -> DataFrame:
-    judged = url_filters.judge_urls(table(spark, data_dir, "pages"), table(spark, data_dir, "labels"))
+    judged = url_filters.judge_urls(table(spark, data_dir, "pages"), table(spark, data_dir, "labels"), suffixes=url_filters.SUFFIXES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 

@@ -31,6 +31,18 @@ from modelsmith.llm.scratch import stage
 
 #: (verdict, rule) as the contract fixes them.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+#: Suffixes of several labels under which names are registered: of countries, and of hosts of other people's sites.
+SUFFIXES = (
+    "ac.uk", "co.uk", "gov.uk", "ltd.uk", "me.uk", "net.uk", "nhs.uk", "org.uk", "plc.uk", "sch.uk",
+    "asn.au", "com.au", "edu.au", "gov.au", "id.au", "net.au", "org.au",
+    "ac.nz", "co.nz", "govt.nz", "net.nz", "org.nz", "school.nz",
+    "ac.jp", "co.jp", "ed.jp", "go.jp", "gr.jp", "lg.jp", "ne.jp", "or.jp",
+    "ac.kr", "co.kr", "go.kr", "or.kr", "re.kr", "ac.in", "co.in", "edu.in", "gov.in", "net.in", "org.in", "res.in",
+    "ac.za", "co.za", "gov.za", "org.za", "com.br", "edu.br", "gov.br", "net.br", "org.br",
+    "com.ar", "com.cn", "edu.cn", "gov.cn", "net.cn", "org.cn", "com.co", "com.eg", "com.hk", "com.mx", "com.my", "com.ng", "com.pk", "com.pl",
+    "com.sa", "com.sg", "com.tr", "com.tw", "com.ua", "com.vn", "ac.id", "co.id", "go.id", "ac.il", "co.il", "org.il", "ac.th", "co.th", "or.th",
+    "blogspot.com", "github.io", "gitlab.io", "herokuapp.com", "netlify.app", "pages.dev", "vercel.app", "web.app", "wordpress.com",
+)
 MAX_BAD = 0.3
 Z = 1.645
 
