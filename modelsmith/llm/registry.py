@@ -1,4 +1,4 @@
-"""The queries of the ten operators and the pipeline, with their DuckDB SQL.
+"""The queries of the thirteen operators and the pipeline, with their DuckDB SQL.
 
 A query applies its operator to the whole table and reduces the result to the
 columns that are compared. Where there is no SQL, ``tests/llm`` holds the query
@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelsmith.llm import (
-    decontamination, line_dedup, piece_codec, quality, sharding, simhash, token_counts, topk_search, toxicity, url_filters,
+    decontamination, exact_dedup, line_dedup, piece_codec, quality, sharding, simhash, spelling, token_counts, topk_search, toxicity, turn_trie,
+    url_filters,
 )
 from modelsmith.llm.tables import table
 
@@ -72,6 +73,18 @@ def op10_topk_search(spark: SparkSession, data_dir: str) -> DataFrame:
     return topk_search.top_k(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+def op11_exact_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, data_dir, "documents"))
+
+
+def op12_turn_trie(spark: SparkSession, data_dir: str) -> DataFrame:
+    return turn_trie.turn_trie(table(spark, data_dir, "conversations"))
+
+
+def op13_spelling(spark: SparkSession, data_dir: str) -> DataFrame:
+    return spelling.spelling_groups(spelling.count_words(table(spark, data_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, data_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -81,7 +94,7 @@ def pipeline(spark: SparkSession, data_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_url_filters, op2_line_dedup, op3_sentencepiece, op4_toxicity, op5_decontamination, op6_token_counts, op7_simhash, op8_quality,
-              op9_sharding, op10_topk_search, pipeline)
+              op9_sharding, op10_topk_search, op11_exact_dedup, op12_turn_trie, op13_spelling, pipeline)
 }
 
 
