@@ -1,28 +1,31 @@
 """Spelling variant grouping by a relational trie frontier (operator 13).
 
-The words and their mirror images form a trie, kept as a distributed edge table:
-for each node (a beginning of a word) the characters that follow. The frontier
-holds the states (word, position, node, edits) of all searches. Level by level it
-is joined with the edges of its depth: a state that has spent its edit goes on only
-with the word's own next character; a word on its own path spends its edit at each
-position, by leaving out its character there or by taking another edge. A state
-that reaches the end of its word at the end of a word of the trie is a neighbour.
+The words and their mirror images form a trie, kept as distributed tables of nodes
+(beginnings of words) and of the characters that follow. The frontier holds the
+states (word, position, node, edits) of all searches. A word on its own path spends
+its edit where the trie parts: by another edge, or by leaving its character out. From
+then on a state goes on only with the word's own next characters: each round joins
+the frontier with the nodes of the next level. A state that reaches the end of its
+word at the end of a word of the trie is a neighbour.
 
 What makes the frontier small: an edit in the second half of a word is looked for
 from its beginning, one in the first half from its end, so edits branch only where
-the trie is thin. Leaving out finds the shorter neighbour, and the longer one by
-turning the pair; of two words of one length the smaller finds the larger; of a run
-of one character the last is left out. So each pair is found once.
+the trie is thin; and only at nodes that go on in two ways, or end and go on, as two
+words part at such a node. Leaving out finds the shorter neighbour, and the longer one
+by turning the pair; of two words of one length the smaller finds the larger; of a run
+of one character the last met is left out. So each pair is found once.
+
+Levels are ``LEVEL`` characters apart, from the depth ``DEEP`` on twice as far each
+time, so even very long words take few rounds.
 
 Definitions: runs of letters as the contract gives them, A-Z in lower case. A null
 text has no words; a null doc_id is written as nothing before the colon. Repeated
 rows count each. Other columns are not read. Empty tables give no rows.
 
-At scale: texts are read once; each task sends counts. The edge table has a row for
-each node, with its characters (their number is bounded by the letters in use).
-Each level is staged and takes one join, whose hot nodes can be split. From the depth
-``DEEP`` on only those depths are levels at which words part, so very long words
-cost no rounds of their own. Forms are followed by pointer doubling.
+At scale: texts are read once; each task sends counts. A node has one row of
+characters, whose number is bounded by the letters in use; nodes beyond ``DEEP``
+characters are named by their SHA-256. Each round is staged and takes one join, whose
+hot nodes can be split. Forms are followed by pointer doubling.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelsmith.llm.scratch import stage
@@ -41,7 +44,7 @@ from modelsmith.llm.ship import map_arrow
 from modelsmith.llm.tables import blocks
 
 SHORTEST, FEWEST, SLIPS = 5, 3, 97
-DEEP = 24
+LEVEL, DEEP = 4, 32
 #: Different words that a task counts before it sends them on.
 HELD = 200_000
 
@@ -84,17 +87,35 @@ def count_words(docs: DataFrame, shortest: int = SHORTEST, fewest: int = FEWEST,
     return map_arrow(rows, run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= fewest)
 
 
-def branching_levels(both: DataFrame) -> list[tuple[int, int]]:
-    """(depth, characters to the next level): every depth below ``DEEP``, then those at which a node goes on in two ways or
-    ends and goes on. Two near words part at such a depth, and from one level to the next an edge is known by its first character."""
-    first, longest = both.agg(F.coalesce(F.min("from"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0))).first()
-    depths = set(range(first, min(longest, DEEP)))
-    deep = both.where(F.col("size") >= DEEP).select("rev", "s", F.explode(F.sequence(F.lit(DEEP), F.col("size"))).alias("d"))
-    parts = deep.groupBy("rev", "d", F.sha2(F.expr("substring(s, 1, d)").cast("binary"), 256).alias("node")).agg(
-        F.min(F.expr("substring(s, d + 1, 1)")).alias("a"), F.max(F.expr("substring(s, d + 1, 1)")).alias("b"))
-    depths.update(r.d for r in parts.where("a != b").select("d").distinct().toLocalIterator())
-    order = sorted(depths)
-    return [(d, after - d) for d, after in zip(order, [*order[1:], longest], strict=False)]
+def _name(node: Column) -> Column:
+    return F.when(F.char_length(node) > DEEP, F.sha2(node.cast("binary"), 256)).otherwise(node)
+
+
+def _begin(n: str) -> Column:
+    """The first ``n`` (an SQL expression) characters of the word ``s``."""
+    return F.expr(f"substring(s, 1, {n})")
+
+
+def _next_level(depth: str) -> str:
+    return f"if({depth} < {DEEP}, (({depth}) div {LEVEL} + 1) * {LEVEL}, {DEEP} << cast(floor(log2(({depth}) / {DEEP})) + 1 as int))"
+
+
+def trie_nodes(both: DataFrame) -> DataFrame:
+    """rev, name, ends: the nodes at the levels at which words go on, and (``ends``) the words themselves."""
+    levels = F.expr(f"filter(flatten(array(transform(sequence(1, {DEEP} div {LEVEL}), i -> i * {LEVEL}), transform(sequence(1, 24), i -> {DEEP} << i))), d -> d < size)")
+    inner = both.select("rev", "s", F.explode(levels).alias("d")).select("rev", _name(_begin("d")).alias("name")).distinct()
+    return inner.withColumn("ends", F.lit(False)).unionByName(both.select("rev", _name(F.col("s")).alias("name"), F.lit(True).alias("ends")))
+
+
+def _onwards(states: DataFrame, nodes: DataFrame) -> DataFrame:
+    """One round: the states (rev, s, size, pos, node, edits) whose word leads on to a node of the next level, or to the end of a word (``done``)."""
+    depth = "char_length(node)"
+    moved = states.withColumn("_step", F.expr(f"cast({_next_level(depth)} - {depth} as int)"))
+    moved = moved.select(
+        "rev", "s", "size", F.least(F.col("pos") + F.col("_step"), F.col("size")).alias("pos"), F.concat("node", F.expr("substring(s, pos + 1, _step)")).alias("node"), "edits",
+        (F.col("pos") + F.col("_step") >= F.col("size")).alias("done"))
+    there = nodes.select(F.col("rev").alias("_rev"), F.col("name").alias("_name"), F.col("ends").alias("_ends"))
+    return moved.join(there, (F.col("rev") == F.col("_rev")) & (_name(F.col("node")) == F.col("_name")) & (F.col("done") == F.col("_ends"))).select(*moved.columns)
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -102,39 +123,32 @@ def near_words(words: DataFrame) -> DataFrame:
     size = F.char_length("s").cast("int")
     both = words.select(F.col("word").alias("s"), F.lit(False).alias("rev")).unionByName(words.select(F.reverse("word").alias("s"), F.lit(True).alias("rev")))
     # from: the first position at which this direction looks for an edit.
-    both = stage(both.select("s", "rev", size.alias("size"), F.when(F.col("rev"), size - (size / 2).cast("int")).otherwise((size / 2).cast("int")).alias("from")), "trie")
-    found, frontier = [], None
-    levels = branching_levels(both)
-    for d, width in levels:
-        node, label = F.substring("s", 1, d), F.substring("s", d + 1, width)
-        edges = both.where(F.col("size") >= d).groupBy("rev", node.alias("node"), label.alias("c")).agg(F.max(F.col("size") <= d + width).alias("ends"))
-        # A word that ends at the node has no label here.
-        edges = edges.groupBy("rev", "node").agg(
-            F.collect_list(F.when(F.col("c") != "", F.col("c"))).alias("next"), F.collect_list(F.when(F.col("ends"), F.col("c"))).alias("final"), F.max(F.col("c") == "").alias("word"))
-        start = both.where((F.col("from") <= d) & (F.col("size") > d)).select("rev", "s", "size", F.lit(d).alias("pos"), node.alias("node"), F.lit(0).alias("edits"))
-        # Left out: the state stays at its node, its edit spent. Of equal characters the last of the run as it is read forwards.
-        other = F.when(F.col("rev"), F.substring("s", d, 1) if d else F.lit("")).otherwise(F.substring("s", d + 2, 1))
-        out = start.where(F.substring("s", d + 1, 1) != other).select("rev", "s", "size", F.lit(d + 1).alias("pos"), "node", F.lit(1).alias("edits"))
-        states = start.unionByName(out)
-        if frontier is not None:
-            states = states.unionByName(frontier.where("not done").drop("done"))
-        want = F.substring(F.col("s"), F.col("pos") + 1, F.lit(width))
-        ending = F.col("pos") + width >= F.col("size")
-        # The edges to follow: the wanted one, or for a word on its own path all that differ in a larger first character.
-        edge = F.when(ending, F.col("final")).otherwise(F.col("next"))
-        replaced = F.filter(edge, lambda c: (F.substring(c, 1, 1) > F.substring(want, 1, 1)) & (F.substring(c, 2, width) == F.substring(want, 2, width)))
-        follow = F.when(F.col("edits") == 0, replaced).when(F.col("pos") == F.col("size"), F.when(F.col("word"), F.array(F.lit("")))).when(F.array_contains(edge, want), F.array(want))
-        stepped = states.join(edges, ["rev", "node"]).select("rev", "s", "size", "pos", "node", F.explode(follow).alias("c")).select(
-            "rev", "s", "size", (F.col("pos") + F.char_length("c")).cast("int").alias("pos"), F.concat("node", "c").alias("node"), F.lit(1).alias("edits"), ((F.col("c") == "") | ending).alias("done"))
-        frontier = stage(stepped, "frontier")
-        found.append(frontier)
-    if not found:
-        return words.select(F.col("word").alias("a"), F.col("word").alias("b")).where("false")
+    both = stage(both.where("s != ''").select("s", "rev", size.alias("size"), F.when(F.col("rev"), size - (size / 2).cast("int")).otherwise((size / 2).cast("int")).alias("from")), "trie")
+    nodes = stage(trie_nodes(both), "nodes")
+    first = both.agg(F.coalesce(F.min("from"), F.lit(0))).first()[0]
+    edges = both.select("rev", "s", F.explode(F.sequence(F.lit(first), "size")).alias("d")).select("rev", _name(_begin("d")).alias("name"), F.expr("substring(s, d + 1, 1)").alias("c"))
+    edges = stage(edges.distinct().groupBy("rev", "name").agg(F.collect_list("c").alias("next")).where(F.size("next") > 1), "edges")
+    paths = both.where("from < size").select("rev", "s", "size", "from", F.explode(F.sequence("from", F.col("size") - 1)).alias("d")).select("*", _name(_begin("d")).alias("name"))
+    # Left out, unless the next character is the same; the edge after it is known at this node ('' at the word's end).
+    # A run that lies across the middle of its word is left to the search from the beginning.
+    char, after = F.expr("substring(s, d + 1, 1)"), F.expr("substring(s, d + 2, 1)")
+    across = F.col("rev") & (F.replace(F.expr("substring(s, from, d - from + 2)"), char, F.lit("")) == "")
+    left_out = (char != after) & ~across & F.array_contains("next", after)
+    taken = F.filter("next", lambda c: c > char)
+    states = paths.join(edges, ["rev", "name"]).select("rev", "s", "size", "d", F.explode(F.when(left_out, F.concat(taken, F.array(F.lit("")))).otherwise(taken)).alias("c")).select(
+        "rev", "s", "size", (F.col("d") + 1).alias("pos"), F.concat(_begin("d"), "c").alias("node"), F.lit(1).alias("edits"))
+    found = []
+    while True:
+        frontier = stage(_onwards(states, nodes), "frontier")
+        found.append(frontier.where("done"))
+        states = frontier.where("not done").drop("done")
+        if states.isEmpty():
+            break
     pairs = found[0]
     for f in found[1:]:
         pairs = pairs.unionByName(f)
     turned = lambda c: F.when(F.col("rev"), F.reverse(c)).otherwise(F.col(c))
-    return pairs.where("done").select(turned("s").alias("a"), turned("node").alias("b"))
+    return pairs.select(turned("s").alias("a"), turned("node").alias("b"))
 
 
 def follow_forms(forms: DataFrame) -> DataFrame:
