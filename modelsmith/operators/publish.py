@@ -231,12 +231,8 @@ class Publisher:
         comment = old_comment if comment is None else comment
         column_comments = old_columns if column_comments is None else {**old_columns, **column_comments}
         layout = layout or self.stored_layout(name, self.spark.table(self.version_table(name, version)).columns)
-        backup = None
-        if self.kind(name) == "table":
-            # A plain table of that name (built by other means) makes way for the
-            # view; it is dropped only once the view exists.
-            backup = self.qualified(f"{name}__stage_{uuid.uuid4().hex}")
-            self.spark.sql(f"ALTER TABLE {self.qualified(name)} RENAME TO {backup}")
+        properties = self._properties(name)  # all that the view carries stays, such as a stream's progress
+        backup = self._aside(name)
         previous = self.current_version(name)
         cols = self.spark.table(self.version_table(name, version)).columns
         col_list = ", ".join(
@@ -245,7 +241,8 @@ class Publisher:
         )
         select = ", ".join(quote_ident(c) for c in cols)
         clauses = f" COMMENT {sql_string(comment)}" if comment else ""
-        props = {_VERSION_PROP: str(version)}
+        props = {k: v for k, v in properties.items() if k.startswith("modelsmith.") and k not in (_SEGMENTS_PROP, _LAYOUT_PROP)}
+        props[_VERSION_PROP] = str(version)
         if layout:
             props[_LAYOUT_PROP] = json.dumps(asdict(layout))
         clauses += f" TBLPROPERTIES ({', '.join(f'{sql_string(k)} = {sql_string(v)}' for k, v in props.items())})"
@@ -255,8 +252,7 @@ class Publisher:
                 f"AS SELECT {select} FROM {self.version_table(name, version)}"
             )
         except Exception:
-            if backup is not None:
-                self.spark.sql(f"ALTER TABLE {backup} RENAME TO {self.qualified(name)}")
+            self._back(name, backup)
             raise
         if backup is not None:
             self.drop(backup)
@@ -424,15 +420,36 @@ class Publisher:
     ) -> None:
         """(re)build a view model from SQL over catalog names. A
         versioned build of the same name is replaced and its versions dropped."""
-        kind = self.kind(name)
-        if kind == "table":
-            self.drop(self.qualified(name))
-        cols = self.spark.sql(sql).columns
+        cols = self.spark.sql(sql).columns  # analysed before anything is touched
         column_comments = dict(column_comments or {})
         col_list = ", ".join(
             quote_ident(c) + (f" COMMENT {sql_string(column_comments[c])}" if c in column_comments else "")
             for c in cols
         )
         clauses = f" COMMENT {sql_string(comment)}" if comment else ""
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.qualified(name)} ({col_list}){clauses} AS {sql}")
+        backup = self._aside(name)
+        try:
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self.qualified(name)} ({col_list}){clauses} AS {sql}")
+        except Exception:
+            self._back(name, backup)
+            raise
+        if backup is not None:
+            self.drop(backup)
         self.retire(name, keep=set())
+
+    def _aside(self, name: str) -> str | None:
+        """Rename a plain table of that name (built by other means), so that it makes way for the view; None
+        where there is none. The caller drops it once the view exists, or brings it :meth:`_back`."""
+        if self.kind(name) != "table":
+            return None
+        backup = self.qualified(f"{name}__stage_{uuid.uuid4().hex}")
+        self.spark.sql(f"ALTER TABLE {self.qualified(name)} RENAME TO {backup}")
+        return backup
+
+    def _back(self, name: str, backup: str | None) -> None:
+        if backup is None:
+            return
+        table = self.qualified(name)
+        self.spark.sql(f"ALTER TABLE {backup} RENAME TO {table}")
+        if any(r.col_name == "# Partition Information" for r in self.spark.sql(f"DESCRIBE TABLE {table}").collect()):
+            self.spark.catalog.recoverPartitions(table)  # a renamed table has lost its partitions

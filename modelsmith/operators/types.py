@@ -89,7 +89,9 @@ _CALL = re.compile(r"^\s*([A-Za-z][A-Za-z0-9]*)\s*(?:\((.*)\))?\s*$", re.S)
 
 def parse_type(type_string: str) -> ColumnType:
     """Parse a declared type string. Raises ``ValueError`` when the type has no
-    lossless Spark equivalent (for example integers wider than 38 digits)."""
+    Spark equivalent (for example a decimal of more than 38 digits). Integers of
+    128 and 256 bits are held as ``decimal(38,0)``: values beyond 38 digits are
+    out of range and are rejected, never rounded."""
     m = _CALL.match(type_string)
     if not m:
         raise ValueError(f"cannot parse type {type_string!r}")

@@ -10,6 +10,7 @@ from modelsmith.plans import (  # noqa: F401  (modules register their queries)
     function_queries,
     relational,
     snapshot_queries,
+    upkeep_queries,
 )
 from modelsmith.plans._registry import ORACLES, QUERIES
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from modelsmith.operators.types import parse_type
+from modelsmith.operators.types import conform, parse_type
 
 # Per-value type codes, tried in this order (first fit wins),
 # with the text pattern a value must also match (None: the cast alone decides).
@@ -90,6 +90,8 @@ def infer_types(text: DataFrame) -> dict[str, str]:
     one row per column and task for the shuffle, and one row per column (a
     bitmask) reaches the driver.
     """
+    if not text.columns:
+        return {}
     cells = text.select(F.inline(F.array(*[
         F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").alias("v")) for i, c in enumerate(text.columns)
     ])))
@@ -102,8 +104,9 @@ def type_seed(text: DataFrame, column_types: Mapping[str, str] | None = None,
               inferred: Mapping[str, str] | None = None) -> DataFrame:
     """Cast the text columns: declared types first, then inferred ones.
 
-    Casts are strict (ANSI): a value that does not fit a declared type fails
-    the load instead of becoming NULL.
+    A declared type holds as in :func:`modelsmith.operators.types.conform`: a value that it
+    would round, that is out of its range or longer than it allows fails the load, with the
+    column and the reason; it never becomes NULL or another value. Empty fields are NULL.
     """
     declared = dict(column_types or {})
     unknown = [c for c in declared if c not in text.columns]
@@ -112,22 +115,34 @@ def type_seed(text: DataFrame, column_types: Mapping[str, str] | None = None,
     inferred = dict(inferred) if inferred is not None else infer_types(
         text.select(*[F.col(f"`{c}`") for c in text.columns if c not in declared])
     )
+
+    def bare(c: str) -> Column:
+        return F.when(F.trim(F.col(f"`{c}`")) != "", F.trim(F.col(f"`{c}`")))
+
+    # Text stays as it is; what else is declared is read without the spaces around it.
+    source = text.select(*[
+        (bare(c) if c in declared and parse_type(declared[c]).spark_type != StringType() else F.col(f"`{c}`")).alias(c) for c in text.columns])
+    reason = "__reason"
+    typed = conform(source, {c: f"Nullable({t})" for c, t in declared.items()}, reason) if declared else source
     cols = []
     for c in text.columns:
-        src = F.when(F.trim(F.col(f"`{c}`")) != "", F.trim(F.col(f"`{c}`")))
+        value = F.col(f"`{c}`")
         if c in declared:
-            ct = parse_type(declared[c])
-            target = ct.spark_type
-            if ct.timezone:
-                # wall-clock text in the declared zone, stored as an instant
-                value = F.to_utc_timestamp(src.cast("timestamp_ntz"), ct.timezone).cast(target)
-            else:
-                value = F.col(f"`{c}`") if target == StringType() else src.cast(target)
-        else:
-            t = inferred[c]
-            value = F.col(f"`{c}`") if t == "string" else src.cast(t)
+            value = F.when(F.col(reason).isNotNull(), F.raise_error(F.concat(F.lit("seed value refused: "), F.col(reason)))).otherwise(value)
+        elif inferred[c] != "string":
+            value = bare(c).cast(inferred[c])
         cols.append(value.alias(c))
-    return text.select(*cols)
+    return typed.select(*cols)
+
+
+def seed_rejects(text: DataFrame, column_types: Mapping[str, str], reason_column: str = "reason") -> DataFrame:
+    """The text rows that :func:`type_seed` refuses, each with its reason."""
+    bare = text.select(*[
+        F.when(F.trim(F.col(f"`{c}`")) != "", F.trim(F.col(f"`{c}`"))).alias(c) if c in column_types and parse_type(column_types[c]).spark_type != StringType()
+        else F.col(f"`{c}`") for c in text.columns])
+    kept = bare.select(F.struct(*[F.col(f"`{c}`") for c in text.columns]).alias("__row"), *[F.col(f"`{c}`") for c in column_types])
+    checked = conform(kept, {c: f"Nullable({t})" for c, t in column_types.items()}, reason_column)
+    return checked.where(F.col(reason_column).isNotNull()).select("__row.*", reason_column)
 
 
 def load_seed(spark: SparkSession, path: str, column_types: Mapping[str, str] | None = None,

@@ -1,0 +1,82 @@
+"""Exact sums and averages of doubles against rational arithmetic."""
+
+import math
+import random
+import struct
+from fractions import Fraction
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from modelsmith.functions.exact import exact_double_totals
+
+
+def _plain(values):
+    """(sum, average, count) as rational arithmetic rounds them."""
+    xs = [x for x in values if x is not None]
+    if not xs:
+        return None, None, 0
+    if any(math.isnan(x) for x in xs) or (math.inf in xs and -math.inf in xs):
+        return math.nan, math.nan, len(xs)
+    for bad in (math.inf, -math.inf):
+        if bad in xs:
+            return bad, bad, len(xs)
+    total = sum(map(Fraction, xs), Fraction(0))
+
+    def near(q):
+        try:
+            return float(q)  # correctly rounded
+        except OverflowError:
+            return math.inf if q > 0 else -math.inf
+
+    return near(total), near(total / len(xs)), len(xs)
+
+
+def _bits(x):
+    return None if x is None else "nan" if isinstance(x, float) and math.isnan(x) else struct.pack(">d", x + 0.0) if isinstance(x, float) else x
+
+
+def _check(spark, groups):
+    rows = [(g, x) for g, xs in groups.items() for x in xs]
+    random.Random(7).shuffle(rows)
+    frame = spark.createDataFrame(rows, "g string, x double").repartition(5)
+    got = {r.g: (r.v_sum, r.v_avg, r.v_count) for r in exact_double_totals(frame, ["g"], {"v": "x"}).collect()}
+    for g, xs in groups.items():
+        assert tuple(map(_bits, got[g])) == tuple(map(_bits, _plain(xs))), (g, got[g], _plain(xs))
+
+
+def test_hard_groups(spark):
+    rng = random.Random(11)
+    tiny, big = 5e-324, 1.7976931348623157e308
+    groups = {
+        "nothing": [None, None], "with null": [None, 1.0], "with zero": [0.0, 1e-9, None], "zero": [0.0, -0.0], "one": [0.1], "negative": [-0.1] * 10, "cancel": [1e300, 1.0, -1e300, 1e-300],
+        "tie": [2.0**53, 1.0], "over tie": [2.0**53, 1.0, tiny], "tie up": [2.0**53 + 2, 1.0], "under": [2.0**53, 1.0, -tiny], "tiny": [tiny] * 3, "subnormal": [tiny, 2.0**-1030, -(2.0**-1050)],
+        "largest": [big], "overflow": [big, big], "back": [big, big, -big], "thirds": [1.0, 1.0, 2.0], "nan": [1.0, math.nan], "inf": [math.inf, 1.0, None], "minus": [-math.inf], "both": [math.inf, -math.inf],
+        "powers": [2.0**k for k in range(-1074, 1024, 7)], "money": [round(rng.uniform(0, 1e5), 2) for _ in range(3000)],
+        "wide": [rng.uniform(-1, 1) * 10.0 ** rng.randint(-300, 300) for _ in range(2000)], "near powers": [math.nextafter(2.0**k, d) for k in range(-1000, 1000, 13) for d in (0.0, math.inf)],
+    }
+    for k in range(40):  # a total whose 54th bit decides
+        groups[f"round {k}"] = [2.0 ** (52 + k % 3), 0.5, *([2.0**-k] if k % 2 else []), *([-(2.0**-k)] if k % 5 == 0 else [])]
+    _check(spark, groups)
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.dictionaries(st.sampled_from("abcdefgh"), st.lists(st.one_of(st.none(), st.floats()), min_size=1, max_size=12), min_size=1))
+def test_any_doubles(spark, groups):
+    _check(spark, groups)
+
+
+def test_without_groups_and_two_values(spark):
+    frame = spark.createDataFrame([(None, 0.1, 1), (None, 0.2, 2), ("b", 0.3, None)], "g string, x double, y int")
+    got = exact_double_totals(frame, ["g"], {"x": "x", "y": "y"}).collect()
+    assert {(r.g, r.x_sum, r.y_sum, r.y_count, r.y_avg) for r in got} == {(None, float(Fraction(0.1) + Fraction(0.2)), 3.0, 2, 1.5), ("b", 0.3, None, 0, None)}
+    one = exact_double_totals(frame, [], {"x": "x", "y": "y"}).collect()
+    assert len(one) == 1 and one[0].x_count == 3 and one[0].y_sum == 3.0
+    none = exact_double_totals(frame.where("false"), [], {"x": "x"}).collect()
+    assert [tuple(r) for r in none] == [(None, None, 0)]
+    assert exact_double_totals(frame.where("false"), ["g"], {"x": "x"}).count() == 0
+
+
+def test_partial_sums_before_the_shuffle(spark):
+    plan = exact_double_totals(spark.range(1000).selectExpr("id % 3 g", "id / 7D x"), ["g"], {"x": "x"})._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan and "Python" not in plan

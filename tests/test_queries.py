@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from modelsmith import plans
 from tools.oracle_check import _key, _norm, _type_eq
 
 SF = "/root/testdata/sf0.001"
@@ -29,12 +30,13 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():
-    q, o = entry.queries(), entry.oracle_sql()
+    q, o = plans.queries(), plans.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == ROWS_ONLY
+    assert set(q) <= set(entry.queries()) and set(o) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(plans.queries()))
 def test_query_matches_oracle(spark, duck, name):
     sdf = entry.queries()[name](spark, SF)
     cols = sorted(sdf.columns)
@@ -42,7 +44,7 @@ def test_query_matches_oracle(spark, duck, name):
     if name in ROWS_ONLY:
         assert len(srows) > 0
         return
-    rel = duck.sql(entry.oracle_sql()[name])
+    rel = duck.sql(plans.oracle_sql()[name])
     assert cols == sorted(rel.columns)
     order = sorted(range(len(rel.columns)), key=lambda i: rel.columns[i])
     stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
