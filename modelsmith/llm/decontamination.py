@@ -12,7 +12,8 @@ one scan a block, each adding its hits to those before.
 
 Definitions: words are as the contract gives them, so upper case beyond A-Z
 stays. A null text has no words; an item without words has no window. Repeated
-items with one id count once; an item whose id is null is left out. Repeated
+items with one id count once; the windows of an item whose id is null hit like any
+other's, but it cannot be listed and ``item_ids`` (and their number) leave it out. Repeated
 documents are each scanned. An empty benchmark hits nothing.
 """
 
@@ -110,8 +111,8 @@ def key_blocks(items: DataFrame, window: int, max_key_bytes: int) -> Iterator[di
     for row in items.toLocalIterator():
         for key in windows(row.text, window):
             ids = keys.setdefault(key, [])
-            held += len(row.item) + (0 if ids else len(key))
-            if row.item not in ids:
+            held += len(row.item or "") + (0 if ids else len(key))
+            if row.item is not None and row.item not in ids:
                 ids.append(row.item)
         if held >= max_key_bytes:
             yield keys
@@ -176,7 +177,7 @@ def find_passages(
     """doc_id, n_words, word_spans (runs of hit words), char_spans (where they lie in the text), item_ids (sorted as strings).
 
     With ``carry`` each row also brings the columns so named, as the struct ``row``."""
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).where("item is not null and text is not null")
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).where("text is not null")
     frame = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *[
         F.lit(None).cast(kind).alias(c) for c, (_, kind) in _FIELDS.items() if c not in ("doc_id", "text")], *([F.struct(*carry).alias("row")] if carry else []))
     row = f", row {frame.schema['row'].dataType.simpleString()}" if carry else ""
