@@ -10,8 +10,9 @@ Every candidate is scored: the result is exact.
 Definitions: vectors that are null or hold null or non-finite components, and rows
 whose id is null (they could not be named in an answer), take no part; missing trailing dimensions count as zero; a query never answers with rows
 of its own id; equal scores go to the smaller id. Repeated query rows (same id
-and vector) answer once; repeated candidate rows each count. Components are
-taken to lie below 2^24 in size after quantising, so sums fit 64 bits.
+and vector) answer once; repeated candidate rows each count. A component of 2^24 or
+more in size after quantising is refused (the query fails and says so), so sums of up
+to 2^14 dimensions fit 64 bits. An empty table gives no rows.
 
 At scale: with Q queries and N candidates, blocks of q and c rows move
 N * Q/q + Q * N/c rows; a cell holds at most about q * c scores. Blocks are dealt
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from modelsmith.llm.ship import ship
 
+LARGEST = 1 << 24
 QUERY_BLOCK = 2048
 CANDIDATE_BLOCK = 8192
 #: Candidate blocks are made smaller rather than fewer than this, to keep all cores busy on small inputs.
@@ -37,8 +39,10 @@ def quantise(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
     """vec_id, q: floor(scale * x) of each component; without unusable vectors and without null ids."""
     v = F.col(vector_col)
     usable = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    whole = lambda x: F.floor(x.cast("double") * scale)
+    sound = lambda x: F.when(F.abs(x.cast("double") * scale) < LARGEST, whole(x)).otherwise(F.raise_error(F.lit(f"a component is {LARGEST} or more in size after quantising")))
     return vectors.where(v.isNotNull() & F.col(id_col).cast("long").isNotNull()).where(F.coalesce(usable, F.lit(False))).select(
-        F.col(id_col).cast("long").alias("vec_id"), F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("q"))
+        F.col(id_col).cast("long").alias("vec_id"), F.transform(v, lambda x: sound(x).cast("long")).alias("q"))
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
@@ -76,14 +80,15 @@ def score_cell(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
 def select_best(scores: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(query row, candidate row) of the best k of each query; candidates are in id order, ``own`` marks those left out."""
     n = scores.shape[1]
-    # One key orders by score, then by place: no two are equal, so selection needs no care for ties.
-    key = scores * n + (n - 1 - np.arange(n))
-    key[own] = np.iinfo(np.int64).min
-    best = np.argpartition(key, n - k, axis=1)[:, n - k :] if n > k else np.broadcast_to(np.arange(n), scores.shape)
-    rows = np.repeat(np.arange(len(scores)), best.shape[1])
-    cols = best.reshape(-1)
-    keep = ~own[rows, cols]
-    return rows[keep], cols[keep]
+    scores = np.where(own, np.iinfo(np.int64).min, scores)
+    if n > k:
+        least = np.partition(scores, n - k, axis=1)[:, n - k, None]
+        above, tied = scores > least, scores == least
+        # Of the scores that tie for the last places those of smaller ids are taken.
+        chosen = above | (tied & (np.cumsum(tied, axis=1) <= k - above.sum(axis=1, keepdims=True)))
+    else:
+        chosen = np.ones(scores.shape, bool)
+    return np.nonzero(chosen & ~own)
 
 
 _OUT = pa.schema([("query", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
