@@ -103,14 +103,18 @@ def repeated_runs(levels: list[DataFrame]) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with later copies of repeated line runs deleted from the text, and the columns ``n_lines`` and
-    ``n_deleted``. Columns of ``docs`` by these names are replaced."""
+    ``n_deleted``. Columns of ``docs`` by these two names are replaced; all others come back unchanged, whatever their names."""
     kept_columns = [c for c in docs.columns if c not in ("n_lines", "n_deleted")]
-    # The row's own number joins the result to the text; it depends on the input's files alone, and the hash proves it.
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept_columns]).withColumn("_row", F.monotonically_increasing_id()).withColumn("_hash", F.xxhash64(text_col))
+    # The row is packed, so that no column of it can clash with ours. Its own number joins the result to the text; it
+    # depends on the input's files alone, and the hash proves it.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept_columns]).alias("_in"))
+    source = F.col("_in")[text_col]
+    rows = rows.withColumn("_row", F.monotonically_increasing_id()).withColumn("_hash", F.xxhash64(source))
+    own = [F.col("_in")[c].alias(c) for c in kept_columns]
     line = F.col("line")
-    hashed = stage(rows.where(F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("_id"), "_row", "_hash",
-        F.transform(_lines(F.col(text_col)), lambda x: F.struct(F.xxhash64(x).alias("h1"), F.xxhash64(F.lit(1), x).alias("h2"), _n_words(x).alias("words"))).alias("lines"),
+    hashed = stage(rows.where(source.isNotNull()).select(
+        F.col("_in")[id_col].alias("_id"), "_row", "_hash",
+        F.transform(_lines(source), lambda x: F.struct(F.xxhash64(x).alias("h1"), F.xxhash64(F.lit(1), x).alias("h2"), _n_words(x).alias("words"))).alias("lines"),
     ), "lines")
     placed = stage(prefix_sums(hashed.select("_id", "_hash", "_row", (F.size("lines") + 1).cast("long").alias("_size")), ["_id", "_hash"], "_size").select(
         "_row", "_hash", F.col("before").alias("start")), "placed")
@@ -118,8 +122,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
         (F.col("start") + F.col("nth")).alias("pos"), "start", line.h1.alias("h1"), line.h2.alias("h2"), line.words.cast("long").alias("words"))
     levels = name_runs(lines)
     if not levels:
-        return rows.withColumn("n_lines", F.size(_lines(F.col(text_col)))).withColumn("n_deleted", F.when(F.col(text_col).isNotNull(), F.lit(0))).select(
-            *kept_columns, "n_lines", "n_deleted")
+        return rows.select(*own, F.size(_lines(source)).alias("n_lines"), F.when(source.isNotNull(), F.lit(0)).alias("n_deleted"))
     runs = repeated_runs(levels).where(F.col("words") >= min_words).groupBy("pos").agg(F.max("length").alias("length"))
     spans = runs.join(levels[0].select("pos", "start"), "pos").select("start", (F.col("pos") - F.col("start")).alias("first"), "length")
     by_doc = Window.partitionBy("start").orderBy("first")
@@ -131,12 +134,12 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     edits = cut.join(placed, "start").select("_row", F.col("_hash").alias("_seen"), "cut")
     joined = rows.join(edits, "_row", "left")
     sound = F.assert_true(F.col("_seen").isNull() | (F.col("_seen") == F.col("_hash")), F.lit("the input's rows came in another order when read again"))
-    text = F.when(F.col("cut").isNull() | sound.isNotNull(), F.col(text_col)).otherwise(F.array_join(_without(_lines(F.col(text_col)), F.col("cut")), "\n"))
+    text = F.when(F.col("cut").isNull() | sound.isNotNull(), source).otherwise(F.array_join(_without(_lines(source), F.col("cut")), "\n"))
     deleted = F.aggregate("cut", F.lit(0).cast("long"), lambda n, c: n + c.end - c.first)
     return joined.select(
-        *[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in kept_columns],
-        F.size(_lines(F.col(text_col))).alias("n_lines"),
-        F.when(F.col(text_col).isNotNull(), F.coalesce(deleted, F.lit(0)).cast("int")).alias("n_deleted"))
+        *[text.alias(c) if c == text_col else o for c, o in zip(kept_columns, own, strict=True)],
+        F.size(_lines(source)).alias("n_lines"),
+        F.when(source.isNotNull(), F.coalesce(deleted, F.lit(0)).cast("int")).alias("n_deleted"))
 
 
 def _without(lines: Column, cut: Column) -> Column:
