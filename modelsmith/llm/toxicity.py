@@ -1,30 +1,33 @@
 """Toxicity by nearest labelled examples (operator 4).
 
-A text's terms are its words in ASCII lower case and the words' beginnings of four
-to six characters, which inflected words share. A bounded sample of the labelled
-rows (``sample``, drawn by a hash of the id) gives the examples; all their terms
-count, none is left out for being rare or weak. Texts and examples are unit TF-IDF
-vectors, with document frequencies over all documents. Each term's weight is
-multiplied by its relevance, the squared z value of its log odds ratio between
-marked and other examples (half a row added to each count): the words of a kind of
-toxic text that few of the marked rows have weigh as their own evidence says. The
-k nearest examples by cosine are found exactly on an inverted index cut into
-blocks of examples: the largest weight of each term in each block bounds the
-block's cosines, blocks are visited by falling bound, and the rest is passed over
-once the bound is below the k-th best. The neighbours vote
-with weights that fall with distance, together with ``PRIOR`` votes of the base
-rate; they are returned as evidence.
-
-Definitions: null and empty texts and texts without a term of any example
-score the share of label 1 among the examples without one, smoothed by the same
-prior. Labels that are null, other than 0 and 1, held out or without a document
-teach nothing; without any example every score is 0. Equal cosines go to the
-example of smaller id; repeated examples count once (of clashing texts the
-smallest, of clashing labels 1). Repeated rows are scored each.
-
-At scale: texts are read twice, for frequencies (summed in each task, one row a
-term leaves it) and for scores; the index is bounded by the terms of ``sample``
-rows and is sent to all tasks; scoring has no shuffle.
+A text's terms are its words in ASCII lower case and the words' first four characters,
+which inflected words share. A bounded sample of the labelled documents (``sample``,
+drawn by a hash of the id) gives the examples; all their terms count. Texts and
+examples are unit TF-IDF vectors, with document frequencies over all documents. In a
+term's weight its IDF is multiplied by its relevance, the squared z value of its log
+odds ratio between marked and other examples (half a row added to each count): plain
+TF-IDF finds texts of one kind of prose, not of one label (README has the figures).
+
+The k nearest examples by cosine are found exactly. Terms that many examples hold are
+dense rows, scored for a block of texts at once by one matrix product. That part of a
+cosine is a lower bound, so its k-th best is a floor. The other terms have an inverted
+index cut into blocks of examples with the largest weight of each term in each block:
+only blocks whose bound reaches the floor are visited. The last candidates are scored
+again in double precision. The neighbours vote with weights that fall with distance,
+together with ``PRIOR`` votes of the base rate; they are returned as evidence.
+
+Definitions: null and empty texts and texts without a term of any example score the
+share of label 1 among the examples without one, smoothed by the same prior. Labels
+that are null, other than 0 and 1, held out or without a document teach nothing and
+use up no place of the sample; without any example every score is 0. Equal cosines go
+to the example of smaller id; repeated examples count once (of clashing texts the
+smallest, of clashing labels 1). Repeated rows are scored each. Very long texts are
+counted whole. An empty table of documents gives no rows. Other columns are not read,
+but those in ``carry``, which come back unchanged as a struct, whatever their names.
+
+At scale: texts are read twice, for frequencies (summed in each task, one row a term
+leaves it) and for scores; the index is bounded by the terms of ``sample`` rows, is
+sent as packed counts and made once by each worker process; scoring has no shuffle.
 """
 
 from __future__ import annotations
@@ -45,51 +48,55 @@ from pyspark.sql import functions as F
 from modelsmith.llm.ship import map_arrow
 from modelsmith.llm.tables import blocks, held_out
 
-SAMPLE = 8000
+SAMPLE = 2500
 NEIGHBOURS = 15
 PRIOR = 1.0
-BLOCK = 512
-PREFIXES = (4, 5, 6)
+BLOCK = 64
+#: Terms that more than one in so many examples hold are dense rows.
+DENSE = 16
+PREFIX = 4
+#: Texts whose dense part is one matrix product.
+TOGETHER = 64
+#: More than the product's single precision can be wrong by.
+SLACK = 1e-4
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().translate(_FOLD).split()
+def words_of(text: str | None) -> list[str]:
+    return (text or "").encode().translate(_FOLD).decode().split(" ")
 
 
-def terms_of(word: bytes) -> list[str]:
-    """The word and its beginnings, marked by a star."""
-    w = word.decode()
-    return [w, *(f"{w[:n]}*" for n in PREFIXES if len(w) >= n)]
+def term_counts(text: str | None) -> tuple[Counter[str], Counter[str]]:
+    """How often each word occurs, and each beginning of ``PREFIX`` characters."""
+    words = Counter(words_of(text))
+    words.pop("", None)
+    begins: Counter[str] = Counter()
+    for w, n in words.items():
+        if len(w) >= PREFIX:
+            begins[w[:PREFIX]] += n
+    return words, begins
 
 
 class Vocabulary:
-    """Counts a text's terms; keeps the places of words met, in a table of bounded size."""
+    """The examples' words and beginnings, with places 0, 1, ... in one row of terms."""
 
-    def __init__(self, chosen: list[str], kept: int = 300_000):
-        self.places = {t: i for i, t in enumerate(chosen)}
-        self.kept, self.known = kept, {}
+    def __init__(self, words: Sequence[str], begins: Sequence[str]):
+        self.words = {w: i for i, w in enumerate(words)}
+        self.begins = {w: i for i, w in enumerate(begins, len(self.words))}
 
-    def places_of(self, word: bytes) -> np.ndarray:
-        if len(self.known) >= self.kept:
-            self.known.clear()
-        found = self.known[word] = np.array([self.places[t] for t in terms_of(word) if t in self.places], np.int32)
-        return found
+    def __len__(self) -> int:
+        return len(self.words) + len(self.begins)
 
     def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Places of a text's terms, ascending, and how often each occurs."""
-        words = Counter(words_of(text))
-        known = self.known.get
-        found = [places if (places := known(w)) is not None else self.places_of(w) for w in words]
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = np.concatenate(found)
-        times = np.repeat(np.fromiter(words.values(), np.int64, len(found)), np.fromiter(map(len, found), np.int64, len(found)))
-        sort = np.argsort(at)
-        at = at[sort].astype(np.int64)
-        first = np.flatnonzero(np.diff(at, prepend=-1))
-        return at[first], np.add.reduceat(times[sort], first) if len(at) else times
+        found: list[tuple[int, int]] = []
+        for known, counts in zip((self.words, self.begins), term_counts(text), strict=True):
+            get = known.get
+            found += [(at, n) for w, n in counts.items() if (at := get(w)) is not None]
+        found.sort()
+        both = np.array(found, np.int64).reshape(-1, 2)
+        return both[:, 0], both[:, 1]
 
 
 def unit_vector(at: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,81 +107,95 @@ def unit_vector(at: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> tuple[np.nda
 
 
 class BlockMaxIndex:
-    """Examples with an inverted index by blocks, and each block's largest weight of every term."""
+    """Examples by dense rows of common terms, and an inverted index by blocks of the others with each block's largest weight of every term."""
 
-    def __init__(self, ids: list[int], labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = BLOCK):
+    def __init__(self, ids: list[int], labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = BLOCK, dense: float = DENSE):
         # Examples with the same heaviest terms share blocks, so that bounds differ between blocks.
         order = sorted(range(len(ids)), key=lambda i: ([-1 * t for t in vectors[i][0][np.argsort(-vectors[i][1])[:2]]], ids[i]))
         order = [i for i in order if len(vectors[i][0])]
         empty = [i for i in range(len(ids)) if not len(vectors[i][0])]
-        self.block = block
+        self.block, self.n_terms = block, n_terms
         self.ids = np.array([ids[i] for i in order], np.int64)
         self.labels = np.array([labels[i] for i in order], np.float64)
-        n_blocks = -(-len(order) // block) if order else 0
-        self.n_terms = n_terms
+        self.n_blocks = -(-len(order) // block) if order else 0
+        self.visited = self.asked = 0  # blocks
+        n = self.n_blocks * block
         places = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
         terms = np.concatenate([vectors[i][0] for i in order]) if order else np.zeros(0, np.int64)
         weights = np.concatenate([vectors[i][1] for i in order]) if order else np.zeros(0)
-        key = places // block * n_terms + terms
+        common = np.flatnonzero(np.bincount(terms, minlength=n_terms) > len(order) / dense)
+        self.row = np.full(n_terms, -1, np.int64)  # of a common term
+        self.row[common] = np.arange(len(common))
+        here = self.row[terms] >= 0
+        self.exact = np.zeros((len(common), n))
+        self.exact[self.row[terms[here]], places[here]] = weights[here]
+        self.rows = self.exact.astype(np.float32)
+        places, terms, weights = places[~here], terms[~here], weights[~here]
+        # The postings of term t in block b lie from start[t * n_blocks + b] to the next start.
+        key = terms * self.n_blocks + places // block
         sort = np.argsort(key, kind="stable")
-        # The postings of term t in block b lie from start[b * n_terms + t] to the next start.
-        self.start = np.concatenate(([0], np.cumsum(np.bincount(key, minlength=n_blocks * n_terms)))).astype(np.int32)
-        self.nth = (places % block).astype(np.uint16)[sort]
-        self.weights = weights[sort]
-        largest = np.zeros(n_blocks * n_terms)
-        if len(key):
-            filled = np.flatnonzero(np.diff(self.start))
-            largest[filled] = np.maximum.reduceat(self.weights, self.start[filled])
-        # Rounded up, so that a bound is never too small.
-        self.largest = np.nextafter(largest.astype(np.float32), np.float32(np.inf), where=largest > 0, out=np.zeros(len(largest), np.float32)).reshape(n_blocks, n_terms).T.copy()
-        rate = float(np.mean(labels)) if labels else 0.0
-        self.rate = rate
-        self.without = (sum(labels[i] for i in empty) + PRIOR * rate) / (len(empty) + PRIOR) if labels else 0.0
-
-    def block_scores(self, b: int, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Cosines of one block's examples."""
-        first = self.start[b * self.n_terms + at].astype(np.int64)
-        n = self.start[b * self.n_terms + at + 1] - first
-        ends = np.cumsum(n)
-        where = np.repeat(first - ends + n, n) + np.arange(ends[-1])
-        return np.bincount(self.nth[where], np.repeat(weights, n) * self.weights[where], minlength=self.block)
-
-    def nearest(self, at: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the k nearest examples that share a term, best first; exact."""
-        bounds = weights @ self.largest[at]
-        found = np.zeros(0, np.int64)
-        cosine = np.zeros(0)
-        floor = 0.0
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or (len(found) >= k and bounds[b] < floor - 1e-12):
-                break
-            scores = self.block_scores(int(b), at, weights)
-            hit = np.flatnonzero(scores > 0)
-            found = np.concatenate((found, hit + b * self.block))
-            cosine = np.concatenate((cosine, np.round(scores[hit], 12)))
-            if len(found) > k:
-                best = np.lexsort((self.ids[found], -cosine))[:k]
-                found, cosine = found[best], cosine[best]
-            if len(found) >= k:
-                floor = cosine.min()
-        best = np.lexsort((self.ids[found], -cosine))
+        self.start = np.concatenate(([0], np.cumsum(np.bincount(key, minlength=n_terms * self.n_blocks)))).astype(np.int32)
+        self.place, self.weights = places[sort].astype(np.int32), weights[sort]
+        largest = np.zeros(n_terms * self.n_blocks, np.float32)
+        filled = np.flatnonzero(np.diff(self.start))
+        if len(filled):
+            # Rounded up, so that a bound is never too small.
+            largest[filled] = np.nextafter(np.maximum.reduceat(self.weights, self.start[filled]).astype(np.float32), np.float32(np.inf))
+        self.largest = largest.reshape(n_terms, self.n_blocks)
+        self.rate = float(np.mean(labels)) if labels else 0.0
+        self.without = (sum(labels[i] for i in empty) + PRIOR * self.rate) / (len(empty) + PRIOR) if labels else 0.0
+
+    def dense_parts(self, vectors: Sequence[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """For each vector the part of all cosines that comes from common terms."""
+        asked = np.zeros((len(vectors), len(self.rows)), np.float32)
+        for i, (at, w) in enumerate(vectors):
+            row = self.row[at]
+            asked[i, row[row >= 0]] = w[row >= 0]
+        return asked @ self.rows
+
+    def nearest(self, at: np.ndarray, weights: np.ndarray, k: int, part: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Places and cosines of the k nearest examples that share a term, best first; exact. ``part``: of :meth:`dense_parts`."""
+        part = self.dense_parts([(at, weights)])[0] if part is None else part
+        n = len(self.ids)
+        row = self.row[at]
+        terms, w = at[row < 0], weights[row < 0]
+        floor = np.partition(part[:n], n - k)[n - k] if n > k else 0.0
+        bound = part.reshape(-1, self.block).max(axis=1) + w @ self.largest[terms]
+        blocks = np.flatnonzero((bound >= floor - SLACK) & (bound > 0))
+        self.asked += self.n_blocks
+        self.visited += len(blocks)
+        # All postings of the rare terms in the visited blocks, one slice a term and block.
+        key = (terms[:, None] * self.n_blocks + blocks[None, :]).ravel()
+        first = self.start[key].astype(np.int64)
+        count = self.start[key + 1] - first
+        held = np.flatnonzero(count)
+        first, count = first[held], count[held]
+        ends = np.cumsum(count)
+        where = np.repeat(first - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)
+        rare = np.bincount(self.place[where], np.repeat(w[held // max(len(blocks), 1)], count) * self.weights[where], minlength=len(part))
+        total = part + rare
+        best = np.partition(total[:n], n - k)[n - k] if n > k else 0.0
+        found = np.flatnonzero((total[:n] >= best - SLACK) & (total[:n] > 0))
+        cosine = np.round(rare[found] + weights[row >= 0] @ self.exact[row[row >= 0][:, None], found[None, :]], 12)
+        best = np.lexsort((self.ids[found], -cosine))[:k]
         return found[best], cosine[best]
 
-    def score(self, at: np.ndarray, weights: np.ndarray, k: int) -> tuple[float, np.ndarray, np.ndarray]:
+    def score(self, at: np.ndarray, weights: np.ndarray, k: int, part: np.ndarray | None = None) -> tuple[float, np.ndarray, np.ndarray]:
         """Distance-weighted share of label 1 among the neighbours, their ids and cosines."""
         if not len(at) or not len(self.ids):
             return self.without, self.ids[:0], np.zeros(0)
-        found, cosine = self.nearest(at, weights, k)
+        found, cosine = self.nearest(at, weights, k, part)
         vote = 1 / (0.05 + np.maximum(1 - cosine, 0))
         share = (vote @ self.labels[found] + PRIOR * self.rate) / (vote.sum() + PRIOR)
         return float(share), self.ids[found], cosine
 
 
-def sampled_labels(labels: DataFrame, sample: int, label: str, id_col: str) -> DataFrame:
-    """doc_id, y: at most ``sample`` labelled rows, drawn by a hash of the id."""
+def sampled_labels(labels: DataFrame, docs: DataFrame, sample: int, label: str, id_col: str) -> DataFrame:
+    """doc_id, y: at most ``sample`` labelled ids that have a document, drawn by a hash of the id; of clashing labels the largest."""
+    known = docs.select(F.col(id_col).cast("long").alias("doc_id"))
     return (
-        labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
-        .where("y in (0, 1) and doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(sample))
+        labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("y in (0, 1) and doc_id is not null")
+        .groupBy("doc_id").agg(F.max("y").alias("y")).join(known, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
 
 
 def relevance(marked: np.ndarray, held: np.ndarray, n_marked: int, n: int) -> np.ndarray:
@@ -186,43 +207,59 @@ def relevance(marked: np.ndarray, held: np.ndarray, n_marked: int, n: int) -> np
     return np.log(a * d / (b * c)) ** 2 / (1 / a + 1 / b + 1 / c + 1 / d)
 
 
-def frequencies(rows: DataFrame, vocabulary: list[str]) -> tuple[int, np.ndarray]:
-    """Rows of ``rows`` (text), and how many of them hold each term."""
-    sent = rows.sparkSession.sparkContext.broadcast(vocabulary)
+_VOCABULARY: dict[str, Vocabulary] = {}  # what this worker process used last
+_INDEX: dict[str, tuple[BlockMaxIndex, np.ndarray]] = {}
+
+
+def _vocabulary(name: str, sent: Broadcast) -> Vocabulary:
+    if name not in _VOCABULARY:
+        _VOCABULARY.clear()
+        _VOCABULARY[name] = Vocabulary(*pickle.loads(zlib.decompress(sent.value)))
+    return _VOCABULARY[name]
+
+
+def _index(name: str, sent: Broadcast, n_terms: int) -> tuple[BlockMaxIndex, np.ndarray]:
+    if name not in _INDEX:
+        ids, y, cuts, terms, tf, idf = pickle.loads(zlib.decompress(sent.value))
+        vectors = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            sort = np.argsort(terms[a:b])
+            vectors.append(unit_vector(terms[a:b][sort].astype(np.int64), tf[a:b][sort], idf))
+        _INDEX.clear()
+        _INDEX[name] = BlockMaxIndex(ids, y.tolist(), vectors, n_terms), idf
+    return _INDEX[name]
+
+
+def frequencies(texts: DataFrame, name: str, sent: Broadcast, n_terms: int) -> tuple[int, np.ndarray]:
+    """Rows of ``texts`` (text), and how many of them hold each term."""
     schema = pa.schema([("term", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = Vocabulary(sent.value).count
-        held, n = np.zeros(len(sent.value), np.int64), 0
-        for _, texts in blocks(batches):
-            n += len(texts)
-            for text in texts:
+        count = _vocabulary(name, sent).count
+        held, n = np.zeros(n_terms, np.int64), 0
+        for _, some in blocks(batches):
+            n += len(some)
+            for text in some:
                 held[count(text)[0]] += 1
         found = np.flatnonzero(held)
         terms, counts = np.concatenate((found, [-1])), np.concatenate((held[found], [n]))
         for at in range(0, len(terms), 1 << 16):
             yield pa.record_batch([pa.array(terms[at : at + (1 << 16)], pa.int32()), pa.array(counts[at : at + (1 << 16)], pa.int64())], schema=schema)
 
-    got = map_arrow(rows.select("text"), run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row a term
-    sent.unpersist()
-    out = np.zeros(len(vocabulary) + 1, np.int64)
+    got = map_arrow(texts, run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row a term of the examples
+    out = np.zeros(n_terms + 1, np.int64)
     out[got["term"].to_numpy()] = got["n"].to_numpy()  # the number of rows has place -1
     return int(out[-1]), out[:-1]
 
 
-_BUILT: dict[str, tuple[BlockMaxIndex, np.ndarray, list[str]]] = {}  # the index last used by this worker process
+def _texts_inside(batches: Iterable[pa.RecordBatch], text_col: str) -> Iterator[pa.RecordBatch]:
+    """Batches (doc_id, row) with the struct's text as the column ``text`` (no copy)."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).field(text_col), batch.column(1)], ["doc_id", "text", "row"])
 
 
-def _built(name: str, sent: Broadcast) -> tuple[BlockMaxIndex, np.ndarray, list[str]]:
-    if name not in _BUILT:
-        ids, y, cuts, terms, tf, idf, vocabulary = pickle.loads(zlib.decompress(sent.value))
-        vectors = []
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            sort = np.argsort(terms[a:b])
-            vectors.append(unit_vector(terms[a:b][sort].astype(np.int64), tf[a:b][sort], idf))
-        _BUILT.clear()
-        _BUILT[name] = BlockMaxIndex(ids, y.tolist(), vectors, len(vocabulary)), idf, vocabulary
-    return _BUILT[name]
+def _packed(things: tuple) -> bytes:
+    return zlib.compress(pickle.dumps(things), 1)
 
 
 def nearest_labelled(
@@ -231,62 +268,68 @@ def nearest_labelled(
 ) -> DataFrame:
     """doc_id, score, neighbours (array of doc_id, cosine) for every row of ``docs``; ``labels`` (doc_id, label) teach.
 
-    With ``carry`` each row also brings the columns so named, as the struct ``row``."""
+    With ``carry`` (which then names the text too) each row also brings the columns so named, as the struct ``row``."""
+    if carry and text_col not in carry:
+        raise ValueError(f"carry needs {text_col}")
     spark = docs.sparkSession
-    chosen = F.broadcast(sampled_labels(labels, sample, label, id_col))  # at most ``sample`` rows of two numbers
-    wordy = pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("terms", pa.list_(pa.string())), ("tf", pa.list_(pa.int32()))])
+    chosen = F.broadcast(sampled_labels(labels, docs, sample, label, id_col))  # at most ``sample`` rows of two numbers
+    wordy = pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), *((c, t) for w in ("words", "begins") for c, t in ((w, pa.list_(pa.string())), (f"{w}_tf", pa.list_(pa.int32()))))])
 
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches):
-            found = []
-            for text in texts:
-                counts: Counter[str] = Counter()
-                for word, n in Counter(words_of(text)).items():
-                    for t in terms_of(word):
-                        counts[t] += n
-                found.append(counts)
-            columns = [pa.array([list(c) for c in found], wordy.field(2).type), pa.array([list(c.values()) for c in found], wordy.field(3).type)]
+            found = [term_counts(t) for t in texts]
+            columns = [pa.array(x, wordy.field(2 + i).type) for i, x in enumerate(
+                make for j in range(2) for make in ([list(f[j]) for f in found], [list(f[j].values()) for f in found]))]
             yield pa.record_batch([batch.column(0), batch.column(1), *columns], schema=wordy)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *([F.struct(*carry).alias("row")] if carry else []))
-    examples = rows.join(chosen, "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
-    taught = map_arrow(examples, split, "doc_id long, y int, terms array<string>, tf array<int>").toArrow().sort_by("doc_id").combine_chunks()  # at most ``sample`` rows
+    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    examples = named.join(chosen, "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
+    ddl = "doc_id long, y int, words array<string>, words_tf array<int>, begins array<string>, begins_tf array<int>"
+    taught = map_arrow(examples, split, ddl).toArrow().sort_by("doc_id").combine_chunks()  # at most ``sample`` rows
     ids, y = taught["doc_id"].to_pylist(), taught["y"].to_numpy().astype(np.int64)
-    lists = taught["terms"].combine_chunks()
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-    cuts = lists.offsets.to_numpy() - lists.offsets[0].as_py() if len(lists) else np.zeros(1, np.int64)
-    coded = lists.flatten().dictionary_encode()
-    vocabulary, terms = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-    tf = np.concatenate([c.flatten().to_numpy() for c in taught["tf"].chunks] or [np.zeros(0, np.int32)])
-    del taught, lists, coded
-    n, df = frequencies(rows, vocabulary)
-    held = np.bincount(terms, minlength=len(vocabulary))
-    marked = np.bincount(terms[np.repeat(y == 1, np.diff(cuts))], minlength=len(vocabulary))
+    parts, known = [], []
+    for w in ("words", "begins"):
+        lists = [taught[c].chunk(0) if taught[c].num_chunks else pa.array([], wordy.field(c).type) for c in (w, f"{w}_tf")]
+        coded = lists[0].flatten().dictionary_encode()
+        sizes = np.diff(lists[0].offsets.to_numpy())
+        parts.append((np.repeat(np.arange(len(ids)), sizes), coded.indices.to_numpy() + sum(map(len, known)), lists[1].flatten().to_numpy()))
+        known.append(coded.dictionary.to_pylist())
+    of, terms, tf = (np.concatenate(p) for p in zip(*parts, strict=True))
+    sort = np.argsort(of, kind="stable")
+    of, terms, tf = of[sort], terms[sort], tf[sort]
+    cuts = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=len(ids)))))
+    n_terms, name = sum(map(len, known)), uuid.uuid4().hex
+    vocabulary = spark.sparkContext.broadcast(_packed(tuple(known)))
+    del taught, parts, known
+    n, df = frequencies(docs.select(F.col(text_col).alias("text")), name, vocabulary, n_terms)
+    held = np.bincount(terms, minlength=n_terms)
+    marked = np.bincount(terms[y[of] == 1], minlength=n_terms)
     idf = (np.log((1 + n) / (1 + df)) + 1) * relevance(marked, held, int(y.sum()), len(y))
     # Sent as counts, which are small; each worker process makes the index of them once.
-    packed = zlib.compress(pickle.dumps((ids, y, cuts, terms, tf, idf, vocabulary)), 1)
-    del terms, tf
-    sent, name = spark.sparkContext.broadcast(packed), uuid.uuid4().hex
+    sent = spark.sparkContext.broadcast(_packed((ids, y, cuts, terms, tf, idf)))
     neighbour = pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())])
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, idf, vocabulary = _built(name, sent)
-        count = Vocabulary(vocabulary).count
+        count = _vocabulary(name, vocabulary).count
+        index, idf = _index(name, sent, n_terms)
         known: dict[bytes, tuple] = {}  # of this task, for equal texts
-        for batch, texts in blocks(batches):
-            out = []
-            for text in texts:
-                key = hashlib.sha256((text or "").encode()).digest()
-                found = known.get(key)
-                if found is None:
-                    if len(known) >= 4000:
-                        known.clear()
-                    s, ids, cosine = index.score(*unit_vector(*count(text), idf), k)
-                    found = known[key] = s, [{"doc_id": i, "cosine": x} for i, x in zip(ids.tolist(), cosine.tolist(), strict=True)]
-                out.append(found)
+        for batch, texts in blocks(_texts_inside(batches, text_col) if carry else batches):
+            keys = [hashlib.sha256((t or "").encode()).digest() for t in texts]
+            if len(known) >= 4000:
+                known.clear()
+            fresh = {key: t for key, t in zip(keys, texts, strict=True) if key not in known}
+            todo = list(fresh.items())
+            for i in range(0, len(todo), TOGETHER):
+                some = todo[i : i + TOGETHER]
+                vectors = [unit_vector(*count(t), idf) for _, t in some]
+                for (key, _), vector, part in zip(some, vectors, index.dense_parts(vectors), strict=True):
+                    s, ids, cosine = index.score(*vector, k, part)
+                    known[key] = s, [{"doc_id": d, "cosine": x} for d, x in zip(ids.tolist(), cosine.tolist(), strict=True)]
+            out = [known[key] for key in keys]
             columns = {"doc_id": batch.column(0), "score": pa.array([o[0] for o in out], pa.float64()), "neighbours": pa.array([o[1] for o in out], pa.list_(neighbour))}
             yield pa.RecordBatch.from_pydict(columns | ({"row": batch.column(2)} if carry else {}))
 
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.struct(*carry).alias("row")) if carry else named
     ddl = "doc_id long, score double, neighbours array<struct<doc_id:long,cosine:double>>"
     return map_arrow(rows, score, ddl + (f", row {rows.schema['row'].dataType.simpleString()}" if carry else ""))
 

@@ -103,6 +103,13 @@ def test_line_dedup_odd_rows(spark, odd, none):
     assert ld.dedup_lines(none).count() == 0
 
 
+def test_line_dedup_carries_clashing_columns(make):
+    line = " ".join(f"w{i}" for i in range(60))
+    docs = make([(1, line, 77, 5, "c", 9), (2, line, 78, 6, "d", 9)], "doc_id long, text string, _row long, _hash long, cut string, pos int")
+    got = ld.dedup_lines(docs)
+    assert sorted((r.doc_id, r.text, r["_row"], r["_hash"], r.cut, r.pos, r.n_deleted) for r in got.collect()) == [(1, line, 77, 5, "c", 9, 0), (2, "", 78, 6, "d", 9, 1)]
+
+
 # --- 4, 8: learned scores
 
 
@@ -119,7 +126,8 @@ def test_toxicity_held_out(spark):
     assert good > 0.85 and np.mean([r.score for r in held if r.toxic]) > 3 * np.mean([r.score for r in held if not r.toxic])
 
 
-def test_nearest_is_exact():
+@pytest.mark.parametrize("dense", [1, 7, 16])
+def test_nearest_is_exact(dense):
     random.seed(4)
     vectors = []
     for _ in range(700):
@@ -128,7 +136,7 @@ def test_nearest_is_exact():
         vectors.append((at, w / np.linalg.norm(w) if len(at) else w))
     ids, labels = list(range(700)), [random.randint(0, 1) for _ in range(700)]
     random.shuffle(ids)
-    index = toxicity.BlockMaxIndex(ids, labels, vectors, 40, block=16)
+    index = toxicity.BlockMaxIndex(ids, labels, vectors, 40, block=16, dense=dense)
     full = np.zeros((700, 40))
     for i, (at, w) in enumerate(vectors):
         full[i, at] = w
@@ -157,12 +165,72 @@ def test_toxicity_finds_rare_kinds(spark, make):
         assert got and np.mean([g == want for g in got]) > 0.95, kind
 
 
+def test_toxicity_scores_by_brute_force(make):
+    """Every step again in plain Python: counts, frequencies, relevance, cosines, neighbours and votes."""
+    rng = random.Random(21)
+    pool = [f"{rng.choice(['alp', 'bet', 'gam', 'Ünd', 'x'])}{rng.choice('aeiou')}{i % 7}" for i in range(40)]
+    docs = [(i, " ".join(rng.choices(pool, k=rng.randint(0, 12))) + rng.choice(["", " BOMEKA", "_bomeki!"])) for i in range(160)] + [(500, None), (3, "twice"), (None, pool[0])]
+    labels = [(i, int("bome" in (t or "").lower()) if rng.random() > 0.1 else rng.randint(0, 1)) for i, t in docs if i is not None and i < 120] + [(7, 1)] * 60 + [(9999, 1), (8, None), (9, 5)]
+    rows = toxicity.nearest_labelled(make(docs, "doc_id long, text string"), make(labels, "doc_id long, toxic int"), k=5).collect()
+    teach = {}
+    for i, y in labels:
+        if y in (0, 1) and i != 9999:
+            teach[i] = max(y, teach.get(i, 0))
+    texts = {i: min(t or "" for j, t in docs if j == i) for i in teach}
+
+    def terms(text):
+        low = "".join(c.lower() if "A" <= c <= "Z" else c if c.isalnum() or ord(c) >= 128 else " " for c in text or "")
+        out = {}
+        for w in low.split():
+            out[w, 0] = out.get((w, 0), 0) + 1
+            if len(w) >= 4:
+                out[w[:4], 1] = out.get((w[:4], 1), 0) + 1
+        return out
+
+    held = {i: terms(texts[i]) for i in teach}
+    known = {t for h in held.values() for t in h}
+    every = [set(terms(t)) & known for _, t in docs]
+    n_marked = sum(teach.values())
+    weight = {}
+    for t in known:
+        df, h, m = sum(t in e for e in every), sum(t in x for x in held.values()), sum(t in held[i] for i in teach if teach[i])
+        a, b, c, d = m + 0.5, h - m + 0.5, n_marked - m + 0.5, len(teach) - n_marked - h + m + 0.5
+        weight[t] = (np.log((1 + len(docs)) / (1 + df)) + 1) * np.log(a * d / (b * c)) ** 2 / (1 / a + 1 / b + 1 / c + 1 / d)
+
+    def vector(counts):
+        v = {t: (1 + np.log(n)) * weight[t] for t, n in counts.items() if t in known}
+        size = np.sqrt(sum(x * x for x in v.values()))
+        return {t: x / size for t, x in v.items()} if size else {}
+
+    vectors, rate = {i: vector(h) for i, h in held.items()}, n_marked / len(teach)
+    empty = [teach[i] for i in teach if not vectors[i]]
+    want = []
+    for i, text in docs:
+        v = vector(terms(text))
+        near = sorted((-round(sum(x * u.get(t, 0) for t, x in v.items()), 10), j) for j, u in vectors.items())[:5]
+        near = [(j, -c) for c, j in near if c < 0]
+        votes = [(1 / (0.05 + max(1 - c, 0)), teach[j]) for j, c in near]
+        score = (sum(w * y for w, y in votes) + rate) / (sum(w for w, _ in votes) + 1) if v else (sum(empty) + rate) / (len(empty) + 1)
+        want.append((i, text, score, near))
+    assert len(rows) == len(want)
+    order = lambda r: (r[0] is None, r[0] or 0, r[1])
+    for got, (i, s, near) in zip(sorted(((r.doc_id, r.score, [(x.doc_id, x.cosine) for x in r.neighbours]) for r in rows), key=order), sorted(((i, s, near) for i, _, s, near in want), key=order), strict=True):
+        assert got[0] == i and abs(got[1] - s) < 1e-6 and [round(c, 6) for _, c in got[2]] == [round(c, 6) for _, c in near], (got, i, s, near)
+
+
+def test_sample_is_of_labelled_documents(make):
+    docs = make([(i, "t") for i in range(100)], "doc_id long, text string")
+    labels = make([(5, 1)] * 50 + [(i, 0) for i in range(20, 70)] + [(i, 1) for i in range(200, 400)], "doc_id long, toxic int")
+    got = [r.doc_id for r in toxicity.sampled_labels(labels, docs, 40, "toxic", "doc_id").collect()]
+    assert len(got) == len(set(got)) == 40 and all(i < 100 for i in got)
+
+
 def test_toxicity_recall_of_each_language(spark):
     docs, labels = table(spark, SF_LARGER, "documents"), table(spark, SF_LARGER, "labels")
     judged = toxicity.judge_toxicity(docs, labels).join(labels.select("doc_id", "toxic"), "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
     rows = [r for r in judged.select("lang", "toxic", "held_out", "predicted").collect() if r.held_out]
     marked = {lang: [r.predicted for r in rows if r.toxic and r.lang == lang] for lang in {r.lang for r in rows}}
-    assert all(np.mean(p) >= 0.8 for p in marked.values() if len(p) >= 10), {k: np.mean(p) for k, p in marked.items() if p}
+    assert all(np.mean(p) >= 0.9 for p in marked.values() if len(p) >= 10), {k: np.mean(p) for k, p in marked.items() if p}
     assert np.mean([r.predicted for r in rows if not r.toxic]) < 0.05
 
 
