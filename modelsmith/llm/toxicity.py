@@ -38,6 +38,7 @@ import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -89,14 +90,18 @@ class Vocabulary:
         return len(self.words) + len(self.begins)
 
     def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Places of a text's terms, ascending, and how often each occurs."""
-        found: list[tuple[int, int]] = []
-        for known, counts in zip((self.words, self.begins), term_counts(text), strict=True):
-            get = known.get
-            found += [(at, n) for w, n in counts.items() if (at := get(w)) is not None]
-        found.sort()
-        both = np.array(found, np.int64).reshape(-1, 2)
-        return both[:, 0], both[:, 1]
+        """Places of a text's terms, and how often each occurs."""
+        words = Counter(words_of(text))
+        n = len(words)
+        times = np.fromiter(words.values(), np.int64, n)
+        at = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, n)
+        # A shorter word is no beginning; words that share one are added up.
+        begin = np.fromiter(map(self.begins.get, [w[:PREFIX] for w in words], repeat(-1)), np.int64, n)
+        known = begin >= 0
+        of_begin = np.bincount(begin[known] - len(self.words), times[known], minlength=len(self.begins)).astype(np.int64)
+        begins = np.flatnonzero(of_begin)
+        known = at >= 0
+        return np.concatenate((at[known], begins + len(self.words))), np.concatenate((times[known], of_begin[begins]))
 
 
 def unit_vector(at: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
