@@ -20,7 +20,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the nearest labelled examples call toxic go."""
+    """Documents that the nearest labelled examples call toxic go. Null and empty texts and repeated rows are judged each; an empty table stays empty."""
     judged = toxicity.judge_toxicity(docs, table(spark, sf_dir, "labels"), carry=COLUMNS)
     return judged.where("predicted = 0").select("row.*")
 
@@ -40,13 +40,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Documents that hold a window of a benchmark item go. Null and empty texts hold none and stay, repeated rows are judged each."""
     found = decontamination.find_passages(docs, table(spark, sf_dir, "benchmark"), carry=COLUMNS)
     return found.where(F.size("word_spans") == 0).select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and the digests of the ids and of the decoded text."""
+    """doc_id, n_tokens and the digests of the ids and of the decoded text, for every row; a null text counts as empty."""
     return piece_codec.codec_digests(docs, tokenizer_path("piece_bpe_32k.model"))
 
 
@@ -58,7 +58,8 @@ STAGES = [
     ("sentencepiece", encode),
 ]
 
-#: Learned scores, hashes by XXH64 and the tokenizer have no SQL; tests/llm runs the stages against brute force.
+#: Learned scores, hashes by XXH64 and the tokenizer have no SQL; tests/llm holds the operators of the stages against
+#: brute force and libraries, and the stages against hand-written results.
 ORACLE_SQL = None
 
 
