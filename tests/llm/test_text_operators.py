@@ -94,7 +94,7 @@ def _contamination(text, items):
             for j in range(len(words) - len(key) + 1):
                 if [x for x, _ in words[j : j + len(key)]] == key:
                     hit.update(range(j, j + len(key)))
-                    found.add(str(name))
+                    found.update([] if name is None else [str(name)])
     return len(words), hit, sorted(found), words
 
 
@@ -113,7 +113,7 @@ def test_contamination(spark, make, odd, none, max_key_bytes):
     rows = {r.doc_id: r for r in frame.collect()}
     digest = {r.doc_id: r for r in dc.judge_contamination(frame).collect()}
     for i, text in docs:
-        n, hit, found, words = _contamination(text, [x for x in items if x[0] is not None])
+        n, hit, found, words = _contamination(text, items)
         assert digest[i].n_words == n and digest[i].n_hit == len(hit) and digest[i].contaminated == bool(hit)
         assert rows[i].item_ids == found and digest[i].n_items == len(found) and digest[i].items_sha256 == sha(",".join(found))
         spans = [(text[s.first : s.end], words[w.first][1][0], words[w.end - 1][1][1]) for s, w in zip(rows[i].char_spans, rows[i].word_spans)]
