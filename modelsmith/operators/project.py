@@ -32,6 +32,7 @@ from modelsmith.operators.incremental import (
     plan_update_column,
 )
 from modelsmith.operators.publish import OPEN_FLAG, Layout, Publisher
+from modelsmith.operators.runs import merge_from, resolve_runs
 from modelsmith.operators.schema_change import POLICIES, project_to, target_schema
 from modelsmith.operators.snapshot import first_snapshot, plan_snapshot, plan_snapshot_increment
 
@@ -115,6 +116,8 @@ class Project:
             layout = layout or (pub.stored_layout(name, self.ref(name).columns) if pub.kind(name) else None)
             if unique_key is None or layout is None or not layout.partition_by:
                 raise ValueError("partition_scoped needs unique_key and layout.partition_by")
+        if pub.upsert_runs(name) is not None and not full_refresh:
+            raise ValueError(f"{name} is kept as runs; use incremental_runs, or a full refresh")
         if pub.kind(name) == "table" and not full_refresh:
             pub.adopt(name, layout)  # an existing plain table is the target of this run
         version = pub.current_version(name)
@@ -170,6 +173,73 @@ class Project:
             pub.drop(stage_name)
         return self.ref(name)
 
+    def incremental_runs(
+        self,
+        name: str,
+        model: Model,
+        unique_key: str | Sequence[str],
+        on_schema_change: str = "ignore",
+        full_refresh: bool = False,
+        layout: Layout | None = None,
+        comment: str | None = None,
+        column_comments: Mapping[str, str] | None = None,
+    ) -> DataFrame:
+        """:meth:`incremental` with a ``unique_key``, kept as runs (:mod:`modelsmith.operators.runs`): a run of
+        the model writes its new rows and, now and then, merges the newest runs; the target is not
+        rewritten. Each read resolves the runs, so this suits models that are written more often
+        than they are read whole. A batch without rows changes nothing. A changed schema or a changed key makes one run of all.
+        An existing versioned model, or a plain table, is the oldest run; ``on_schema_change`` is as in :meth:`incremental`.
+        """
+        if on_schema_change not in POLICIES:
+            raise ValueError(f"on_schema_change must be one of {POLICIES}")
+        pub = self.publisher
+        keys = [unique_key] if isinstance(unique_key, str) else list(unique_key)
+        if pub.segments(name) is not None:
+            raise ValueError(f"{name} is stored as history segments")
+        stored, version = pub.upsert_runs(name), pub.current_version(name)
+        target = pub.kind(name) == "table" or stored is not None or version is not None
+        if full_refresh or not target:
+            df = self._run_model(model, ModelContext(self.spark, False, None))
+            pub.swap_upsert_runs(name, keys, [pub.write_upsert_run(name, df, layout)], comment, column_comments, layout)
+            pub.retire(name, keep=set())
+            return self.ref(name)
+        this = self.ref(name)
+        new = self._run_model(model, ModelContext(self.spark, True, this))
+        cols = target_schema(this.schema, new.schema, on_schema_change)
+        if not set(keys) <= {c for c, _ in cols}:
+            raise ValueError(f"the columns {[c for c, _ in cols]} lack the unique key {keys}")
+        same = [(f.name, f.dataType) for f in this.schema.fields] == cols
+        if stored is None or stored[0] != keys or not same:
+            runs = [pub.write_upsert_run(name, project_to(this, cols), layout)]
+        else:
+            runs = stored[1]
+        written = pub.write_upsert_run(name, project_to(new, cols), layout)
+        if written[1]:
+            runs = [*runs, written]
+        else:
+            pub.drop(pub.run_table(name, written[0]))
+        runs = self._merge_runs(name, keys, runs, merge_from([rows for _, rows in runs]), layout)
+        pub.swap_upsert_runs(name, keys, runs, comment, column_comments, layout)
+        pub.retire(name, keep={version})
+        return self.ref(name)
+
+    def compact_runs(self, name: str, layout: Layout | None = None) -> DataFrame:
+        """Merge all runs of a model kept as runs into one, so that reads need no join."""
+        stored = self.publisher.upsert_runs(name)
+        if stored is None:
+            raise ValueError(f"{name} is not kept as runs")
+        keys, runs = stored
+        self.publisher.swap_upsert_runs(name, keys, self._merge_runs(name, keys, runs, 0, layout), layout=layout)
+        return self.ref(name)
+
+    def _merge_runs(self, name, keys, runs, start, layout) -> list[tuple[int, int]]:
+        """``runs`` with those from place ``start`` on merged into one."""
+        if start >= len(runs) - 1:
+            return runs
+        pub = self.publisher
+        tables = [self.spark.table(pub.run_table(name, r)) for r, _ in runs[start:]]
+        return [*runs[:start], pub.write_upsert_run(name, resolve_runs(tables, keys), layout)]
+
     def drop(self, name: str) -> None:
         """Remove a model and everything stored for it."""
         self.publisher.drop_model(name)

@@ -23,9 +23,13 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from modelsmith.operators.cluster import cluster
+from modelsmith.operators.runs import resolve_sql
+
 _LAYOUT_PROP = "modelsmith.layout"
 _VERSION_PROP = "modelsmith.version"
 _SEGMENTS_PROP = "modelsmith.segments"  # "<closed runs, comma separated>|<live run>"
+_RUNS_PROP = "modelsmith.upsert_runs"  # {"key": [...], "runs": [[run, rows], ...]}, oldest first
 OPEN_FLAG = "_open"  # partition column of a run table: the live rows of that run
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
@@ -47,7 +51,9 @@ class Layout:
     ``order_by``: sort inside each file (Parquet min/max skipping); the primary
     key, when given, must be a prefix of it. ``buckets``: hash-bucket the table
     on ``bucket_by`` (for example the unique key of an upserted model) so later
-    joins and upserts on that key do not shuffle the table again.
+    joins and upserts on that key do not shuffle the table again. ``cluster_by``:
+    deal rows to files by range, of several columns by Z-order, so that filters
+    on any of them skip files (:mod:`modelsmith.operators.cluster`).
     """
 
     partition_by: Sequence[str] = ()
@@ -57,9 +63,10 @@ class Layout:
     bucket_by: Sequence[str] = ()
     format: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
+    cluster_by: Sequence[str] = ()
 
     def __post_init__(self):
-        for attr in ("partition_by", "order_by", "primary_key", "bucket_by"):
+        for attr in ("partition_by", "order_by", "primary_key", "bucket_by", "cluster_by"):
             value = getattr(self, attr)
             setattr(self, attr, (value,) if isinstance(value, str) else tuple(value))
         if self.primary_key and tuple(self.order_by[: len(self.primary_key)]) != self.primary_key:
@@ -68,6 +75,8 @@ class Layout:
             self.order_by = self.primary_key
         if self.buckets and not self.bucket_by:
             raise ValueError("buckets needs bucket_by")
+        if self.buckets and self.cluster_by:
+            raise ValueError("buckets deal rows by hash, cluster_by by range: choose one")
 
     def arrange(self, df: DataFrame) -> DataFrame:
         """The frame as it will be written.
@@ -78,6 +87,8 @@ class Layout:
         partition columns *followed by* ``order_by``: sorting by ``order_by``
         alone would be undone by the writer's own sort on partition columns.
         """
+        if self.cluster_by:
+            return cluster(df, self.cluster_by, self.partition_by, self.order_by)
         if self.partition_by:
             df = df.hint("rebalance", *self.partition_by)
             return df.sortWithinPartitions(*self.partition_by, *self.order_by)
@@ -148,7 +159,7 @@ class Publisher:
         """The layout that the model was last published with, if it fits ``columns``."""
         text = self._properties(name).get(_LAYOUT_PROP)
         layout = Layout(**json.loads(text)) if text else None
-        if layout and not {*layout.partition_by, *layout.order_by, *layout.bucket_by} <= {*columns}:
+        if layout and not {*layout.partition_by, *layout.order_by, *layout.bucket_by, *layout.cluster_by} <= {*columns}:
             return None
         return layout
 
@@ -173,9 +184,20 @@ class Publisher:
         layout = layout or self.stored_layout(name, df.columns) or Layout()
         existing = self.versions(name)
         version = (existing[-1] + 1) if existing else 1
-        layout.writer(layout.arrange(df)).mode("errorifexists").saveAsTable(self.version_table(name, version))
+        self._write(name, df, layout, self.version_table(name, version))
         return version
 
+    def _write(self, name: str, df: DataFrame, layout: Layout, table: str) -> None:
+        """``df`` to a new table. A clustered layout reads its rows several times, so they are staged first."""
+        staged = None
+        try:
+            if layout.cluster_by:
+                staged, df = self.stage(name, df)
+            layout.writer(layout.arrange(df)).mode("errorifexists").saveAsTable(table)
+        finally:
+            if staged is not None:
+                self.drop(staged)
+
     def append_to_version(self, name: str, version: int, df: DataFrame, layout: Layout | None = None) -> None:
         """Append rows to a version in place, matched by column name."""
         layout = layout or self.stored_layout(name, df.columns) or Layout()
@@ -241,7 +263,7 @@ class Publisher:
         )
         select = ", ".join(quote_ident(c) for c in cols)
         clauses = f" COMMENT {sql_string(comment)}" if comment else ""
-        props = {k: v for k, v in properties.items() if k.startswith("modelsmith.") and k not in (_SEGMENTS_PROP, _LAYOUT_PROP)}
+        props = {k: v for k, v in properties.items() if k.startswith("modelsmith.") and k not in (_SEGMENTS_PROP, _LAYOUT_PROP, _RUNS_PROP)}
         props[_VERSION_PROP] = str(version)
         if layout:
             props[_LAYOUT_PROP] = json.dumps(asdict(layout))
@@ -256,6 +278,9 @@ class Publisher:
             raise
         if backup is not None:
             self.drop(backup)
+        if _RUNS_PROP in properties:  # the model was kept as runs before
+            for r in self.runs(name):
+                self.drop(self.run_table(name, r))
         newest = [v for v in self.versions(name) if v <= version][-self.keep_versions:]
         self.retire(name, keep={version, previous, *newest})
 
@@ -349,6 +374,68 @@ class Publisher:
                 self.spark.sql(f"ALTER TABLE {self.run_table(name, r)} DROP IF EXISTS "
                                f"PARTITION ({quote_ident(OPEN_FLAG)} = true)")
 
+    # ----------------------------------------------------------- upsert runs
+    # A model kept as runs (:mod:`modelsmith.operators.runs`) is a view that resolves
+    # the run tables ``m__run<N>``; the view's properties name them in order.
+
+    def upsert_runs(self, name: str) -> tuple[list[str], list[tuple[int, int]]] | None:
+        """(unique key, [(run, rows), ...] oldest first) of a model kept as runs, or None."""
+        text = self._properties(name).get(_RUNS_PROP)
+        if text is None:
+            return None
+        stored = json.loads(text)
+        return stored["key"], [(run, rows) for run, rows in stored["runs"]]
+
+    def write_upsert_run(self, name: str, df: DataFrame, layout: Layout | None = None) -> tuple[int, int]:
+        """Write one run table; returns its number and its row count (from the files' footers)."""
+        layout = layout or self.stored_layout(name, df.columns) or Layout()
+        run = max(self.runs(name), default=0) + 1
+        table = self.run_table(name, run)
+        self._write(name, df, layout, table)
+        return run, self.spark.table(table).count()
+
+    def swap_upsert_runs(
+        self,
+        name: str,
+        unique_key: Sequence[str],
+        runs: Sequence[tuple[int, int]],
+        comment: str | None = None,
+        column_comments: Mapping[str, str] | None = None,
+        layout: Layout | None = None,
+    ) -> None:
+        """Point the model's view at ``runs`` (one catalog call), comments and layout as in :meth:`swap`. Runs that
+        neither this view nor the one before names are dropped."""
+        before = self.upsert_runs(name)
+        old_comment, old_columns = self.stored_comments(name)
+        comment = old_comment if comment is None else comment
+        column_comments = old_columns if column_comments is None else {**old_columns, **column_comments}
+        cols = self.spark.table(self.run_table(name, runs[-1][0])).columns
+        layout = layout or self.stored_layout(name, cols)
+        props = {k: v for k, v in self._properties(name).items()
+                 if k.startswith("modelsmith.") and k not in (_VERSION_PROP, _SEGMENTS_PROP, _LAYOUT_PROP)}
+        props[_RUNS_PROP] = json.dumps({"key": list(unique_key), "runs": [list(r) for r in runs]})
+        if layout:
+            props[_LAYOUT_PROP] = json.dumps(asdict(layout))
+        col_list = ", ".join(
+            quote_ident(c) + (f" COMMENT {sql_string(column_comments[c])}" if c in column_comments else "")
+            for c in cols
+        )
+        clauses = f" COMMENT {sql_string(comment)}" if comment else ""
+        clauses += f" TBLPROPERTIES ({', '.join(f'{sql_string(k)} = {sql_string(v)}' for k, v in props.items())})"
+        body = resolve_sql([self.run_table(name, r) for r, _ in runs], cols, unique_key)
+        backup = self._aside(name)
+        try:
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self.qualified(name)} ({col_list}){clauses} AS {body}")
+        except Exception:
+            self._back(name, backup)
+            raise
+        if backup is not None:
+            self.drop(backup)
+        keep = {r for r, _ in runs} | {r for r, _ in (before[1] if before else [])}
+        for r in self.runs(name):
+            if r not in keep:
+                self.drop(self.run_table(name, r))
+
     def drop_model(self, name: str) -> None:
         """Remove a model: its view (or plain table) and every version, run and
         staging table behind it."""
@@ -390,6 +477,13 @@ class Publisher:
                     if r > segs[1] and r not in referenced:
                         self.drop(self.run_table(model, r))
                         dropped.append(f"{model}__run{r}")
+            upserts = self.upsert_runs(model)
+            if upserts is not None:
+                newest = max(r for r, _ in upserts[1])
+                for r in self.runs(model):
+                    if r > newest:
+                        self.drop(self.run_table(model, r))
+                        dropped.append(f"{model}__run{r}")
         return dropped
 
     def retire(self, name: str, keep: set) -> None:

@@ -11,6 +11,7 @@ from modelsmith.plans import (  # noqa: F401  (modules register their queries)
     relational,
     snapshot_queries,
     upkeep_queries,
+    upkeep_store_queries,
 )
 from modelsmith.plans._registry import ORACLES, QUERIES
 
