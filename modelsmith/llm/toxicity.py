@@ -12,7 +12,8 @@ The k nearest examples by cosine are found exactly. Terms that many examples hol
 dense rows, scored for a block of texts at once by one matrix product. That part of a
 cosine is a lower bound, so its k-th best is a floor. The other terms have an inverted
 index cut into blocks of examples with the largest weight of each term in each block:
-only blocks whose bound reaches the floor are visited. The last candidates are scored
+the blocks of largest bound are visited first, which lifts the floor, then those
+whose bound still reaches it. The last candidates are scored
 again in double precision. The neighbours vote with weights that fall with distance,
 together with ``PRIOR`` votes of the base rate; they are returned as evidence.
 
@@ -38,10 +39,10 @@ import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,8 +57,12 @@ BLOCK = 64
 #: Terms that more than one in so many examples hold are dense rows.
 DENSE = 16
 PREFIX = 4
+#: Blocks that are visited first.
+LEAD = 4
 #: Texts whose dense part is one matrix product.
 TOGETHER = 64
+#: About so many bytes of text are counted together, so that a word they share is looked up once.
+COUNTED_BYTES = 4 << 20
 #: More than the product's single precision can be wrong by.
 SLACK = 1e-4
 
@@ -83,25 +88,37 @@ class Vocabulary:
     """The examples' words and beginnings, with places 0, 1, ... in one row of terms."""
 
     def __init__(self, words: Sequence[str], begins: Sequence[str]):
-        self.words = {w: i for i, w in enumerate(words)}
-        self.begins = {w: i for i, w in enumerate(begins, len(self.words))}
+        self.words, self.begins = pa.array(words, pa.large_string()), pa.array(begins, pa.large_string())
 
     def __len__(self) -> int:
         return len(self.words) + len(self.begins)
 
-    def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Places of a text's terms, and how often each occurs."""
-        words = Counter(words_of(text))
-        n = len(words)
-        times = np.fromiter(words.values(), np.int64, n)
-        at = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, n)
-        # A shorter word is no beginning; words that share one are added up.
-        begin = np.fromiter(map(self.begins.get, [w[:PREFIX] for w in words], repeat(-1)), np.int64, n)
-        known = begin >= 0
-        of_begin = np.bincount(begin[known] - len(self.words), times[known], minlength=len(self.begins)).astype(np.int64)
-        begins = np.flatnonzero(of_begin)
-        known = at >= 0
-        return np.concatenate((at[known], begins + len(self.words))), np.concatenate((times[known], of_begin[begins]))
+    def counted(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Keys (place of the text * number of terms + place of the term), ascending, and how often each term
+        occurs in the text. Each word of the block of texts is looked up once."""
+        folded = pa.array([(t or "").encode().translate(_FOLD) for t in texts], pa.large_binary())
+        split = pc.split_pattern(folded, b" ")
+        coded = split.values.dictionary_encode()
+        words = coded.dictionary.cast(pa.large_string())
+        n_tokens = np.diff(split.offsets.to_numpy())
+        if not len(words) or not len(self):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = pc.fill_null(pc.index_in(words, self.words), -1).to_numpy().astype(np.int64)
+        # A shorter word is no beginning: its prefix is none of them.
+        begin = pc.fill_null(pc.index_in(pc.utf8_slice_codeunits(words, 0, PREFIX), self.begins), -1).to_numpy().astype(np.int64)
+        begin[begin >= 0] += len(self.words)
+        base = np.repeat(np.arange(len(texts)) * len(self), n_tokens)
+        code = coded.indices.to_numpy()
+        keys = np.concatenate([(base + of[code])[of[code] >= 0] for of in (at, begin)])
+        keys.sort()
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        return keys[first], np.diff(first, append=len(keys))
+
+    def count(self, texts: Sequence[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text the places of its terms, ascending, and how often each occurs."""
+        keys, times = self.counted(texts)
+        cuts = np.searchsorted(keys, np.arange(len(texts) + 1) * len(self))
+        return [(keys[a:b] - i * len(self), times[a:b]) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
 
 
 def unit_vector(at: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,20 +149,21 @@ class BlockMaxIndex:
         self.row = np.full(n_terms, -1, np.int64)  # of a common term
         self.row[common] = np.arange(len(common))
         here = self.row[terms] >= 0
-        self.exact = np.zeros((len(common), n))
-        self.exact[self.row[terms[here]], places[here]] = weights[here]
-        self.rows = self.exact.astype(np.float32)
+        self.exact = np.zeros((n, len(common)))
+        self.exact[places[here], self.row[terms[here]]] = weights[here]
+        self.rows = np.ascontiguousarray(self.exact.T, np.float32)
         places, terms, weights = places[~here], terms[~here], weights[~here]
-        # The postings of term t in block b lie from start[t * n_blocks + b] to the next start.
+        # The postings of term t in block b lie from start[t, b] to start[t, b + 1].
         key = terms * self.n_blocks + places // block
         sort = np.argsort(key, kind="stable")
-        self.start = np.concatenate(([0], np.cumsum(np.bincount(key, minlength=n_terms * self.n_blocks)))).astype(np.int32)
+        starts = np.concatenate(([0], np.cumsum(np.bincount(key, minlength=n_terms * self.n_blocks)))).astype(np.int32)
+        self.start = np.lib.stride_tricks.sliding_window_view(starts, self.n_blocks + 1)[:: max(self.n_blocks, 1)][:n_terms]
         self.place, self.weights = places[sort].astype(np.int32), weights[sort]
         largest = np.zeros(n_terms * self.n_blocks, np.float32)
-        filled = np.flatnonzero(np.diff(self.start))
+        filled = np.flatnonzero(np.diff(starts))
         if len(filled):
             # Rounded up, so that a bound is never too small.
-            largest[filled] = np.nextafter(np.maximum.reduceat(self.weights, self.start[filled]).astype(np.float32), np.float32(np.inf))
+            largest[filled] = np.nextafter(np.maximum.reduceat(self.weights, starts[filled]).astype(np.float32), np.float32(np.inf))
         self.largest = largest.reshape(n_terms, self.n_blocks)
         self.rate = float(np.mean(labels)) if labels else 0.0
         self.without = (sum(labels[i] for i in empty) + PRIOR * self.rate) / (len(empty) + PRIOR) if labels else 0.0
@@ -163,25 +181,35 @@ class BlockMaxIndex:
         part = self.dense_parts([(at, weights)])[0] if part is None else part
         n = len(self.ids)
         row = self.row[at]
-        terms, w = at[row < 0], weights[row < 0]
+        rare = row < 0
+        terms, w = at[rare], weights[rare]
         floor = np.partition(part[:n], n - k)[n - k] if n > k else 0.0
-        bound = part.reshape(-1, self.block).max(axis=1) + w @ self.largest[terms]
-        blocks = np.flatnonzero((bound >= floor - SLACK) & (bound > 0))
+        bound = part.reshape(-1, self.block).max(axis=1) + w.astype(np.float32) @ self.largest[terms]
+        possible = np.flatnonzero((bound >= floor - SLACK) & (bound > 0))
+        possible = possible[np.argsort(-bound[possible], kind="stable")]
+        start = self.start[terms]
+        added, total = np.zeros(len(part)), part
         self.asked += self.n_blocks
-        self.visited += len(blocks)
-        # All postings of the rare terms in the visited blocks, one slice a term and block.
-        key = (terms[:, None] * self.n_blocks + blocks[None, :]).ravel()
-        first = self.start[key].astype(np.int64)
-        count = self.start[key + 1] - first
-        held = np.flatnonzero(count)
-        first, count = first[held], count[held]
-        ends = np.cumsum(count)
-        where = np.repeat(first - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)
-        rare = np.bincount(self.place[where], np.repeat(w[held // max(len(blocks), 1)], count) * self.weights[where], minlength=len(part))
-        total = part + rare
+        # The blocks of largest bound first: with them the floor rises, and fewer others reach it.
+        visit, rest = possible[:LEAD], possible[LEAD:]
+        while len(visit):
+            self.visited += len(visit)
+            # All postings of the rare terms in these blocks, one slice a term and block.
+            first = start[:, visit]
+            count = (start[:, visit + 1] - first).ravel()
+            held = np.flatnonzero(count > 0)
+            first, count = first.ravel()[held], count[held]
+            ends = np.cumsum(count)
+            where = np.repeat(first - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)
+            added += np.bincount(self.place[where], np.repeat(w[held // len(visit)], count) * self.weights[where], minlength=len(part))
+            total = part + added
+            if n > k and len(rest):
+                floor = max(floor, np.partition(total[:n], n - k)[n - k])
+            visit, rest = rest[bound[rest] >= floor - SLACK], rest[:0]
         best = np.partition(total[:n], n - k)[n - k] if n > k else 0.0
         found = np.flatnonzero((total[:n] >= best - SLACK) & (total[:n] > 0))
-        cosine = np.round(rare[found] + weights[row >= 0] @ self.exact[row[row >= 0][:, None], found[None, :]], 12)
+        dense = row[~rare]
+        cosine = np.round(added[found] + weights[~rare] @ self.exact[found[:, None], dense[None, :]].T, 12)
         best = np.lexsort((self.ids[found], -cosine))[:k]
         return found[best], cosine[best]
 
@@ -240,12 +268,12 @@ def frequencies(texts: DataFrame, name: str, sent: Broadcast, n_terms: int) -> t
     schema = pa.schema([("term", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _vocabulary(name, sent).count
+        vocabulary = _vocabulary(name, sent)
         held, n = np.zeros(n_terms, np.int64), 0
-        for _, some in blocks(batches):
+        for _, some in blocks(batches, limit=COUNTED_BYTES):
             n += len(some)
-            for text in some:
-                held[count(text)[0]] += 1
+            keys, _ = vocabulary.counted(some)
+            held += np.bincount(keys % max(n_terms, 1), minlength=n_terms)
         found = np.flatnonzero(held)
         terms, counts = np.concatenate((found, [-1])), np.concatenate((held[found], [n]))
         for at in range(0, len(terms), 1 << 16):
@@ -318,20 +346,23 @@ def nearest_labelled(
         count = _vocabulary(name, vocabulary).count
         index, idf = _index(name, sent, n_terms)
         known: dict[bytes, tuple] = {}  # of this task, for equal texts
-        for batch, texts in blocks(_texts_inside(batches, text_col) if carry else batches):
+        for batch, texts in blocks(_texts_inside(batches, text_col) if carry else batches, limit=COUNTED_BYTES):
             keys = [hashlib.sha256((t or "").encode()).digest() for t in texts]
             if len(known) >= 4000:
                 known.clear()
             fresh = {key: t for key, t in zip(keys, texts, strict=True) if key not in known}
             todo = list(fresh.items())
+            counts = count([t for _, t in todo])
             for i in range(0, len(todo), TOGETHER):
                 some = todo[i : i + TOGETHER]
-                vectors = [unit_vector(*count(t), idf) for _, t in some]
+                vectors = [unit_vector(*c, idf) for c in counts[i : i + TOGETHER]]
                 for (key, _), vector, part in zip(some, vectors, index.dense_parts(vectors), strict=True):
-                    s, ids, cosine = index.score(*vector, k, part)
-                    known[key] = s, [{"doc_id": d, "cosine": x} for d, x in zip(ids.tolist(), cosine.tolist(), strict=True)]
+                    known[key] = index.score(*vector, k, part)
             out = [known[key] for key in keys]
-            columns = {"doc_id": batch.column(0), "score": pa.array([o[0] for o in out], pa.float64()), "neighbours": pa.array([o[1] for o in out], pa.list_(neighbour))}
+            ends = np.concatenate(([0], np.cumsum([len(o[1]) for o in out]))).astype(np.int32)
+            ids, cosine = (np.concatenate([o[i] for o in out]) if out else np.zeros(0) for i in (1, 2))
+            pairs = pa.StructArray.from_arrays([pa.array(ids, pa.int64()), pa.array(cosine, pa.float64())], fields=list(neighbour))
+            columns = {"doc_id": batch.column(0), "score": pa.array([o[0] for o in out], pa.float64()), "neighbours": pa.ListArray.from_arrays(ends, pairs)}
             yield pa.RecordBatch.from_pydict(columns | ({"row": batch.column(2)} if carry else {}))
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.struct(*carry).alias("row")) if carry else named
