@@ -25,6 +25,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from modelsmith.operators.feed import FEED_COLUMNS, plan_feed
 from modelsmith.operators.incremental import (
     moved_keys,
     next_version,
@@ -306,6 +307,31 @@ class Project:
                 pub.drop(stage_name)
         return self.ref(name)
 
+    def snapshot_feed(
+        self,
+        name: str,
+        changes: Model,
+        unique_key: str | Sequence[str],
+        changed_at: str,
+        deleted: str | None = None,
+        order_by: Sequence[str] = (),
+        unit: str = "day",
+        layout: Layout | None = None,
+    ) -> DataFrame:
+        """Build a snapshot from a feed of changes, of which a key may have many, late ones too
+        (see :mod:`modelsmith.operators.feed`)."""
+        pub = self.publisher
+        this = self.ref(name) if pub.kind(name) else None
+        if this is not None and not {*FEED_COLUMNS} <= {*this.columns}:
+            raise ValueError(f"{name} is not a snapshot of a feed")
+        # The changes are read twice (keys, rows): stage them once.
+        stage_name, staged = pub.stage(name, self._run_model(changes, ModelContext(self.spark, this is not None, this)))
+        try:
+            pub.publish(name, plan_feed(this, staged, unique_key, changed_at, deleted, order_by, unit), layout)
+        finally:
+            pub.drop(stage_name)
+        return self.ref(name)
+
     def compact_snapshot(self, name: str, newest: int = 8, layout: Layout | None = None) -> DataFrame:
         """Merge the ``newest`` latest closed segments of a segmented snapshot into one;
         older segments are left as they are."""

@@ -135,6 +135,18 @@ def relation_diff(spark, d):
     return compare.rows_different(a, b)
 
 
+@register("relation_diff_buckets", f"""{_DIFF_SIDES_SQL}, c AS (
+  SELECT * EXCLUDE (o_totalprice), CASE WHEN o_orderkey % 1009 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM a)
+SELECT (SELECT count(*) FROM a) - (SELECT count(*) FROM c) AS row_count_difference,
+       (SELECT count(*) FROM a x WHERE NOT EXISTS (SELECT 1 FROM c y WHERE {_NULL_SAFE}))
+     + (SELECT count(*) FROM c x WHERE NOT EXISTS (SELECT 1 FROM a y WHERE {_NULL_SAFE})) AS num_mismatched""")
+def relation_diff_buckets(spark, d):
+    """The diff of nearly equal relations (one order in 1,009 repriced), exact only in buckets that differ."""
+    a, _ = _diff_sides(spark, d)
+    repriced = F.when(F.col("o_orderkey") % 1009 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    return compare.rows_different_by_buckets(a, a.withColumn("o_totalprice", repriced), key=["o_orderkey"], buckets=1024)
+
+
 _CUSTOMER_COLUMNS = [
     ("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
     ("c_acctbal", "double"), ("c_mktsegment", "string"),

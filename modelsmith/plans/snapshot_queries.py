@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from modelsmith import functions as fn
+from modelsmith.operators import feed
 from modelsmith.operators import snapshot as snap
 from modelsmith.plans._registry import register
 from modelsmith.sources.relations import read_table
@@ -217,3 +218,24 @@ def snapshot_increment(spark, d):
     src0, src1 = _sources(spark, d)
     return snap.plan_snapshot_increment(_first(src0, "timestamp"), None, src1, "o_orderkey",
                                         **_kwargs("timestamp"))
+
+
+@register("snapshot_feed", f"""
+WITH ranked AS (
+  SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate, coalesce(l_returnflag = 'R', false) AS is_deleted,
+         row_number() OVER (PARTITION BY l_orderkey, l_shipdate ORDER BY l_linenumber DESC NULLS LAST,
+           coalesce(l_returnflag = 'R', false) DESC, l_quantity DESC NULLS LAST, l_extendedprice DESC NULLS LAST) AS place
+  FROM lineitem
+)
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate, {_scd_sql('l_orderkey', 'l_shipdate')} AS scd_id,
+       l_shipdate AS scd_updated_at, l_shipdate AS valid_from,
+       lead(l_shipdate) OVER (PARTITION BY l_orderkey ORDER BY l_shipdate) AS valid_to, is_deleted
+FROM ranked WHERE place = 1""")
+def snapshot_feed(spark, d):
+    """Line items as changes of their order by shipping time, returns as deletions, in three runs that come out of order."""
+    lines = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate", (F.col("l_returnflag") == "R").alias("gone"))
+    target = None
+    for part in (2, 0, 1):
+        run = lines.where(F.coalesce(F.pmod("l_linenumber", F.lit(3)), F.lit(0)) == part)
+        target = feed.plan_feed(target, run, "l_orderkey", "l_shipdate", "gone", ["l_linenumber"], unit="month")
+    return target
