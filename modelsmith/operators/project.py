@@ -17,6 +17,7 @@ writes it once, and publishes it with one catalog call
 
 from __future__ import annotations
 
+import functools
 import inspect
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
@@ -55,6 +56,17 @@ class SnapshotInputError(ValueError):
     pass
 
 
+def _claimed(build):
+    """A builder's method that holds the claim of its model (:mod:`modelsmith.operators.claims`)."""
+
+    @functools.wraps(build)
+    def run(self, name, *args, **kwargs):
+        with self.publisher.claims.claimed(name):
+            return build(self, name, *args, **kwargs)
+
+    return run
+
+
 class Project:
     def __init__(self, spark: SparkSession, schema: str, keep_versions: int = 2):
         self.spark = spark
@@ -72,12 +84,14 @@ class Project:
         return model(ctx) if takes_ctx else model()
 
     # ------------------------------------------------------------- B1
+    @_claimed
     def view(self, name: str, sql: str, comment: str | None = None,
              column_comments: Mapping[str, str] | None = None) -> DataFrame:
         self.publisher.publish_view(name, sql, comment, column_comments)
         return self.ref(name)
 
     # ------------------------------------------------------------- B2
+    @_claimed
     def table(self, name: str, model: Model, layout: Layout | None = None,
               comment: str | None = None, column_comments: Mapping[str, str] | None = None) -> DataFrame:
         df = self._run_model(model, ModelContext(self.spark, False, None))
@@ -85,6 +99,7 @@ class Project:
         return self.ref(name)
 
     # ------------------------------------------------------------- B3-B12
+    @_claimed
     def incremental(
         self,
         name: str,
@@ -174,6 +189,7 @@ class Project:
             pub.drop(stage_name)
         return self.ref(name)
 
+    @_claimed
     def incremental_runs(
         self,
         name: str,
@@ -224,6 +240,7 @@ class Project:
         pub.retire(name, keep={version})
         return self.ref(name)
 
+    @_claimed
     def compact_runs(self, name: str, layout: Layout | None = None) -> DataFrame:
         """Merge all runs of a model kept as runs into one, so that reads need no join."""
         stored = self.publisher.upsert_runs(name)
@@ -241,11 +258,13 @@ class Project:
         tables = [self.spark.table(pub.run_table(name, r)) for r, _ in runs[start:]]
         return [*runs[:start], pub.write_upsert_run(name, resolve_runs(tables, keys), layout)]
 
+    @_claimed
     def drop(self, name: str) -> None:
         """Remove a model and everything stored for it."""
         self.publisher.drop_model(name)
 
     # ------------------------------------------------------------- A11
+    @_claimed
     def update_column(self, name: str, column: str, value, where=None,
                       layout: Layout | None = None) -> DataFrame:
         this = self.ref(name)
@@ -255,6 +274,7 @@ class Project:
         return self.ref(name)
 
     # ------------------------------------------------------------- B13-B16
+    @_claimed
     def snapshot(
         self,
         name: str,
@@ -307,6 +327,7 @@ class Project:
                 pub.drop(stage_name)
         return self.ref(name)
 
+    @_claimed
     def snapshot_feed(
         self,
         name: str,
@@ -332,6 +353,7 @@ class Project:
             pub.drop(stage_name)
         return self.ref(name)
 
+    @_claimed
     def compact_snapshot(self, name: str, newest: int = 8, layout: Layout | None = None) -> DataFrame:
         """Merge the ``newest`` latest closed segments of a segmented snapshot into one;
         older segments are left as they are."""
@@ -415,6 +437,7 @@ class Project:
         return None
 
     # ------------------------------------------------------------- A2
+    @_claimed
     def seed(self, name: str, path: str, column_types: Mapping[str, str] | None = None,
              layout: Layout | None = None, **csv_options) -> DataFrame:
         from modelsmith.sources.seeds import load_seed

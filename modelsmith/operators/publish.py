@@ -23,6 +23,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from modelsmith.operators.claims import Claims
 from modelsmith.operators.cluster import cluster
 from modelsmith.operators.runs import resolve_sql
 
@@ -119,6 +120,7 @@ class Publisher:
         self.schema = schema
         self.keep_versions = max(2, keep_versions)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote_ident(schema)}")
+        self.claims = Claims(spark, f"{spark.catalog.getDatabase(schema).locationUri.rstrip('/')}/_modelsmith_claims")
 
     # ----------------------------------------------------------- names
     def qualified(self, name: str) -> str:
@@ -200,6 +202,7 @@ class Publisher:
 
     def append_to_version(self, name: str, version: int, df: DataFrame, layout: Layout | None = None) -> None:
         """Append rows to a version in place, matched by column name."""
+        self.claims.check(name)
         layout = layout or self.stored_layout(name, df.columns) or Layout()
         target = self.spark.table(self.version_table(name, version))
         ordered = df.select(*target.columns)
@@ -211,6 +214,7 @@ class Publisher:
         partition directory is swapped at job commit)."""
         if not layout.partition_by:
             raise ValueError("a partition-scoped rewrite needs layout.partition_by")
+        self.claims.check(name)
         table = self.version_table(name, version)
         ordered = layout.arrange(df).select(*self.spark.table(table).columns)
         key = "spark.sql.sources.partitionOverwriteMode"
@@ -254,6 +258,7 @@ class Publisher:
         column_comments = old_columns if column_comments is None else {**old_columns, **column_comments}
         layout = layout or self.stored_layout(name, self.spark.table(self.version_table(name, version)).columns)
         properties = self._properties(name)  # all that the view carries stays, such as a stream's progress
+        self.claims.check(name)
         backup = self._aside(name)
         previous = self.current_version(name)
         cols = self.spark.table(self.version_table(name, version)).columns
@@ -358,6 +363,7 @@ class Publisher:
                                    if f.name in column_comments else "")
             for f in fields
         )
+        self.claims.check(name)
         marker = ",".join(str(r) for r in closed_runs) + f"|{live_run}"
         clauses = f" COMMENT {sql_string(comment)}" if comment else ""
         clauses += f" TBLPROPERTIES ({sql_string(_SEGMENTS_PROP)} = {sql_string(marker)})"
@@ -423,6 +429,7 @@ class Publisher:
         clauses = f" COMMENT {sql_string(comment)}" if comment else ""
         clauses += f" TBLPROPERTIES ({', '.join(f'{sql_string(k)} = {sql_string(v)}' for k, v in props.items())})"
         body = resolve_sql([self.run_table(name, r) for r, _ in runs], cols, unique_key)
+        self.claims.check(name)
         backup = self._aside(name)
         try:
             self.spark.sql(f"CREATE OR REPLACE VIEW {self.qualified(name)} ({col_list}){clauses} AS {body}")
@@ -456,14 +463,17 @@ class Publisher:
     def drop_orphans(self) -> list[str]:
         """Drop what interrupted builds left behind: staging tables, and
         version tables newer than the published one (a build that wrote its
-        version but died before the swap). Returns the dropped names."""
+        version but died before the swap). What belongs to a model that a builder has claimed stays.
+        Returns the dropped names."""
         dropped = []
         tables = self._tables()
         for t in tables:
-            if re.search(r"__stage_[0-9a-f]+$", t):
+            if (m := re.match(r"(.+)__stage_[0-9a-f]+$", t)) and not self.claims.open(m.group(1)):
                 self.drop(self.qualified(t))
                 dropped.append(t)
         for model in self.models():
+            if self.claims.open(model):
+                continue
             current = self.current_version(model)
             if current is not None:
                 for v in self.versions(model):
@@ -521,6 +531,7 @@ class Publisher:
             for c in cols
         )
         clauses = f" COMMENT {sql_string(comment)}" if comment else ""
+        self.claims.check(name)
         backup = self._aside(name)
         try:
             self.spark.sql(f"CREATE OR REPLACE VIEW {self.qualified(name)} ({col_list}){clauses} AS {sql}")
