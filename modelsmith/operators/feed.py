@@ -13,11 +13,12 @@ Of several changes of a key at one instant the greatest by ``order_by`` counts (
 such as a log position); of those that tie, one of a later run, and of these a deletion before a value,
 then the greatest row. So results are free of run order where ``order_by`` tells changes apart.
 
-A run reads the keys of the target, and rebuilds the chains of those that the feed names; all other
-versions are carried over by an anti join. In a chain the next instant is found
-within the calendar unit ``unit`` of the instant first, then from the next unit's
-first instant, so that no task holds more of one key than its instants of one unit and one row a unit,
-also where a key holds a third of the feed. Repeated changes of an instant fall together map-side.
+A run reads the target once and rebuilds the chains of all keys; those that the feed doesn't name come out as they were.
+Repeated changes of an instant fall together map-side. Then versions and changes are dealt once by key and calendar
+unit ``unit``: the next instant is found within the unit first, then from the next unit's first instant,
+so that no task holds more of one key than its instants of one unit and one row a unit, also where a key
+holds a third of the feed. All steps read that one exchange, so that a chain of runs
+that are not stored between does not compute the runs before again and again.
 
 NULL keys are a key like any other. An instant that is NULL fails the run, as it has no place.
 """
@@ -51,22 +52,18 @@ def _unit(t: Column, unit: str) -> Column:
     return year if unit == "year" else year * 12 + F.month(t)
 
 
-def _same(x: str, y: str, names: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for n in names:
-        cond = cond & F.col(f"{x}.`{n}`").eqNullSafe(F.col(f"{y}.`{n}`"))
-    return cond
-
-
 def _chained(events: DataFrame, keys: Sequence[str], unit: str) -> DataFrame:
-    """``events`` (k0.., t, e) with ``until``: the key's next t."""
-    events = events.withColumn("u", _unit(F.col("t"), unit))
-    inner = Window.partitionBy(*keys, "u").orderBy("t")
-    firsts = events.groupBy(*keys, "u").agg(F.min("t").alias("first"))
-    nexts = firsts.select(*keys, "u", F.lead("first").over(Window.partitionBy(*keys).orderBy("u")).alias("onward"))
-    within = events.select("*", F.lead("t").over(inner).alias("then"))
-    joined = within.alias("w").join(nexts.alias("n"), _same("w", "n", [*keys, "u"]), "left")
-    return joined.select("w.*", F.coalesce("w.then", "n.onward").alias("until"))
+    """``events`` (k0.., t, e), the greatest e of each key and t, with ``until``: the key's next t."""
+    # A struct is equal to another where its NULLs are too, so that a plain join keeps the exchange.
+    key = F.struct(*keys, _unit(F.col("t"), unit).alias("u")).alias("ku")
+    dealt = events.select(key, "t", "e").repartition("ku")
+    # e is never NULL; counted, it is a column that both readers of the exchange need, so that Spark makes it once.
+    firsts = dealt.groupBy("ku").agg(F.when(F.count("e") > 0, F.min("t")).alias("first"))
+    onward = F.lead("first").over(Window.partitionBy(*keys).orderBy("u")).alias("onward")
+    nexts = firsts.select("ku", "ku.*", "first").select("ku", onward)
+    inner = Window.partitionBy("ku").orderBy("t")
+    within = dealt.groupBy("ku", "t").agg(F.max("e").alias("e")).select("*", F.lead("t").over(inner).alias("then"))
+    return within.join(nexts, "ku", "left").select("ku.*", "t", "e", F.coalesce("then", "onward").alias("until"))
 
 
 def plan_feed(
@@ -79,7 +76,7 @@ def plan_feed(
     unit: str = "day",
 ) -> DataFrame:
     """The next version of the snapshot. ``changes`` holds the source's columns and, where ``deleted`` names it, a
-    boolean column that is true of deletions (NULL: no deletion). It is read twice."""
+    boolean column that is true of deletions (NULL: no deletion). Target and changes are read once."""
     if unit not in UNITS:
         raise ValueError(f"unit must be one of {UNITS}")
     keys = _keys(unique_key)
@@ -108,24 +105,16 @@ def plan_feed(
 
     instant = F.col(f"`{changed_at}`").cast("timestamp_ntz")
     instant = F.when(instant.isNull(), F.raise_error(F.lit(f"a change has no {changed_at}"))).otherwise(instant)
-    all_events = events(fresh, 1, instant)
-    untouched = None
+    all_events = events(fresh, 1, instant).groupBy(*names, "t").agg(F.max("e").alias("e"))
     if target is not None:
-        touched = fresh.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names)]).distinct()
-        met = F.lit(True)
-        for k, n in zip(keys, names):
-            met = met & F.col(f"x.`{k}`").eqNullSafe(F.col(f"y.{n}"))
-        untouched = target.alias("x").join(touched.alias("y"), met, "left_anti")
-        stored = target.alias("x").join(touched.alias("y"), met, "left_semi")
-        all_events = all_events.unionByName(events(stored, 0, F.col("valid_from")))
-    chain = _chained(all_events.groupBy(*names, "t").agg(F.max("e").alias("e")), names, unit)
-    built = chain.select(
+        all_events = all_events.unionByName(events(target, 0, F.col("valid_from")))
+    chain = _chained(all_events, names, unit)
+    return chain.select(
         *[F.col("e.row")[c].alias(c) for c in data],
         _scd_hash(*[F.col(n) for n in names], F.col("t")).alias("scd_id"),
         F.col("t").alias("scd_updated_at"), F.col("t").alias("valid_from"), F.col("until").alias("valid_to"),
         F.col("e.gone").alias(DELETED),
     )
-    return built if untouched is None else untouched.unionByName(built)
 
 
 def alive(snapshot: DataFrame) -> DataFrame:

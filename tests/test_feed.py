@@ -90,6 +90,29 @@ def test_hot_key_is_spread(spark):
     assert (got[0], got[1], got[2]) == (20_000, 19_999, timedelta(minutes=10))
 
 
+def test_each_run_is_read_once(spark):
+    """Runs that are not stored between: the changes of each are read once, not again for each use of the runs after it."""
+    read = spark.sparkContext.accumulator(0)
+    target, want = None, []
+    for run in range(3):
+        changes = [(k, 10 * run + k, "v", DAY0 + timedelta(days=7 * k + run), False) for k in range(4)]
+        counted = spark.sparkContext.parallelize(changes, 2).map(lambda row: (read.add(1), row)[1])
+        target = plan_feed(target, spark.createDataFrame(counted, SCHEMA), "k", "at", "gone", ["pos"])
+        want += changes
+    assert rows(target, *COLS) == one_at_a_time(want)
+    assert read.value == len(want)
+
+
+def test_keys_that_no_run_names_again(spark):
+    """Versions of keys that are not in the feed come out as they were, in all columns."""
+    first = plan_feed(None, spark.createDataFrame([(k, i, "v", DAY0 + timedelta(days=20 * i), k == 2) for k in (1, 2, None) for i in range(3)], SCHEMA),
+                      "k", "at", "gone", ["pos"])
+    second = plan_feed(first, spark.createDataFrame([(1, 9, "w", DAY0 + timedelta(days=5), False)], SCHEMA), "k", "at", "gone", ["pos"])
+    rest = F.coalesce("k", F.lit(0)) != 1
+    assert rows(second.where(rest), *first.columns) == rows(first.where(rest), *first.columns)
+    assert second.where(~rest).count() == 4
+
+
 def test_project_builds(spark):
     project = Project(spark, "feed_builds")
     day = [DAY0 + timedelta(days=i) for i in range(6)]
