@@ -31,6 +31,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from modelsmith.llm.kept import kept
 from modelsmith.llm.ship import map_arrow
 from modelsmith.llm.tables import blocks
 
@@ -121,17 +122,14 @@ def key_blocks(items: DataFrame, window: int, max_key_bytes: int) -> Iterator[di
         yield keys
 
 
-_BUILT: dict[str, tuple[ahocorasick.Automaton, list[str]]] = {}  # the automaton last used by this worker process
-
-
 def _built(name: str, sent: Broadcast) -> tuple[ahocorasick.Automaton, list[str]]:
-    if name not in _BUILT:
+    def make() -> tuple[ahocorasick.Automaton, list[str]]:
         keys = pickle.loads(sent.value)
         names = sorted({i for ids in keys.values() for i in ids})
         place = {n: k for k, n in enumerate(names)}
-        _BUILT.clear()
-        _BUILT[name] = build_automaton({k: [place[i] for i in ids] for k, ids in keys.items()}), names
-    return _BUILT[name]
+        return build_automaton({k: [place[i] for i in ids] for k, ids in keys.items()}), names
+
+    return kept(name, "automaton", make)
 
 
 _SPAN = pa.struct([("first", pa.int32()), ("end", pa.int32())])

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from modelsmith.llm.kept import kept
 from modelsmith.llm.ship import map_arrow
 from modelsmith.llm.tables import blocks
 
@@ -246,13 +247,8 @@ class PrefixTableCodec:
         return sum([f[0] for f in found]) + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
 
-_CODECS: dict[str, PrefixTableCodec] = {}  # of this worker process, by path
-
-
 def codec(path: str) -> PrefixTableCodec:
-    if path not in _CODECS:
-        _CODECS[path] = PrefixTableCodec(path)
-    return _CODECS[path]
+    return kept(path, "codec", lambda: PrefixTableCodec(path))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from modelsmith.llm.kept import kept
 from modelsmith.llm.ship import map_arrow
 from modelsmith.llm.tables import blocks
 
@@ -78,13 +79,8 @@ def units(text: str) -> list[str]:
     return [head, *rest] if head else rest
 
 
-_COUNTERS: dict[str, UnitCounter] = {}  # of this worker process, by path
-
-
 def counter(path: str) -> UnitCounter:
-    if path not in _COUNTERS:
-        _COUNTERS[path] = UnitCounter(path)
-    return _COUNTERS[path]
+    return kept(path, "counter", lambda: UnitCounter(path))
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])

@@ -47,6 +47,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from modelsmith.llm.kept import kept
 from modelsmith.llm.ship import map_arrow
 from modelsmith.llm.tables import blocks, held_out
 
@@ -240,27 +241,20 @@ def relevance(marked: np.ndarray, held: np.ndarray, n_marked: int, n: int) -> np
     return np.log(a * d / (b * c)) ** 2 / (1 / a + 1 / b + 1 / c + 1 / d)
 
 
-_VOCABULARY: dict[str, Vocabulary] = {}  # what this worker process used last
-_INDEX: dict[str, tuple[BlockMaxIndex, np.ndarray]] = {}
-
-
 def _vocabulary(name: str, sent: Broadcast) -> Vocabulary:
-    if name not in _VOCABULARY:
-        _VOCABULARY.clear()
-        _VOCABULARY[name] = Vocabulary(*pickle.loads(zlib.decompress(sent.value)))
-    return _VOCABULARY[name]
+    return kept(name, "vocabulary", lambda: Vocabulary(*pickle.loads(zlib.decompress(sent.value))))
 
 
 def _index(name: str, sent: Broadcast, n_terms: int) -> tuple[BlockMaxIndex, np.ndarray]:
-    if name not in _INDEX:
+    def make() -> tuple[BlockMaxIndex, np.ndarray]:
         ids, y, cuts, terms, tf, idf = pickle.loads(zlib.decompress(sent.value))
         vectors = []
         for a, b in zip(cuts, cuts[1:], strict=False):
             sort = np.argsort(terms[a:b])
             vectors.append(unit_vector(terms[a:b][sort].astype(np.int64), tf[a:b][sort], idf))
-        _INDEX.clear()
-        _INDEX[name] = BlockMaxIndex(ids, y.tolist(), vectors, n_terms), idf
-    return _INDEX[name]
+        return BlockMaxIndex(ids, y.tolist(), vectors, n_terms), idf
+
+    return kept(name, "index", make)
 
 
 def frequencies(texts: DataFrame, name: str, sent: Broadcast, n_terms: int) -> tuple[int, np.ndarray]:
