@@ -4,7 +4,8 @@ Spark hands a worker process to one operator after another. A process keeps the
 models (indexes, automata, tables of units) of one owner only, the last that asked,
 so that an executor's memory is bounded by the largest of them, not by the sum of
 all operators that ran on it. Tasks of one stage share an owner; a stage that runs two operators
-on the same rows may make a model more than once.
+on the same rows may make a model more than once. A large model that is quick to make
+goes at the end of its task (:func:`let_go`): an idle process would hold it while stages without Python run.
 """
 
 from __future__ import annotations
@@ -29,11 +30,17 @@ def give_back() -> None:
         pass
 
 
+def let_go() -> None:
+    """All models of this process go."""
+    if _KEPT:
+        _KEPT.clear()
+        give_back()
+
+
 def kept(owner: str, part: str, make: Callable[[], Any]) -> Any:
     """The ``part`` of ``owner``'s models in this process, made once; those of other owners go first."""
     if owner not in _KEPT:
-        _KEPT.clear()
-        give_back()
+        let_go()
         _KEPT[owner] = {}
     mine = _KEPT[owner]
     if part not in mine:

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelsmith.llm.components import connected_components
+from modelsmith.llm.kept import let_go
 from modelsmith.llm.scratch import stage
 from modelsmith.llm.ship import map_arrow
 from modelsmith.llm.tables import blocks
@@ -72,6 +73,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
     """doc_id, fp (the 64 bits as a signed long), and the columns named in ``carry``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch, texts in blocks(batches):
             fp = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "fp": pa.array(fp)} | {c: batch[c] for c in carry})

@@ -28,7 +28,7 @@ but those in ``carry``, which come back unchanged as a struct, whatever their na
 
 At scale: texts are read twice, for frequencies (summed in each task, one row a term
 leaves it) and for scores; the index is bounded by the terms of ``sample`` rows, is
-sent as packed counts and made once by each worker process; scoring has no shuffle.
+sent as packed counts and made by each task, which takes about half a second, so that no idle worker holds it; scoring has no shuffle.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modelsmith.llm.kept import kept
+from modelsmith.llm.kept import kept, let_go
 from modelsmith.llm.ship import map_arrow
 from modelsmith.llm.tables import blocks, held_out
 
@@ -303,6 +303,7 @@ def nearest_labelled(
     wordy = pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), *((c, t) for w in ("words", "begins") for c, t in ((w, pa.list_(pa.string())), (f"{w}_tf", pa.list_(pa.int32()))))])
 
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch, texts in blocks(batches):
             found = [term_counts(t) for t in texts]
             columns = [pa.array(x, wordy.field(2 + i).type) for i, x in enumerate(
@@ -332,11 +333,17 @@ def nearest_labelled(
     held = np.bincount(terms, minlength=n_terms)
     marked = np.bincount(terms[y[of] == 1], minlength=n_terms)
     idf = (np.log((1 + n) / (1 + df)) + 1) * relevance(marked, held, int(y.sum()), len(y))
-    # Sent as counts, which are small; each worker process makes the index of them once.
+    # Sent as counts, which are small; each task makes the index of them.
     sent = spark.sparkContext.broadcast(_packed((ids, y, cuts, terms, tf, idf)))
     neighbour = pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())])
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from scored(batches)
+        finally:
+            let_go()
+
+    def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = _vocabulary(name, vocabulary).count
         index, idf = _index(name, sent, n_terms)
         known: dict[bytes, tuple] = {}  # of this task, for equal texts
