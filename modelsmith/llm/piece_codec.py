@@ -103,7 +103,7 @@ class PrefixTableCodec:
     def __init__(self, path: str):
         self.model = PieceModel(path)
         self.pairs: Kept = Kept(KEPT_PAIRS)  # first id * pieces + second id -> whether compatible
-        self.units: Kept = Kept(KEPT_UNITS)  # unit -> number of ids, decimal ids, decoded text
+        self.units: Kept = Kept(KEPT_UNITS)  # unit -> decimal ids, decoded text
         self.parts: Kept = Kept(KEPT_UNITS)  # part -> ids
         self.adjacent = {p[i : i + 2] for p in self.model.ids for i in range(len(p) - 1)}
         self.history: dict[str, tuple[list[float], list[str], list[str]]] = {}
@@ -192,7 +192,9 @@ class PrefixTableCodec:
                 out.extend(self.model.byte_ids[b] for b in reversed(part[at].encode()))
         return out[::-1]
 
-    def encode_unit(self, unit: str) -> list[int]:
+    def encode_unit(self, unit: str, keep_whole: bool = True) -> list[int]:
+        """Ids of a unit. ``keep_whole``: it is kept where it is one part too; not needed where the unit is kept."""
+        unit = unit.replace(" ", SPACE)
         out: list[int] = []
         start, adjacent = 0, self.adjacent
         for end in range(1, len(unit) + 1):
@@ -202,18 +204,19 @@ class PrefixTableCodec:
             found = self.parts.find(part)
             if found is None:
                 found = self.encode_part(part)
-                if len(part) <= KEPT_LENGTH:
+                if len(part) <= KEPT_LENGTH and (keep_whole or len(part) < len(unit)):
                     self.parts.put(part, found)
             out += found
             start = end
         return out
 
-    def unit(self, unit: str) -> tuple[int, str, str]:
-        """Number of tokens, the decimal ids and the decoded text of a unit."""
+    def unit(self, unit: str) -> tuple[str, str]:
+        """The decimal ids and the decoded text of a unit, which is the same object where they are equal."""
         found = self.units.find(unit)
         if found is None:
-            ids = self.encode_unit(unit)
-            found = len(ids), " ".join(map(str, ids)), self.spell(ids)
+            ids = self.encode_unit(unit, keep_whole=False)
+            decoded = self.spell(ids)
+            found = " ".join(map(str, ids)), unit if decoded == unit else decoded
             if len(unit) <= KEPT_LENGTH:
                 self.units.put(unit, found)
         return found
@@ -222,13 +225,13 @@ class PrefixTableCodec:
         return b"".join([self.model.bytes[i] for i in ids]).decode(errors="replace")
 
     def cut(self, text: str) -> list[str]:
-        """Units of a text, with the dummy space at its front."""
+        """Units of a text, with the dummy space at its front; space marks are written as spaces, which take
+        fewer bytes in the tables."""
         if not text:
             return []
-        marked = SPACE + text.replace(" ", SPACE)
-        if SPACE + SPACE not in marked and marked[-1] != SPACE:
-            return [SPACE + u for u in marked[1:].split(SPACE)]
-        return _UNIT.findall(marked)
+        if SPACE not in text and "  " not in text and text[0] != " " and text[-1] != " ":
+            return [" " + u for u in text.split(" ")]
+        return [u.replace(SPACE, " ") for u in _UNIT.findall(SPACE + text.replace(" ", SPACE))]
 
     def encode(self, text: str | None) -> list[int]:
         """All ids of a text, the end id last."""
@@ -242,9 +245,9 @@ class PrefixTableCodec:
         """Number of ids (with the end id), sha256 of the decimal ids, sha256 of the decoded text."""
         known = self.units.get
         found = [known(u) or self.unit(u) for u in self.cut(text or "")]
-        ids = " ".join([*(f[1] for f in found), str(self.model.end)])
-        decoded = "".join([f[2] for f in found]).removeprefix(" ")
-        return sum([f[0] for f in found]) + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+        ids = " ".join([*(f[0] for f in found), str(self.model.end)])
+        decoded = "".join([f[1] for f in found]).removeprefix(" ")
+        return ids.count(" ") + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
 
 def codec(path: str) -> PrefixTableCodec:
