@@ -74,7 +74,9 @@ class Claims:
 
     def open(self, name: str) -> bool:
         """Whether a builder has the model now."""
-        numbers, done = self._numbers(name)
+        return self._open(name, *self._numbers(name))
+
+    def _open(self, name: str, numbers: list[int], done: set[int]) -> bool:
         return bool(numbers) and numbers[-1] not in done and not self._stale(self._file(name, numbers[-1]))
 
     def _stale(self, path) -> bool:
@@ -82,9 +84,10 @@ class Claims:
 
     def take(self, name: str) -> int:
         self.fs.mkdirs(self.path)
-        if self.open(name):
-            raise BuildConflict(f"another builder has {name}")
+        # One listing for both: a claim that came after a look at the open ones would be passed by the next number.
         numbers, done = self._numbers(name)
+        if self._open(name, numbers, done):
+            raise BuildConflict(f"another builder has {name}")
         number = max([0, *numbers, *done]) + 1
         if not self._create(self._file(name, number)):
             raise BuildConflict(f"another builder has {name}")
