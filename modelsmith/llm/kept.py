@@ -20,9 +20,10 @@ import pyarrow as pa
 _KEPT: dict[str, dict[str, Any]] = {}
 
 
-def give_back() -> None:
+def give_back(collect: bool = True) -> None:
     """Memory that is free, but still held by Arrow's pool or the C library, goes back to the system."""
-    gc.collect()
+    if collect:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

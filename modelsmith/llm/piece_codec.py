@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modelsmith.llm.kept import kept
+from modelsmith.llm.kept import give_back, kept
 from modelsmith.llm.ship import map_arrow
 from modelsmith.llm.tables import blocks
 
@@ -293,5 +293,6 @@ def codec_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
         for batch, texts in blocks(batches):
             n, ids, decoded = zip(*map(c.digests, texts), strict=True)
             yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(decoded)], schema=_DIGESTS)
+        give_back(collect=False)  # the tables stay for the next task; to go through them takes long
 
     return map_arrow(_rows(docs, id_col, text_col), digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
