@@ -46,6 +46,34 @@ def test_codec_matches_sentencepiece():
         assert codec.digests(text) == (len(ids), sha(" ".join(map(str, ids))), sha(sp.decode(ids))), text
 
 
+def test_codec_encodes_a_block_at_once(monkeypatch):
+    """Blocks of texts give what the library gives, with few slots for pairs too; short units are not encoded one by one."""
+    import pyarrow as pa
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    monkeypatch.setattr(pc, "PAIR_BITS", 6)
+    codec = pc.PrefixTableCodec(PIECES)
+    one_by_one = []
+    monkeypatch.setattr(codec, "encode_part", lambda part, f=codec.encode_part: (one_by_one.append(part), f(part))[1])
+    random.seed(5)
+    pieces = [p.replace("▁", " ") for p in codec.model.ids]
+    mixed = ["".join(random.choice(pieces) for _ in range(random.randint(1, 6))) for _ in range(3000)]
+    short = [None, *HARD[:-6], *(t for t in _random_texts(2000, 4) + mixed if max(map(len, codec.cut(t))) <= pc.TABLE_LENGTH), "", None, "􏿿 ☃�", " "]
+    short = [t for t in short if t is None or all(len(u) <= pc.TABLE_LENGTH for u in codec.cut(t))]
+    want = [sp.encode(t or "", add_eos=True) for t in short]
+    want = [(len(i), sha(" ".join(map(str, i))), sha(sp.decode(i))) for i in want]
+    assert list(zip(*codec.digest_block(pa.array(short, pa.string())), strict=True)) == want
+    assert list(zip(*codec.digest_block(pa.array(["cut off", *short], pa.string())[1:]), strict=True)) == want
+    assert [codec.digests(t) for t in short[:40]] == want[:40] and not one_by_one
+    long = ["ab" * n + " " + "é中􏿿" * n + " a" for n in (1, 23, 24, 25, 47, 48, 49, 500)] + [" " * n + "x" + " " * n for n in (46, 47, 48, 49, 200)]
+    for texts in (long, long[::-1], [], [None], [""]):
+        got = codec.digest_block(pa.array(texts, pa.string()))
+        want = [sp.encode(t or "", add_eos=True) for t in texts]
+        assert list(zip(*got, strict=True)) == [(len(i), sha(" ".join(map(str, i))), sha(sp.decode(i))) for i in want]
+    assert one_by_one
+
+
 def test_codec_frames(spark, odd, none):
     import sentencepiece
 
