@@ -39,12 +39,11 @@ from pyspark.sql import functions as F
 
 from modelsmith.llm.kept import give_back, kept
 from modelsmith.llm.ship import map_arrow
-from modelsmith.llm.tables import BLOCK_BYTES, blocks
+from modelsmith.llm.tables import blocks
 
 SPACE = "▁"
-#: The longest unit whose table is filled together with others; bytes of text whose units are encoded at once.
+#: The longest unit whose table is filled together with others.
 TABLE_LENGTH = 48
-UNIT_BYTES = 4 * BLOCK_BYTES
 #: Slots for pairs of tokens, as a power of two.
 PAIR_BITS = 21
 #: Longer units, their parts and pairs of tokens kept by a worker process, and the longest unit or part that is kept.
@@ -322,7 +321,8 @@ class UnitTable:
         self.codec, model = codec, codec.model
         self.pieces = len(model.piece)
         self.length = np.array([len(p) for p in model.piece], np.int32)
-        self.decimal = [str(i).encode() for i in range(self.pieces)]
+        self.decimal = pa.array([str(i).encode() for i in range(self.pieces)], pa.large_binary())
+        self.texts = pa.array(model.bytes, pa.large_binary())
         self.pairs = np.full(1 << PAIR_BITS, -1, np.int64)  # 2 * (first id * pieces + second id) + whether compatible
         letters = sorted({c for p in codec.history for c in p})
         self.letter = np.zeros(ord(letters[-1]) + 2, np.int32)  # code point -> number from 1; 0: without a piece
@@ -433,8 +433,10 @@ class UnitTable:
 
         # A character without a piece stands for the ids of its bytes.
         model, spelled = self.codec.model, [chr(c).encode() for c in unknown.tolist()]
-        decimal = pa.array(self.decimal + [b" ".join(self.decimal[model.byte_ids[b]] for b in x) for x in spelled], pa.large_binary())
-        texts = pa.array(model.bytes + [b"".join(model.bytes[model.byte_ids[b]] for b in x) for x in spelled], pa.large_binary())
+        decimal = [" ".join([str(model.byte_ids[b]) for b in x]).encode() for x in spelled]
+        texts = [b"".join([model.bytes[model.byte_ids[b]] for b in x]) for x in spelled]
+        decimal = pa.concat_arrays([self.decimal, pa.array(decimal, pa.large_binary())])
+        texts = pa.concat_arrays([self.texts, pa.array(texts, pa.large_binary())])
         n = np.concatenate([np.ones(self.pieces, np.int64), np.array([len(x) for x in spelled], np.int64)])
         n = np.diff(np.concatenate([[0], np.cumsum(n[tokens])])[ends])
         return n, join(ends, decimal, tokens, b" "), join(ends, texts, tokens, b"")
@@ -480,7 +482,7 @@ def codec_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
 
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path)
-        for batch, _ in blocks(batches, limit=UNIT_BYTES):
+        for batch, _ in blocks(batches):
             n, ids, decoded = c.digest_block(batch.column(1))
             yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(decoded)], schema=_DIGESTS)
         give_back(collect=False)  # the tables stay for the next task; to go through them takes long
